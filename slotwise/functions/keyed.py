@@ -7,10 +7,19 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def shared(df: DataFrame) -> DataFrame:
+    """Keep a frame that several branches of one plan read, on executor memory and disk.
+
+    The lineage stays, so blocks of a lost executor are recomputed.
+    """
+    return df if df.is_cached else df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def top_n_per_key(df: DataFrame, keys, order, n: int, rank: str = "rn") -> DataFrame:
     """First n rows of each key in the given order, with their rank."""
     w = Window.partitionBy(*keys).orderBy(*order)

@@ -49,5 +49,5 @@ TEST_PARAMS = RecParams(
     event_start="2024-01-01", event_end="2024-01-31",
     pop_start="1995-01-01", pop_end="2000-12-31",
     excl_start="2000-08-01", excl_end="2001-08-01",
-    min_year=1995, max_year=2024, min_price=950.0, normalize_both=True,
+    min_year=1995, max_year=2024, min_price=905.0, normalize_both=True,
 )

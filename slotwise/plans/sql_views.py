@@ -22,7 +22,7 @@ SELECT p_partkey AS part_id, {SKU.format(k='p_partkey')} AS sku, p_type AS categ
 FROM part""",
     "v_fitment": f"""
 SELECT n_name AS make, {SKU.format(k='p_partkey')} AS sku
-FROM nation JOIN part ON (p_partkey // 2 + n_nationkey) % 5 = 0""",
+FROM nation JOIN part ON (p_partkey // 2 + n_nationkey) % 5 = 0 AND p_size > 5""",
     "v_orders": f"""
 SELECT o_orderkey AS order_id, o_custkey AS user_id, {SKU.format(k='l_partkey')} AS sku,
        o_orderdate AS order_ts, CAST(o_orderdate AS DATE) AS order_date,

@@ -44,9 +44,12 @@ class Tables:
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
+        self._raw: dict[str, DataFrame] = {}
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.path}/{name}.parquet")
+        if name not in self._raw:
+            self._raw[name] = self.spark.read.parquet(f"{self.path}/{name}.parquet")
+        return self._raw[name]
 
     # ---- recommendation side -------------------------------------------------
     @cached_property
@@ -77,7 +80,8 @@ class Tables:
     def fitment(self) -> DataFrame:
         n = self.raw("nation").select(
             F.col("n_name").alias("make"), F.pmod(-F.col("n_nationkey"), F.lit(5)).cast("long").alias("cls"))
-        p = self.raw("part").select(
+        # parts of size 5 and below carry no fitment: they are the universal ones
+        p = self.raw("part").where("p_size > 5").select(
             _sku("p_partkey").alias("sku"), F.pmod(F.floor(F.col("p_partkey") / 2), F.lit(5)).cast("long").alias("cls"))
         return n.join(p, "cls").select("make", "sku")
 
