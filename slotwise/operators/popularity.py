@@ -46,12 +46,16 @@ def segment_popularity(imported, staged, users, p: RecParams, segment=SEGMENT) -
     rows = _both_sources(imported, staged, users, segment, p).where(F.col("orders") >= p.min_segment_orders)
     rows = rows.select(*segment, "sku", F.col("orders").alias("total_segment_orders"),
                        F.round(X.log_score("orders", p.segment_weight), 2).alias("segment_score"))
-    return ranked(rows, segment, "total_segment_orders", "rank_in_segment")
+    return ranked(rows, segment, "total_segment_orders", "rank_in_segment", "segment_total")
 
 
-def ranked(rows: DataFrame, keys, by: str, name: str) -> DataFrame:
-    """Rank inside a key by an order count. Rows are aggregated: at most one per sku and key."""
-    return rows.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc(by), F.asc("sku"))))
+def ranked(rows: DataFrame, keys, by: str, name: str, total: str) -> DataFrame:
+    """Rank inside a key by an order count, and the key's total, in one exchange.
+
+    Rows are aggregated: at most one per sku and key, so a key holds no more than the catalogue.
+    """
+    w = Window.partitionBy(*keys)
+    return rows.withColumns({name: F.row_number().over(w.orderBy(F.desc(by), F.asc("sku"))), total: F.sum(by).over(w)})
 
 
 def segment_top(segments: DataFrame, n: int, segment=SEGMENT) -> DataFrame:
@@ -64,7 +68,7 @@ def make_popularity(segments: DataFrame, p: RecParams, make: str = "seg_make") -
     rows = segments.groupBy(make, "sku").agg(F.sum("total_segment_orders").alias("total_make_orders"))
     rows = rows.where(F.col("total_make_orders") >= p.min_make_orders).withColumn(
         "make_score", F.round(X.log_score("total_make_orders", p.make_weight), 2))
-    return ranked(rows, [make], "total_make_orders", "rank_in_make")
+    return ranked(rows, [make], "total_make_orders", "rank_in_make", "make_total")
 
 
 def global_popularity(imported, staged, users, p: RecParams) -> DataFrame:
@@ -92,17 +96,15 @@ def with_popularity(rows: DataFrame, segments, makes, globals_, p: RecParams, se
     else global, else 0. ``p.normalize_both`` looks products up by normalised sku.
     """
     make = segment[0]
-    seg_tot = segments.groupBy(*segment).agg(F.sum("total_segment_orders").alias("_st"))
-    make_tot = makes.groupBy(make).agg(F.sum("total_make_orders").alias("_mt"))
     key = X.normalize_variant("sku") if p.normalize_both else F.col("sku")
     rows = rows.withColumn("_key", key)
-    seg = segments.select(*segment, F.col("sku").alias("_key"), "segment_score", "rank_in_segment")
-    mk = makes.select(make, F.col("sku").alias("_key"), "make_score", "rank_in_make")
+    seg = segments.select(*segment, F.col("sku").alias("_key"), "segment_score", "rank_in_segment", "segment_total")
+    mk = makes.select(make, F.col("sku").alias("_key"), "make_score", "rank_in_make", "make_total")
     gl = globals_.select(F.col("sku").alias("_key"), "global_score")
-    rows = (rows.join(seg, [*segment, "_key"], "left").join(mk, [make, "_key"], "left")
-            .join(gl, "_key", "left").join(seg_tot, list(segment), "left").join(make_tot, make, "left"))
-    use_seg = (F.coalesce("_st", F.lit(0)) >= p.min_segment_for_use) & F.col("segment_score").isNotNull()
-    use_make = (F.coalesce("_mt", F.lit(0)) >= p.min_make_for_use) & F.col("make_score").isNotNull()
+    rows = rows.join(seg, [*segment, "_key"], "left").join(mk, [make, "_key"], "left").join(gl, "_key", "left")
+    # a tier only counts for products it knows, so its total can ride on the product's row
+    use_seg = F.coalesce("segment_total", F.lit(0)) >= p.min_segment_for_use
+    use_make = F.coalesce("make_total", F.lit(0)) >= p.min_make_for_use
     rows = rows.withColumns({
         "popularity": F.when(use_seg, F.col("segment_score")).when(use_make, F.col("make_score"))
         .otherwise(F.coalesce("global_score", F.lit(0.0))),
@@ -111,7 +113,7 @@ def with_popularity(rows: DataFrame, segments, makes, globals_, p: RecParams, se
         "has_signal": (F.coalesce("segment_score", F.lit(0.0)) > 0) | (F.coalesce("make_score", F.lit(0.0)) > 0)
         | (F.coalesce("global_score", F.lit(0.0)) > 0),
     })
-    return rows.drop("_key", "_st", "_mt", "make_score", "segment_score", "global_score")
+    return rows.drop("_key", "segment_total", "make_total", "make_score", "segment_score", "global_score")
 
 
 def with_popularity_by_segment(rows, segments, makes, globals_, p: RecParams, segment=SEGMENT) -> DataFrame:

@@ -81,7 +81,8 @@ def diversified_for_users(users: DataFrame, scored: DataFrame, profile, cap: int
     and the touched bases are re-ranked with all their variants. The result equals ranking
     all user x product rows, at a cost that follows the output.
 
-    ``scored``: profile columns, sku, norm_sku, base_sku, category, final_score, payload.
+    ``scored``: profile columns, sku, norm_sku, base_sku, category, final_score, payload;
+    a boost is added to ``raw_score`` if that column exists, before rounding.
     ``excluded``: (user_id, sku) matched to ``exclude_on``; ``boosts``: (user_id, sku, boost).
     """
     profile = list(profile)
@@ -111,8 +112,9 @@ def diversified_for_users(users: DataFrame, scored: DataFrame, profile, cap: int
     if excluded is not None:
         own = own.join(excluded, ["user_id", exclude_on], "left_anti")
     if boosts is not None:
+        raw = "raw_score" if "raw_score" in scored.columns else "final_score"
         own = own.join(boosts.select("user_id", "sku", "boost"), ["user_id", "sku"], "left").withColumn(
-            "final_score", F.round(F.col("final_score") + F.coalesce("boost", F.lit(0.0)), 2)).drop("boost")
+            "final_score", F.round(F.col(raw) + F.coalesce("boost", F.lit(0.0)), 2)).drop("boost")
     own = dedup_variant(own, order)
     return diversity_cap(common.unionByName(own), cap, order)
 
@@ -165,14 +167,17 @@ def pick_user_per_key(ranked: DataFrame, key) -> DataFrame:
 
 def wide_output(ranked: DataFrame, key, p: RecParams, values=("sku", "price", "final_score", "image_url", "popularity_source"),
                 exact: bool = False) -> DataFrame:
-    """One row per key with the columns of each slot; ``exact`` wants every slot filled."""
-    cols = []
-    for i in range(1, p.slots + 1):
-        for v in values:
-            cols.append(F.max(F.when(F.col("rn") == i, F.col(v))).alias(f"rec{i}_{'score' if v == 'final_score' else v}"))
-    out = ranked.groupBy(*key).agg(*cols, F.count(F.lit(1)).alias("rec_count"))
-    out = out.where(F.col("rec_count") >= (p.slots if exact else p.min_recs))
-    return out.withColumns({"generated_at": F.current_timestamp(), "version": F.lit(p.version)})
+    """One row per key with the columns of each slot; ``exact`` wants every slot filled.
+
+    ``rn`` is unique per key, so a key carries at most ``p.slots`` small structs.
+    """
+    rows = ranked.where(F.col("rn") <= p.slots)
+    out = rows.groupBy(*key).agg(F.sort_array(F.collect_list(F.struct("rn", *values))).alias("_recs"))
+    cols = [F.get("_recs", F.lit(i - 1))[v].alias(f"rec{i}_{'score' if v == 'final_score' else v}")
+            for i in range(1, p.slots + 1) for v in values]
+    out = out.where(F.size("_recs") >= (p.slots if exact else p.min_recs))
+    return out.select(*key, *cols, F.size("_recs").cast("long").alias("rec_count"),
+                      F.current_timestamp().alias("generated_at"), F.lit(p.version).alias("version"))
 
 
 def engagement_binary(users: DataFrame, orders: DataFrame) -> DataFrame:

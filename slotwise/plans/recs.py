@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import exprs as X
+from ..functions.keyed import shared
 from ..operators import candidates as C
 from ..operators import copurchase as CP
 from ..operators import eligibility as E
@@ -13,7 +14,7 @@ from ..operators import popularity as P
 from ..operators import ranking as R
 from ..params import TEST_PARAMS as p
 from ..sources import bags
-from .registry import query
+from .registry import once, query
 from .sql_views import VIEWS, norm
 
 PROFILE = ("seg_make", "seg_model")
@@ -130,50 +131,65 @@ SELECT *, row_number() OVER (ORDER BY total_orders DESC, sku) AS pool_rank FROM
 
 
 # ---- Spark side -----------------------------------------------------------------
+@once
 def prices(t):
     return t.catalog.select("sku", "price")
 
 
+@once
 def images(t):
     return t.catalog.select("sku", X.https_image("image_raw").alias("image_url")).where(X.image_ok("image_url"))
 
 
+@once
 def products(t):
     return E.sellable_products(t.catalog, prices(t), images(t), p)
 
 
+@once
 def eligible(t):
     return E.eligible_parts(t.fitment, products(t), ["make"], p)
 
 
+@once
 def tiers(t):
     seg = P.segment_popularity(t.imported, t.staged, t.users, p)
     return seg, P.make_popularity(seg, p), P.global_popularity(t.imported, t.staged, t.users, p)
 
 
+@once
 def profiles(t):
     return t.users.select(*PROFILE).distinct()
 
 
-def scored(t, q=p):
+@once
+def profile_parts(t):
+    return C.fitment_candidates(profiles(t), eligible(t), {"seg_make": "make"})
+
+
+@once
+def scored(t):
     """Fitment parts of each profile with their popularity: products scored once per profile."""
-    cand = C.fitment_candidates(profiles(t), eligible(t), {"seg_make": "make"})
-    rows = P.with_popularity(cand, *tiers(t), q)
-    return R.base_columns(R.require_signal(rows, q).withColumn("final_score", R.score_popularity()))
+    rows = P.with_popularity(profile_parts(t), *tiers(t), p)
+    return R.base_columns(rows.withColumn("final_score", R.score_popularity()))
 
 
+@once
 def exclusion(t):
     return C.purchase_exclusion(t.staged, t.imported, t.users, p)
 
 
+@once
 def diversified(t):
     return R.diversified_for_users(t.users, scored(t), PROFILE, p.max_per_category, exclusion(t))
 
 
+@once
 def top(t):
     return R.top_n_min(diversified(t), p.slots, p.min_recs)
 
 
+@once
 def wide(t):
     rows = top(t).join(t.users.select("user_id", "email"), "user_id")
     return R.wide_output(rows, ["user_id", "email", *PROFILE], p)
@@ -381,7 +397,7 @@ LEFT JOIN v_seg s ON s.seg_make = pr.seg_make AND s.seg_model = pr.seg_model AND
 LEFT JOIN v_make m ON m.seg_make = pr.seg_make AND m.sku = pr.norm_sku
 LEFT JOIN v_glob g ON g.sku = pr.norm_sku""")
 def popularity_by_segment_tier(t):
-    cand = C.fitment_candidates(profiles(t), eligible(t), {"seg_make": "make"})
+    cand = profile_parts(t)
     return P.with_popularity_by_segment(cand, *tiers(t), p)
 
 
@@ -390,7 +406,7 @@ SELECT t.seg_make, t.seg_model, t.sku, coalesce(s.segment_score, g.global_score,
 LEFT JOIN v_seg s ON s.seg_make = t.seg_make AND s.seg_model = t.seg_model AND s.sku = t.norm_sku
 LEFT JOIN v_glob g ON g.sku = t.norm_sku""")
 def popularity_2tier(t):
-    cand = C.fitment_candidates(profiles(t), eligible(t), {"seg_make": "make"})
+    cand = profile_parts(t)
     seg, _, glob = tiers(t)
     return P.with_popularity_two_tier(cand, seg, glob, p)
 
@@ -411,7 +427,7 @@ def popularity_raw_lookup(t):
     """Parity mode: tables keyed by normalised sku, looked up by raw sku."""
     q = p.but(normalize_both=False)
     seg, mk, _ = tiers(t)
-    cand = C.fitment_candidates(profiles(t), eligible(t), {"seg_make": "make"})
+    cand = profile_parts(t)
     return P.with_popularity(cand, seg, mk, P.global_popularity(t.imported, t.staged, t.users, q), q)
 
 
@@ -531,9 +547,14 @@ def user_copurchase_sum(t):
     return CP.user_copurchase_sum(I.intent_strength(t.staged, p), CP.copurchase_orders(t.orders, 2))
 
 
+@once
+def primary(t):
+    return C.primary_category(t.users, t.staged, t.catalog)
+
+
 @query("D25 O02", "user_id:l primary_category active:b", "SELECT * FROM v_primary")
 def primary_category(t):
-    return C.primary_category(t.users, t.staged, t.catalog)
+    return primary(t)
 
 
 @query("D26", "make category points:d2 n:l", """
@@ -573,6 +594,7 @@ def fitment_candidates(t):
                                        F.sum(F.col("price").cast("decimal(12,2)")).alias("total_price"))
 
 
+@once
 def universal_pool(t):
     return E.universal_parts(t.fitment, products(t), tiers(t)[2], POOL)
 
@@ -593,9 +615,10 @@ pop AS (SELECT s.seg_make, s.seg_model, s.sku, p.category, p.price, {norm('s.sku
 bought AS (SELECT DISTINCT user_id, sku FROM v_orders)"""
 
 
+@once
 def fitment_tier(t):
     """Fitment rows per profile scored by segment popularity and narrow fit."""
-    cand = C.fitment_candidates(profiles(t), eligible(t), {"seg_make": "make"})
+    cand = profile_parts(t)
     rows = cand.join(tiers(t)[0].select(*PROFILE, "sku", "segment_score"), [*PROFILE, "sku"], "left").join(
         P.fitment_breadth(t.fitment, ["make"]), "sku", "left")
     rows = rows.withColumn("final_score", R.score_sum("segment_score", "narrow_bonus"))
@@ -603,6 +626,7 @@ def fitment_tier(t):
                                        F.lit(0).alias("tier_priority"))
 
 
+@once
 def segment_tier(t):
     rows = C.segment_popular_profiles(profiles(t), tiers(t)[0].select(*PROFILE, "sku", "segment_score"), products(t), fitment_tier(t),
                                       PROFILE, PROFILE)
@@ -644,7 +668,7 @@ RELATED = """rel AS (SELECT p.user_id, p.primary_category, x.b AS related_catego
 
 @query("D32 J12", "user_id:l primary_category related_category", "SELECT * FROM rel", RELATED)
 def related_categories(t):
-    return C.related_categories(C.primary_category(t.users, t.staged, t.catalog), CP.category_copurchase(t.orders, t.catalog))
+    return C.related_categories(primary(t), CP.category_copurchase(t.orders, t.catalog))
 
 
 SLOTTED = TIERED + ", " + RELATED + f""",
@@ -669,13 +693,14 @@ slotted AS (SELECT *, CASE WHEN slot_type = 'primary' AND rk <= 2 THEN rk WHEN s
     SELECT a.* FROM allc a LEFT JOIN v_excl x ON x.user_id = a.user_id AND x.sku = a.norm_sku WHERE x.sku IS NULL) q0) q1 WHERE rv = 1) q2 WHERE rc <= 2) q3)"""
 
 
+@once
 def slot_profiles(t):
     """Scored rows per (segment, primary category): matching, related and cold-start rows."""
-    prim = C.primary_category(t.users, t.staged, t.catalog)
+    prim = shared(primary(t))
     pairs = CP.category_copurchase(t.orders, t.catalog)
     users = t.users.join(prim, "user_id")
     prof = users.select(*PROFILE, "primary_category", "active").distinct()
-    base = fitment_tier(t).withColumnRenamed("final_score", "s").drop("tier_priority")
+    base = shared(fitment_tier(t)).withColumnRenamed("final_score", "s").drop("tier_priority")
     own = prof.where("active").join(base, list(PROFILE)).where("category = primary_category").select(
         *prof.columns, *[c for c in base.columns if c not in PROFILE], F.lit("primary").alias("slot_type"),
         F.lit(0).alias("slot_priority"), F.round(F.col("s") + 50, 2).alias("final_score"))
@@ -707,7 +732,7 @@ SELECT user_id, count(*) AS n, max(final_score) AS best, arg_max(sku, (final_sco
   SELECT a.* FROM allc a LEFT JOIN v_excl x ON x.user_id = a.user_id AND x.sku = a.norm_sku WHERE x.sku IS NULL AND slot_type = 'cold_start') q
 GROUP BY user_id""", SLOTTED)
 def cold_start_candidates(t):
-    prim = C.primary_category(t.users, t.staged, t.catalog).where("not active")
+    prim = primary(t).where("not active")
     rows = t.users.join(prim.select("user_id"), "user_id", "left_semi").select("user_id", *PROFILE).join(fitment_tier(t), list(PROFILE))
     rows = rows.join(exclusion(t).withColumnRenamed("sku", "norm_sku"), ["user_id", "norm_sku"], "left_anti")
     return rows.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"), F.max("final_score").alias("best"),
@@ -747,7 +772,7 @@ def final_score(t):
 
 @query("D35", "seg_make seg_model n:l", "SELECT seg_make, seg_model, count(*) AS n FROM v_tiers WHERE has_signal GROUP BY ALL")
 def purchase_signal_gate(t):
-    return scored(t, p.but(require_purchase_signal=True)).groupBy(*PROFILE).agg(F.count(F.lit(1)).alias("n"))
+    return R.require_signal(scored(t), p.but(require_purchase_signal=True)).groupBy(*PROFILE).agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("D36", "user_id:l base_sku sku final_score:d2", """
@@ -773,7 +798,7 @@ RESERVED = f"""rs AS (
   SELECT user_id, sku, category, base_sku, 'fitment' AS product_type, round(popularity + coalesce(intent, 0), 2) AS final_score FROM (
     SELECT c.user_id, c.sku, c.category, c.base_sku, c.popularity, i.intent FROM v_cand c LEFT JOIN v_intent i ON i.user_id = c.user_id AND i.sku = c.sku) a
   UNION ALL
-  SELECT u.user_id, p.sku, p.category, {norm('p.sku')}, 'universal', round(round(ln(1 + p.total_orders) * 2, 2) + coalesce(i.intent, 0), 2)
+  SELECT u.user_id, p.sku, p.category, {norm('p.sku')}, 'universal', round(ln(1 + p.total_orders) * 2 + coalesce(i.intent, 0), 2)
   FROM v_users u CROSS JOIN v_pool p LEFT JOIN v_intent i ON i.user_id = u.user_id AND i.sku = p.sku
   LEFT JOIN v_excl x ON x.user_id = u.user_id AND x.sku = {norm('p.sku')} WHERE x.sku IS NULL),
 dv AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY user_id, category ORDER BY final_score DESC, sku) AS rc FROM (
@@ -788,10 +813,12 @@ fin AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY CASE product_
 
 @query("D39", "user_id:l rn:l sku product_type slot_source final_score:d2", "SELECT * FROM fin WHERE rec_count >= 4 AND rn <= 4", RESERVED)
 def reserved_slots(t):
-    fit = scored(t).select(*PROFILE, "sku", "norm_sku", "base_sku", "category", F.lit("fitment").alias("product_type"), "final_score")
+    fit = scored(t).select(*PROFILE, "sku", "norm_sku", "base_sku", "category", F.lit("fitment").alias("product_type"),
+                           F.col("popularity").alias("raw_score"), "final_score")
     uni = C.explode_pool(profiles(t), universal_pool(t).select("pool_rank", "sku", "category", "total_orders"), POOL)
-    uni = R.base_columns(uni.withColumn("final_score", F.round(X.log_score("total_orders", 2.0), 2))).select(
-        *PROFILE, "sku", "norm_sku", "base_sku", "category", F.lit("universal").alias("product_type"), "final_score")
+    uni = R.base_columns(uni.withColumn("raw_score", X.log_score("total_orders", 2.0))).select(
+        *PROFILE, "sku", "norm_sku", "base_sku", "category", F.lit("universal").alias("product_type"), "raw_score",
+        F.round("raw_score", 2).alias("final_score"))
     intent = I.intent_strongest(t.staged, p).select("user_id", "sku", F.col("intent").alias("boost"))
     rows = R.diversified_for_users(t.users, fit.unionByName(uni), PROFILE, 2, exclusion(t), intent)
     return R.reserved_slots(rows)

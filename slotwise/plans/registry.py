@@ -77,6 +77,19 @@ def with_views(sql: str, local: str = "") -> str:
     return ("WITH " + ",\n".join(parts) + "\n" if parts else "") + sql
 
 
+def once(fn):
+    """Build a shared frame once per Tables object, so its plan is analysed once."""
+    key = f"_once_{fn.__module__}.{fn.__name__}"
+
+    def get(t: Tables):
+        if key not in t.__dict__:
+            t.__dict__[key] = fn(t)
+        return t.__dict__[key]
+
+    get.__name__ = fn.__name__
+    return get
+
+
 def query(ids: str, out: str, sql: str | None = None, local: str = "", name: str | None = None):
     """Register ``fn(t: Tables) -> DataFrame`` under the lower-case first id and its name."""
 
