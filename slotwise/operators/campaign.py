@@ -281,7 +281,7 @@ def user_preference(base: DataFrame, keys=("campaign",)) -> DataFrame:
     """Users by which type they clicked: only one, both, neither."""
     p, s = F.col("p_clicked") == 1, F.col("s_clicked") == 1
     return _per_user_types(base, keys).groupBy(*keys).agg(
-        F.count_if(p & ~s).alias("p_only"), F.count_if(~p & s).alias("s_only"), F.count_if(p & s).alias("both"),
+        F.count_if(p & ~s).alias("p_only"), F.count_if(~p & s).alias("s_only"), F.count_if(p & s).alias("clicked_both"),
         F.count_if(~p & ~s).alias("neither"), _n().alias("users"))
 
 

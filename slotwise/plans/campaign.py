@@ -366,8 +366,8 @@ def campaign_overlap(t):
     return K.campaign_overlap(base(t))
 
 
-@query("C30", "campaign p_only:l s_only:l both:l neither:l users:l", """
-SELECT campaign, count(*) FILTER (pc = 1 AND sc = 0) AS p_only, count(*) FILTER (pc = 0 AND sc = 1) AS s_only, count(*) FILTER (pc = 1 AND sc = 1) AS both,
+@query("C30", "campaign p_only:l s_only:l clicked_both:l neither:l users:l", """
+SELECT campaign, count(*) FILTER (pc = 1 AND sc = 0) AS p_only, count(*) FILTER (pc = 0 AND sc = 1) AS s_only, count(*) FILTER (pc = 1 AND sc = 1) AS clicked_both,
   count(*) FILTER (pc = 0 AND sc = 0) AS neither, count(*) AS users FROM ut GROUP BY campaign""", UT % "campaign")
 def user_preference(t):
     return K.user_preference(base(t))

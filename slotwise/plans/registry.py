@@ -77,6 +77,24 @@ def with_views(sql: str, local: str = "") -> str:
     return ("WITH " + ",\n".join(parts) + "\n" if parts else "") + sql
 
 
+_TABLES: dict[tuple[str, str], Tables] = {}
+
+
+def tables_for(spark: SparkSession, path: str) -> Tables:
+    """One Tables object per application and directory, so frames common to several queries are built once."""
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _TABLES:
+        _TABLES.clear()
+        _TABLES[key] = Tables(spark, path)
+    return _TABLES[key]
+
+
+def forget(spark: SparkSession) -> None:
+    """Drop shared frames and their cached blocks (used between measurements)."""
+    _TABLES.clear()
+    spark.catalog.clearCache()
+
+
 def once(fn):
     """Build a shared frame once per Tables object, so its plan is analysed once."""
     key = f"_once_{fn.__module__}.{fn.__name__}"
@@ -99,7 +117,7 @@ def query(ids: str, out: str, sql: str | None = None, local: str = "", name: str
         fields = list(_fields(out))
 
         def run(spark: SparkSession, path: str) -> DataFrame:
-            return fn(Tables(spark, path)).select(*[_spark_column(n, k) for n, k in fields])
+            return fn(tables_for(spark, path)).select(*[_spark_column(n, k) for n, k in fields])
 
         text = None
         if sql is not None:
