@@ -70,7 +70,7 @@ def thompson_assign(users: DataFrame, treatments: DataFrame, posterior: DataFram
         seed = F.concat(e["treatment_id"].cast("string"), F.lit(":"), F.col("user_id").cast("string"), F.lit(f"@{day}"))
         return F.struct((e["mean"] + e["stddev"] * X.hash_normal(seed)).alias("score"), e["treatment_id"].alias("treatment_id"))
 
-    rows = users.select("user_id", F.array_max(F.transform(arr, draw)).alias("_b"))
+    rows = users.select("user_id", arr.alias("_t")).select("user_id", F.array_max(F.transform("_t", draw)).alias("_b"))
     return rows.select("user_id", "_b.treatment_id", "_b.score")
 
 
@@ -83,7 +83,7 @@ def selection_share(assigned: DataFrame, ctr: DataFrame) -> DataFrame:
 def score_drift(flags: DataFrame) -> DataFrame:
     """Daily score statistics per arm."""
     return flags.groupBy("send_date", "arm").agg(
-        _n().alias("sends"), F.round(F.avg("score"), 6).alias("avg_score"), F.round(F.stddev_samp("score"), 6).alias("std_score"),
+        _n().alias("sends"), F.avg("score").alias("avg_score"), F.stddev_samp("score").alias("std_score"),
         F.min("score").alias("min_score"), F.max("score").alias("max_score"), F.count_distinct(F.round("score", 4)).alias("distinct_scores"))
 
 
@@ -91,7 +91,7 @@ def top_treatment_scores(flags: DataFrame, n: int = 5) -> DataFrame:
     """Daily average score of the n most sent treatments."""
     top = global_top(flags.groupBy("treatment_id").agg(_n().alias("total")), [F.desc("total"), F.asc("treatment_id")], n)
     return flags.join(top.select("treatment_id"), "treatment_id", "left_semi").groupBy("send_date", "treatment_id").agg(
-        _n().alias("sends"), F.round(F.avg("score"), 6).alias("avg_score"))
+        _n().alias("sends"), F.avg("score").alias("avg_score"))
 
 
 def rates_by(flags: DataFrame, *keys) -> DataFrame:
@@ -112,9 +112,9 @@ def health(flags: DataFrame, since: str) -> DataFrame:
 def click_feedback(flags: DataFrame) -> DataFrame:
     """Score of the treatment on its next day against today, with today's clicks."""
     days = flags.groupBy("treatment_id", "send_date").agg(
-        _n().alias("sends"), F.round(F.avg("score"), 6).alias("avg_score"), F.sum("opened").alias("opens"), F.sum("clicked").alias("clicks"))
+        _n().alias("sends"), F.avg("score").alias("avg_score"), F.sum("opened").alias("opens"), F.sum("clicked").alias("clicks"))
     nxt = F.lead("avg_score").over(Window.partitionBy("treatment_id").orderBy("send_date"))
-    return days.withColumn("next_score", nxt).withColumn("delta", F.round(F.col("next_score") - F.col("avg_score"), 6))
+    return days.withColumn("next_score", nxt).withColumn("delta", F.col("next_score") - F.col("avg_score"))
 
 
 def click_direction(flags: DataFrame) -> DataFrame:
@@ -123,13 +123,13 @@ def click_direction(flags: DataFrame) -> DataFrame:
     w = Window.partitionBy("treatment_id").orderBy("send_date")
     rows = days.withColumns({"d1": F.lead("avg_score").over(w), "d2": F.lead("avg_score", 2).over(w)}).where("d1 is not null")
     return rows.withColumns({
-        "delta_d1": F.round(F.col("d1") - F.col("avg_score"), 6), "delta_d2": F.round(F.col("d2") - F.col("avg_score"), 6),
+        "delta_d1": F.col("d1") - F.col("avg_score"), "delta_d2": F.col("d2") - F.col("avg_score"),
         "direction": F.when(F.col("d1") > F.col("avg_score"), "UP").when(F.col("d1") < F.col("avg_score"), "DOWN").otherwise("FLAT")})
 
 
 def selection_distribution(flags: DataFrame, least: int = 10) -> DataFrame:
     """Sends per arm and treatment, share of the arm; treatments with enough sends."""
-    rows = flags.groupBy("arm", "treatment_id").agg(_n().alias("sends"), F.round(F.avg("score"), 6).alias("avg_score"))
+    rows = flags.groupBy("arm", "treatment_id").agg(_n().alias("sends"), F.avg("score").alias("avg_score"))
     return share_of_group(rows, ["arm"], "sends").withColumn("share", F.round(F.col("share") * 100, 2)).where(F.col("sends") >= least)
 
 
@@ -186,7 +186,7 @@ def posterior_check(flags: DataFrame, recent_since: str, least: int = 100) -> Da
     """Expected posterior mean k/(1+n) against the recent average score, with a verdict."""
     s = flags.groupBy("treatment_id").agg(_n().alias("n_sends"), F.sum("clicked").alias("n_clicks")).where(F.col("n_sends") >= least)
     recent = flags.where(F.col("send_date") >= F.lit(recent_since).cast("date")).groupBy("treatment_id").agg(
-        F.round(F.avg("score"), 6).alias("recent_score"), F.round(F.stddev_samp("score"), 6).alias("recent_std"))
+        F.avg("score").alias("recent_score"), F.stddev_samp("score").alias("recent_std"))
     rows = s.join(recent, "treatment_id", "left").withColumn("expected", F.round(F.col("n_clicks") / (1 + F.col("n_sends")), 6))
     gap = F.abs(F.col("recent_score") - F.col("expected"))
     return rows.withColumns({

@@ -84,14 +84,14 @@ def sent_share_vs_ctr(t):
     return B.selection_share(flags(t), ctr(t))
 
 
-@query("B06 A05", "send_date arm sends:l avg_score:d5 std_score:d5 min_score:d5 max_score:d5 distinct_scores:l", """
+@query("B06 A05", "send_date arm sends:l avg_score:d9 std_score:d9 min_score:d9 max_score:d9 distinct_scores:l", """
 SELECT send_date, arm, count(*) AS sends, avg(score) AS avg_score, stddev_samp(score) AS std_score, min(score) AS min_score, max(score) AS max_score,
   count(DISTINCT round(score, 4)) AS distinct_scores FROM v_flags GROUP BY ALL""")
 def score_drift(t):
     return B.score_drift(flags(t))
 
 
-@query("B07 T02", "send_date treatment_id:l sends:l avg_score:d5", """
+@query("B07 T02", "send_date treatment_id:l sends:l avg_score:d9", """
 SELECT send_date, treatment_id, count(*) AS sends, avg(score) AS avg_score FROM v_flags WHERE treatment_id IN (
   SELECT treatment_id FROM v_flags GROUP BY 1 ORDER BY count(*) DESC, treatment_id LIMIT 5) GROUP BY ALL""")
 def top_treatment_scores(t):
@@ -121,16 +121,16 @@ def seven_day_health(t):
     return B.health(flags(t), "2024-01-24")
 
 
-DAYS = """days AS (SELECT treatment_id, send_date, count(*) AS sends, round(avg(score), 6) AS avg_score, sum(opened) AS opens, sum(clicked) AS clicks FROM v_flags GROUP BY ALL)"""
+DAYS = """days AS (SELECT treatment_id, send_date, count(*) AS sends, avg(score) AS avg_score, sum(opened) AS opens, sum(clicked) AS clicks FROM v_flags GROUP BY ALL)"""
 
 
-@query("B09 W05", "treatment_id:l send_date sends:l opens:l clicks:l avg_score:d5 next_score:d5 delta:d5", """
+@query("B09 W05", "treatment_id:l send_date sends:l opens:l clicks:l avg_score:d9 next_score:d9 delta:d9", """
 SELECT *, next_score - avg_score AS delta FROM (SELECT *, lead(avg_score) OVER (PARTITION BY treatment_id ORDER BY send_date) AS next_score FROM days) a""", DAYS)
 def click_feedback(t):
     return B.click_feedback(flags(t))
 
 
-@query("B09 W05", "treatment_id:l send_date clicks:l delta_d1:d5 delta_d2:d5 direction", """
+@query("B09 W05", "treatment_id:l send_date clicks:l delta_d1:d9 delta_d2:d9 direction", """
 SELECT *, d1 - avg_score AS delta_d1, d2 - avg_score AS delta_d2, CASE WHEN d1 > avg_score THEN 'UP' WHEN d1 < avg_score THEN 'DOWN' ELSE 'FLAT' END AS direction
 FROM (SELECT *, lead(avg_score) OVER w AS d1, lead(avg_score, 2) OVER w AS d2 FROM days WHERE clicks > 0 WINDOW w AS (PARTITION BY treatment_id ORDER BY send_date)) a
 WHERE d1 IS NOT NULL""", DAYS)
@@ -138,7 +138,7 @@ def click_direction(t):
     return B.click_direction(flags(t))
 
 
-@query("B10 W06 A04", "arm treatment_id:l sends:l avg_score:d5 share:d2", """
+@query("B10 W06 A04", "arm treatment_id:l sends:l avg_score:d9 share:d2", """
 SELECT * FROM (SELECT *, round(sends / sum(sends) OVER (PARTITION BY arm) * 100, 2) AS share FROM (
   SELECT arm, treatment_id, count(*) AS sends, avg(score) AS avg_score FROM v_flags GROUP BY ALL) a) b WHERE sends >= 10""")
 def selection_distribution(t):
@@ -181,12 +181,12 @@ def concentration(t):
     return B.concentration(flags(t))
 
 
-@query("B15", "treatment_id:l n_sends:l n_clicks:l expected:d6 recent_score:d5 delta:d5 ratio:d2 recent_std:d5 expected_std:d6 verdict", """
+@query("B15", "treatment_id:l n_sends:l n_clicks:l expected:d6 recent_score:d9 delta:d9 ratio:d2 recent_std:d9 expected_std:d6 verdict", """
 SELECT *, recent_score - expected AS delta, round(recent_score / nullif(expected, 0), 2) AS ratio, sqrt(1.0 / ((1 + n_sends) * (0.5 + n_sends / 2))) AS expected_std,
   CASE WHEN abs(recent_score - expected) < 0.005 THEN 'MATCH' WHEN abs(recent_score - expected) < 0.01 THEN 'CLOSE' WHEN abs(recent_score - expected) < 0.02 THEN 'DIVERGENT' ELSE 'MISMATCH' END AS verdict
 FROM (SELECT s.treatment_id, n_sends, n_clicks, round(n_clicks / (1 + n_sends), 6) AS expected, r.recent_score, r.recent_std
   FROM (SELECT treatment_id, count(*) AS n_sends, sum(clicked) AS n_clicks FROM v_flags GROUP BY 1 HAVING count(*) >= 100) s
-  LEFT JOIN (SELECT treatment_id, round(avg(score), 6) AS recent_score, round(stddev_samp(score), 6) AS recent_std FROM v_flags WHERE send_date >= DATE '2024-01-28' GROUP BY 1) r
+  LEFT JOIN (SELECT treatment_id, avg(score) AS recent_score, stddev_samp(score) AS recent_std FROM v_flags WHERE send_date >= DATE '2024-01-28' GROUP BY 1) r
   ON r.treatment_id = s.treatment_id) a""")
 def posterior_check(t):
     return B.posterior_check(flags(t), "2024-01-28")
