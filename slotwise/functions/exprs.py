@@ -118,8 +118,10 @@ def prop_num(p="p") -> Column:
 
 def prop(bag, *keys: str) -> Column:
     """First entry with one of the names (earlier names win), without an explode."""
-    bag = col(bag)
-    found = [F.try_element_at(F.filter(bag, lambda e, k=k: e["property_name"] == k), F.lit(1)) for k in keys]
+    def named(key):
+        return lambda e: e["property_name"] == key
+
+    found = [F.try_element_at(F.filter(col(bag), named(k)), F.lit(1)) for k in keys]
     return found[0] if len(found) == 1 else F.coalesce(*found)
 
 

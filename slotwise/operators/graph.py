@@ -96,9 +96,10 @@ def recent_purchases(orders: DataFrame, end: str, days: int = 365) -> DataFrame:
 def zscore(df: DataFrame, columns):
     """Z-scores with population deviation + 1e-8; returns the frame and its one-row statistics."""
     stats = df.agg(*[x for c in columns for x in (F.avg(c).alias(f"{c}_mean"), (F.stddev_pop(c) + EPS).alias(f"{c}_std"))])
-    out = df.join(F.broadcast(stats))  # exactly one row
-    out = out.withColumns({f"{c}_z": (F.col(c) - F.col(f"{c}_mean")) / F.col(f"{c}_std") for c in columns})
-    return out.drop(*stats.columns), stats
+    row = stats.select(F.struct(*stats.columns)).scalar()
+    out = df.withColumn("_s", row)
+    out = out.withColumns({f"{c}_z": (F.col(c) - F.col(f"_s.{c}_mean")) / F.col(f"_s.{c}_std") for c in columns})
+    return out.drop("_s"), stats
 
 
 def encode_labels(df: DataFrame, column: str, out: str = "label_id") -> DataFrame:

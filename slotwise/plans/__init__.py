@@ -4,7 +4,7 @@ from importlib import import_module
 
 from .registry import QUERIES
 
-for _m in ("relational", "ingest", "recs", "graph", "evaluation", "campaign", "bandit", "quality"):
+for _m in ("relational", "ingest", "recs", "graph", "campaign", "bandit", "evaluation", "quality"):
     try:
         import_module(f"{__name__}.{_m}")
     except ModuleNotFoundError as e:  # pragma: no cover
