@@ -29,9 +29,10 @@ def ranked_items(preds: DataFrame, items: str = "items") -> DataFrame:
     return preds.select(*keep, F.posexplode(items).alias("_p", "item")).withColumn("pos", F.col("_p") + 1).drop("_p")
 
 
-def baseline_list(ranked: DataFrame) -> DataFrame:
-    """Items per user in rank order, a repeated item at its first rank."""
+def baseline_list(ranked: DataFrame, k: int) -> DataFrame:
+    """The k items per user that metrics look at, in rank order, a repeated item at its first rank."""
     first = ranked.groupBy("user_id", "item").agg(F.min("rank").alias("rank"))
+    first = top_n_per_key(first, ["user_id"], [F.asc("rank"), F.asc("item")], k)
     return first.groupBy("user_id").agg(F.transform(F.sort_array(F.collect_list(F.struct("rank", "item"))), lambda e: e["item"]).alias("items"))
 
 

@@ -10,7 +10,7 @@ from .sql_views import VIEWS
 
 BOTH = "count(*) FILTER (opened = 1 AND clicked = 1)"
 VIEWS.update({
-    "v_elig": "SELECT user_id FROM v_users WHERE user_id % 17 <> 0",
+    "v_elig": "SELECT user_id FROM v_users WHERE balance >= 0",
     "v_base": """
 SELECT s.*, CAST(s.sent_ts AS DATE) AS send_date, s.sent_ts >= TIMESTAMP '2024-01-14' AS in_crash, e.user_id IS NOT NULL AS eligible,
   CASE WHEN v.tracking_id IS NOT NULL THEN 1 ELSE 0 END AS opened, CASE WHEN c.tracking_id IS NOT NULL THEN 1 ELSE 0 END AS clicked,
@@ -268,15 +268,15 @@ def winner_per_period(t):
 
 @once
 def clean_base(t):
-    """Users of the test tables get both types; the month's first send decides the type of a user here."""
+    """Sends of one model keep their type, the others take the type of the user's first send, so some users have one type only."""
     b = base(t)
     first = b.groupBy("user_id").agg(F.min_by("treatment_type", F.struct("sent_ts", "tracking_id")).alias("_t"))
-    odd = F.col("user_id") % 3 == 0
-    rows = b.join(first, "user_id").withColumn("treatment_type", F.when(odd, F.col("treatment_type")).otherwise(F.col("_t"))).drop("_t")
+    mixed = F.col("model_id") == 0
+    rows = b.join(first, "user_id").withColumn("treatment_type", F.when(mixed, F.col("treatment_type")).otherwise(F.col("_t"))).drop("_t")
     return rows
 
 
-CLEAN = """cb AS (SELECT b.* EXCLUDE (treatment_type), CASE WHEN b.user_id % 3 = 0 THEN b.treatment_type ELSE f.tt END AS treatment_type
+CLEAN = """cb AS (SELECT b.* EXCLUDE (treatment_type), CASE WHEN b.model_id = 0 THEN b.treatment_type ELSE f.tt END AS treatment_type
   FROM v_base b JOIN (SELECT user_id, arg_min(treatment_type, (sent_ts, tracking_id)) AS tt FROM v_base GROUP BY 1) f ON f.user_id = b.user_id),
 sc AS (SELECT * FROM cb WHERE eligible AND user_id NOT IN (SELECT user_id FROM cb WHERE eligible GROUP BY 1 HAVING count(DISTINCT treatment_type) > 1)),
 uo AS (SELECT user_id, CAST(order_ts AS DATE) AS order_date, order_value, min(order_ts) AS order_ts FROM v_purchases GROUP BY ALL),

@@ -128,9 +128,9 @@ def go_no_go(t):
 
 
 @query("E12", "user_id:l first_item last_item n:l", """
-SELECT user_id, arg_min(sku, (r, sku)) AS first_item, arg_max(sku, (r, sku)) AS last_item, count(*) AS n FROM (SELECT user_id, sku, min(line) AS r FROM v_orders GROUP BY ALL) a GROUP BY 1""")
+SELECT user_id, arg_min(sku, (r, sku)) AS first_item, arg_max(sku, (r, sku)) AS last_item, count(*) AS n FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY r, sku) AS rn FROM (SELECT user_id, sku, min(line) AS r FROM v_orders GROUP BY ALL) x) a WHERE rn <= 20 GROUP BY 1""")
 def baseline_list(t):
-    rows = E.baseline_list(t.orders.select("user_id", F.col("sku").alias("item"), F.col("line").alias("rank")))
+    rows = E.baseline_list(t.orders.select("user_id", F.col("sku").alias("item"), F.col("line").alias("rank")), 20)
     return rows.select("user_id", F.element_at("items", 1).alias("first_item"), F.element_at("items", -1).alias("last_item"), F.size("items").alias("n"))
 
 

@@ -98,14 +98,14 @@ def edges(t):
 
 
 @query("G01 S06", "email make model year has_consent:b tier", """
-SELECT email, upper(seg_make) AS make, CASE WHEN user_id % 17 = 0 THEN '' WHEN upper(seg_model) > 'OLD' THEN upper(seg_model) ELSE 'OLD' END AS model,
-  greatest('19x9', CAST(seg_year AS VARCHAR)) AS year, user_id % 4 = 0 AS has_consent, 'cold' AS tier FROM v_users WHERE user_id % 17 <> 0""")
+SELECT email, upper(seg_make) AS make, CASE WHEN balance < 0 THEN '' WHEN upper(seg_model) > 'OLD' THEN upper(seg_model) ELSE 'OLD' END AS model,
+  greatest('19x9', CAST(seg_year AS VARCHAR)) AS year, balance > 7500 AS has_consent, 'cold' AS tier FROM v_users WHERE balance >= 0""")
 def user_nodes(t):
     return G.user_nodes(t.attributes)
 
 
 @query("S06", "user_id:l v1_year v1_make v1_model", """
-SELECT user_id, CAST(seg_year AS VARCHAR) AS v1_year, upper(seg_make) AS v1_make, CASE WHEN user_id % 17 = 0 THEN '' WHEN upper(seg_model) > 'OLD' THEN upper(seg_model) ELSE 'OLD' END AS v1_model FROM v_users""")
+SELECT user_id, CAST(seg_year AS VARCHAR) AS v1_year, upper(seg_make) AS v1_make, CASE WHEN balance < 0 THEN '' WHEN upper(seg_model) > 'OLD' THEN upper(seg_model) ELSE 'OLD' END AS v1_model FROM v_users""")
 def pivot_attributes_max(t):
     return pivot_attributes(t.attributes, ["v1_year", "v1_make", "v1_model"])
 
@@ -255,12 +255,12 @@ def factorize(t):
 
 
 @query("G20", "type n:l weight:d2 hooked:d2", """
-SELECT type, count(*) AS n, sum(coalesce(CASE WHEN user_id % 2 = 0 THEN price END, 1)) AS weight,
-  sum(coalesce(CASE type WHEN 'order' THEN 5 WHEN 'cart' THEN 3 END, CASE WHEN user_id % 2 = 0 THEN price END, 1)) AS hooked
+SELECT type, count(*) AS n, sum(coalesce(CASE WHEN price > 50 THEN price END, 1)) AS weight,
+  sum(coalesce(CASE type WHEN 'order' THEN 5 WHEN 'cart' THEN 3 END, CASE WHEN price > 50 THEN price END, 1)) AS hooked
 FROM (SELECT user_id, CAST(price AS DECIMAL(12,2)) AS price, CASE event_name WHEN 'VIEWED PRODUCT' THEN 'view' WHEN 'CART UPDATE' THEN 'cart' ELSE 'order' END AS type FROM v_staged) a GROUP BY type""")
 def interaction_weight(t):
     kind = F.when(F.col("event_name") == "VIEWED PRODUCT", "view").when(F.col("event_name") == "CART UPDATE", "cart").otherwise("order")
-    rows = t.staged.withColumns({"type": kind, "w": F.when(F.col("user_id") % 2 == 0, F.col("price"))})
+    rows = t.staged.withColumns({"type": kind, "w": F.when(F.col("price") > 50, F.col("price"))})
     hook = F.when(F.col("type") == "order", 5.0).when(F.col("type") == "cart", 3.0)
     return rows.groupBy("type").agg(F.count(F.lit(1)).alias("n"), F.sum(G.interaction_weight("type", "w")).alias("weight"),
                                     F.sum(G.interaction_weight("type", "w", hook)).alias("hooked"))
@@ -286,16 +286,17 @@ def engine_fitment(t):
 
 @once
 def engine_ownership(t):
-    """Users own the entity of their id; every user with an even id owns a second one; ids divisible by 7 own none."""
+    """Users own the entity of their id; users with a positive first component own a second one; a large second component means none."""
     u = F.col("user_id")
-    return t.user_vectors.where(u % 7 != 0).select("user_id", F.explode(F.when(u % 2 == 0, F.array(u % 5, (u + 1) % 5)).otherwise(F.array(u % 5))).alias("entity_id")).select(
+    two = F.array(u % 5, (u + 1) % 5)
+    return t.user_vectors.where(F.col("vec")[1] <= 0.1).select("user_id", F.explode(F.when(F.col("vec")[0] > 0, two).otherwise(F.array(u % 5))).alias("entity_id")).select(
         "user_id", F.col("entity_id").cast("int").alias("entity_id"))
 
 
 VIEWS.update({
-    "n_products": "SELECT product_id, 'c' || (label % 3) AS category, label + product_id / 100000.0 AS popularity, label = 9 AS is_excluded, label FROM e_products",
+    "n_products": "SELECT product_id, 'c' || (label % 3) AS category, label + product_id / 100000.0 AS popularity, label = 9 AS is_excluded, label, vec[1] AS v1 FROM e_products",
     "n_fit": "SELECT product_id, label % 5 AS entity_id FROM e_products",
-    "n_own": "SELECT user_id, user_id % 5 AS entity_id FROM e_users WHERE user_id % 7 <> 0 UNION ALL SELECT user_id, (user_id + 1) % 5 FROM e_users WHERE user_id % 7 <> 0 AND user_id % 2 = 0",
+    "n_own": "SELECT user_id, user_id % 5 AS entity_id FROM e_users WHERE vec[2] <= 0.1 UNION ALL SELECT user_id, (user_id + 1) % 5 FROM e_users WHERE vec[2] <= 0.1 AND vec[1] > 0",
     "n_cand": "SELECT DISTINCT o.user_id, f.product_id FROM n_own o JOIN n_fit f ON f.entity_id = o.entity_id JOIN n_products p ON p.product_id = f.product_id AND NOT p.is_excluded",
 })
 
@@ -342,7 +343,7 @@ def top_k_by_vector(t):
 def bought(t):
     """Every user has bought the products of the label that equals the last digit of the user id (1 if 0)."""
     lab = F.greatest(F.col("user_id") % 10, F.lit(1)).cast("int")
-    return t.user_vectors.select("user_id", lab.alias("label")).join(engine_products(t).where("product_id % 2 = 0").select("label", "product_id"), "label").select("user_id", "product_id")
+    return t.user_vectors.select("user_id", lab.alias("label")).join(engine_products(t).where("vec[0] > 0").select("label", "product_id"), "label").select("user_id", "product_id")
 
 
 @once
@@ -366,7 +367,7 @@ SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY score DESC, pro
   SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY score DESC, product_id) AS rn FROM (
     SELECT s.user_id, s.product_id, s.score, row_number() OVER (PARTITION BY s.user_id, p.category ORDER BY s.score DESC, s.product_id) AS rc
     FROM e_scores s JOIN n_cand c ON c.user_id = s.user_id AND c.product_id = s.product_id JOIN n_products p ON p.product_id = s.product_id
-    WHERE NOT (s.product_id % 2 = 0 AND p.label = greatest(s.user_id % 10, 1))) a WHERE rc <= 2) b WHERE rn <= 4""")
+    WHERE NOT (p.v1 > 0 AND p.label = greatest(s.user_id % 10, 1))) a WHERE rc <= 2) b WHERE rn <= 4""")
 def slot_select_single_pool(t):
     """With one pool the greedy equals cap-then-top-n, which SQL can state."""
     return S.slot_select(ranked(t).withColumns({"is_fitment": F.lit(True), "is_special": F.lit(False)}), 4, 0, 4, 2)
@@ -414,13 +415,13 @@ def canonical_exclusion(t):
                                  t.catalog.select(F.col("part_id").alias("product_id"), "sku"))
 
 
-@query("D54 J07", "user_id:l", "SELECT user_id FROM v_users WHERE user_id IN (SELECT user_id FROM v_events) AND user_id % 4 = 0")
+@query("D54 J07", "user_id:l", "SELECT user_id FROM v_users WHERE user_id IN (SELECT user_id FROM v_events) AND balance > 7500")
 def target_users(t):
-    return C.target_users(t.users.withColumn("has_consent", F.col("user_id") % 4 == 0), t.events.select("user_id"), consent=True)
+    return C.target_users(t.users.withColumn("has_consent", F.col("balance") > 7500), t.events.select("user_id"), consent=True)
 
 
 @query("P12", "user_id:l n:l", """
 SELECT s.user_id, count(*) AS n FROM e_scores s JOIN n_cand c ON c.user_id = s.user_id AND c.product_id = s.product_id JOIN n_products p ON p.product_id = s.product_id
-WHERE NOT (s.product_id % 2 = 0 AND p.label = greatest(s.user_id % 10, 1)) AND p.category <> 'c1' GROUP BY 1""")
+WHERE NOT (p.v1 > 0 AND p.label = greatest(s.user_id % 10, 1)) AND p.category <> 'c1' GROUP BY 1""")
 def post_rank_filter(t):
     return S.post_rank_filter(ranked(t), F.col("category") != "c1").groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
+import uuid
 
 from pyspark.sql import functions as F
 
@@ -67,7 +67,7 @@ def mixed_values(t):
 
 
 @query("S05 W01", "user_id:l email year:l make model", """
-SELECT user_id, email, seg_year AS year, upper(seg_make) AS make, upper(seg_model) AS model FROM v_users WHERE user_id % 17 <> 0""")
+SELECT user_id, email, seg_year AS year, upper(seg_make) AS make, upper(seg_model) AS model FROM v_users WHERE balance >= 0""")
 def latest_attributes(t):
     return bags.latest_attributes(t.attributes)
 
@@ -109,7 +109,7 @@ SELECT treatment_id, CASE WHEN treatment_id % 2 = 0 THEN 'Post Purchase' ELSE 'O
 def federated_names(t):
     """Treatment names from another store; a parquet copy stands in for the remote table (see ``jdbc_lookup``)."""
     from ..operators.campaign import campaign_of
-    path = os.path.join(tempfile.mkdtemp(prefix="slotwise-"), "names")
+    path = _scratch(t, "s11")
     t.sends.select("treatment_id").distinct().withColumn(
         "name", F.when(F.col("treatment_id") % 2 == 0, "POST PURCHASE mail").otherwise("weekly mail")).write.parquet(path)
     names = tables.read_keyed(t.spark, path, ["treatment_id"])
@@ -131,8 +131,9 @@ def keyed_and_optional_read(t):
 
 
 def _scratch(t, name):
-    root = t.spark.conf.get("spark.checkpoint.dir", None) or tempfile.gettempdir()
-    return tempfile.mkdtemp(prefix=f"slotwise-{name}-", dir=root if os.path.isdir(root) else None) + "/t"
+    """Fresh folder under the shared checkpoint folder of the session; a temporary one only where none is set."""
+    root = t.spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="slotwise-")
+    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
 @query("K01", "event_date n:l users:l", "SELECT CAST(event_ts AS DATE) AS event_date, count(*) AS n, count(DISTINCT user_id) AS users FROM v_staged GROUP BY 1")

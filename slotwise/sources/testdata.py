@@ -143,10 +143,10 @@ class Tables:
         base = F.to_timestamp(F.lit("2024-01-01 00:00:00"))
         new = bag(("Email", "s", F.concat(F.lit(" "), F.upper("email"))), ("v1_year", "l", F.col("seg_year")),
                   ("v1_make", "s", F.lower("seg_make")),
-                  ("v1_model", "s", F.when(F.col("user_id") % 17 == 0, "").otherwise(F.col("seg_model"))),
-                  ("email_marketing_consent", "s", F.when(F.col("user_id") % 4 == 0, "subscribed").otherwise("no")))
+                  ("v1_model", "s", F.when(F.col("balance") < 0, "").otherwise(F.col("seg_model"))),
+                  ("email_marketing_consent", "s", F.when(F.col("balance") > 7500, "subscribed").otherwise("no")))
         old = bag(("email", "s", F.col("email")), ("v1_year", "s", F.lit("19x9")),
-                  ("v1_model", "s", F.when(F.col("user_id") % 17 == 0, "").otherwise("OLD")))
+                  ("v1_model", "s", F.when(F.col("balance") < 0, "").otherwise("OLD")))
         snap = F.explode(F.array(F.struct(base.alias("t"), old.alias("props")),
                                  F.struct((base + F.expr("INTERVAL 1 DAY")).alias("t"), new.alias("props")))).alias("s")
         return u.select("user_id", snap).select(
