@@ -82,7 +82,7 @@ def null_counts(df: DataFrame, columns) -> DataFrame:
 def bad_numbers(df: DataFrame, columns) -> DataFrame:
     """Negative, NaN or infinite values per column, one pass."""
     def bad(c):
-        v = F.col(c).cast("double")
+        v = F.col(c).try_cast("double")
         return F.count_if((v < 0) | F.isnan(v) | (F.abs(v) == float("inf")))
 
     row = df.agg(*[bad(c).alias(c) for c in columns])

@@ -153,7 +153,7 @@ def eligible(t):
 
 @once
 def tiers(t):
-    seg = P.segment_popularity(t.imported, t.staged, t.users, p)
+    seg = shared(P.segment_popularity(t.imported, t.staged, t.users, p))
     return seg, P.make_popularity(seg, p), P.global_popularity(t.imported, t.staged, t.users, p)
 
 
