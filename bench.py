@@ -1,6 +1,8 @@
 """Benchmark: wall-clock of headline queries, one JSON line.
 
-Each query is built and collected with no shared frame or cached block left from another.
+Each query is built and run with no shared frame or cached block left from another. The
+flagship runs once over the small tables first, so that class loading and JIT compilation of
+the JVM are not charged to whichever query comes first.
 """
 
 import json
@@ -31,11 +33,16 @@ def main():
         SparkSession.builder.master(f"local[{cpus}]").appName("bench")
         .config("spark.sql.shuffle.partitions", str(max(int(cpus) if cpus.isdigit() else 8, 4)))
         .config("spark.sql.session.timeZone", "UTC").config("spark.ui.enabled", "false")
+        .config("spark.sql.dataFrameQueryContext.enabled", "false")
         .config("spark.driver.memory", os.environ.get("BENCH_MEMORY", "16g"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
     spark.range(1000).selectExpr("sum(id)").collect()
+    small = os.path.join(os.path.dirname(path.rstrip("/")), "sf0.001")
+    if os.path.isdir(small):
+        for name in ("d43_wide_output", "c24_revenue_attribution"):
+            QUERIES[name].run(spark, small).write.format("noop").mode("overwrite").save()
     times = {}
     for name in HEADLINE:
         forget(spark)

@@ -34,16 +34,24 @@ def _counts(df: DataFrame, *keys) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
 
 
-def _both_sources(imported, staged, users, by, p, normalize_recent=True) -> DataFrame:
-    hist = _counts(window_orders(imported, p), "email", "sku").join(users.select("email", *by), "email")
-    recent = _counts(event_orders(staged, normalize_recent), "user_id", "sku").join(users.select("user_id", *by), "user_id")
+def history_counts(imported: DataFrame, p: RecParams) -> DataFrame:
+    """Imported orders per (email, sku); one such frame serves D12 and D14."""
+    return _counts(window_orders(imported, p), "email", "sku")
+
+
+def _both_sources(hist, staged, users, by) -> DataFrame:
+    hist = hist.join(users.select("email", *by), "email")
+    recent = _counts(event_orders(staged), "user_id", "sku").join(users.select("user_id", *by), "user_id")
     keys = [*by, "sku"]
     return hist.select(*keys, "n").unionByName(recent.select(*keys, "n")).groupBy(*keys).agg(F.sum("n").alias("orders"))
 
 
-def segment_popularity(imported, staged, users, p: RecParams, segment=SEGMENT) -> DataFrame:
-    """Orders of both sources per (segment, sku), at least the minimum, scored and ranked."""
-    rows = _both_sources(imported, staged, users, segment, p).where(F.col("orders") >= p.min_segment_orders)
+def segment_popularity(hist, staged, users, p: RecParams, segment=SEGMENT) -> DataFrame:
+    """Orders of both sources per (segment, sku), at least the minimum, scored and ranked.
+
+    ``hist`` comes from ``history_counts``.
+    """
+    rows = _both_sources(hist, staged, users, segment).where(F.col("orders") >= p.min_segment_orders)
     rows = rows.select(*segment, "sku", F.col("orders").alias("total_segment_orders"),
                        F.round(X.log_score("orders", p.segment_weight), 2).alias("segment_score"))
     return ranked(rows, segment, "total_segment_orders", "rank_in_segment", "segment_total")
@@ -71,9 +79,9 @@ def make_popularity(segments: DataFrame, p: RecParams, make: str = "seg_make") -
     return ranked(rows, [make], "total_make_orders", "rank_in_make", "make_total")
 
 
-def global_popularity(imported, staged, users, p: RecParams) -> DataFrame:
+def global_popularity(hist, staged, users, p: RecParams) -> DataFrame:
     """Orders of known users per sku. Recent skus are normalised only if asked for."""
-    hist = _counts(window_orders(imported, p), "email", "sku").join(users.select("email").distinct(), "email", "left_semi")
+    hist = hist.join(users.select("email").distinct(), "email", "left_semi")
     recent = _counts(event_orders(staged, p.normalize_both), "user_id", "sku").join(
         users.select("user_id"), "user_id", "left_semi")
     return hist.select("sku", "n").unionByName(recent.select("sku", "n")).groupBy("sku").agg(

@@ -153,8 +153,9 @@ def eligible(t):
 
 @once
 def tiers(t):
-    seg = shared(P.segment_popularity(t.imported, t.staged, t.users, p))
-    return seg, P.make_popularity(seg, p), P.global_popularity(t.imported, t.staged, t.users, p)
+    hist = shared(P.history_counts(t.imported, p))
+    seg = shared(P.segment_popularity(hist, t.staged, t.users, p))
+    return seg, P.make_popularity(seg, p), P.global_popularity(hist, t.staged, t.users, p)
 
 
 @once
@@ -428,7 +429,7 @@ def popularity_raw_lookup(t):
     q = p.but(normalize_both=False)
     seg, mk, _ = tiers(t)
     cand = profile_parts(t)
-    return P.with_popularity(cand, seg, mk, P.global_popularity(t.imported, t.staged, t.users, q), q)
+    return P.with_popularity(cand, seg, mk, P.global_popularity(P.history_counts(t.imported, q), t.staged, t.users, q), q)
 
 
 @query("D16", "sku hist_orders:l recent_orders:l popularity:d4", f"""
