@@ -181,7 +181,7 @@ def concentration(t):
     return B.concentration(flags(t))
 
 
-@query("B15", "treatment_id:l n_sends:l n_clicks:l expected:d6 recent_score:d9 delta:d9 ratio:d2 recent_std:d9 expected_std:d6 verdict", """
+@query("B15", "treatment_id:l n_sends:l n_clicks:l expected:d6 recent_score:d9 delta:d6 ratio:d2 recent_std:d9 expected_std:d6 verdict", """
 SELECT *, recent_score - expected AS delta, round(recent_score / nullif(expected, 0), 2) AS ratio, sqrt(1.0 / ((1 + n_sends) * (0.5 + n_sends / 2))) AS expected_std,
   CASE WHEN abs(recent_score - expected) < 0.005 THEN 'MATCH' WHEN abs(recent_score - expected) < 0.01 THEN 'CLOSE' WHEN abs(recent_score - expected) < 0.02 THEN 'DIVERGENT' ELSE 'MISMATCH' END AS verdict
 FROM (SELECT s.treatment_id, n_sends, n_clicks, round(n_clicks / (1 + n_sends), 6) AS expected, r.recent_score, r.recent_std
