@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing
+from . import packing, toxicity, url_globs
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,3 +26,35 @@ def query(fn=None, *, sql: str | None = None):
 @query
 def op4_packing(spark, sf_dir):
     return packing.digest(packing.pack(table(spark, sf_dir, "documents")))
+
+
+@query
+def op3_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    scored = toxicity.score(docs, model)
+    return scored.select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted")
+
+
+@query(sql="""
+WITH rest AS (
+  SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS r FROM pages
+), parts AS (
+  SELECT page_id, translate(regexp_extract(r, '^([^/?#]*)([^?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(r, '^([^/?#]*)([^?#]*)', 2) AS path
+  FROM rest
+), ruled AS (
+  SELECT *, CASE
+    WHEN '.' || host LIKE '%.www.example.com' AND path LIKE '/en/%' THEN 'www.example.com/en/'
+    WHEN '.' || host LIKE '%.example.com' AND path LIKE '/en/%' THEN 'example.com/en/'
+    WHEN '.' || host LIKE '%.net' AND path LIKE '/es/%' THEN 'net/es/'
+    WHEN '.' || host LIKE '%.net' AND path LIKE '/fr/%' THEN 'net/fr/'
+    WHEN '.' || host LIKE '%.com' AND path LIKE '/%' THEN 'com/' END AS rule
+  FROM parts
+)
+SELECT page_id, host, path, rule, CASE
+  WHEN rule IN ('www.example.com/en/', 'com/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
+  WHEN host LIKE '%cheap-%' OR host LIKE '%spam-%' OR host LIKE '%casino%' THEN 'block' ELSE 'allow' END AS verdict
+FROM ruled""")
+def op9_url_globs(spark, sf_dir):
+    return url_globs.judge(table(spark, sf_dir, "pages"))
