@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing, toxicity, url_globs
+from . import line_dedup, packing, simhash, toxicity, url_globs
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,6 +28,11 @@ def op4_packing(spark, sf_dir):
     return packing.digest(packing.pack(table(spark, sf_dir, "documents")))
 
 
+@query
+def op2_simhash(spark, sf_dir):
+    return simhash.near_copies(table(spark, sf_dir, "documents"))
+
+
 @query
 def op3_toxicity(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
@@ -36,6 +41,27 @@ def op3_toxicity(spark, sf_dir):
     return scored.select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted")
 
 
+@query(sql=r"""
+WITH cut AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS unit FROM documents
+), placed AS (
+  SELECT doc_id, unit, sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY unit) - length(line) - 1 AS b, length(line) AS n,
+         trim(regexp_replace(lower(line), '\s+', ' ', 'g')) AS norm
+  FROM cut
+), ranked AS (
+  SELECT *, first_value(doc_id) OVER g AS first_doc, first_value(b) OVER g AS first_b, row_number() OVER g AS rn
+  FROM placed WHERE len(string_split(norm, ' ')) >= 5 WINDOW g AS (PARTITION BY norm ORDER BY doc_id, unit)
+)
+SELECT doc_id, CAST(unit AS INTEGER) AS unit, CAST(b AS BIGINT) AS span_start, CAST(b + n AS BIGINT) AS span_end,
+       first_doc AS first_doc_id, CAST(first_b AS BIGINT) AS first_start
+FROM ranked WHERE rn > 1""")
+def op6_line_dedup(spark, sf_dir):
+    """Spans that go, with the place of the occurrence that stays; ``line_dedup.clean`` gives the cleaned texts."""
+    found = line_dedup.find_repeats(table(spark, sf_dir, "documents"))
+    return found.select(found["_doc"].alias("doc_id"), "unit", found["start"].alias("span_start"), found["end"].alias("span_end"),
+                        found["first_doc"].alias("first_doc_id"), "first_start")
+
+
 @query(sql="""
 WITH rest AS (
   SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS r FROM pages
