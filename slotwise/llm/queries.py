@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import line_dedup, packing, simhash, toxicity, url_globs
+from . import line_dedup, packing, secrets_forest, simhash, toxicity, url_globs
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -62,6 +63,14 @@ def op6_line_dedup(spark, sf_dir):
                         found["first_doc"].alias("first_doc_id"), "first_start")
 
 
+@query
+def op8_secrets_forest(spark, sf_dir):
+    """Every candidate finding with the forest's score; ``secrets_forest.redact`` gives the cleaned texts."""
+    found = secrets_forest.scan(table(spark, sf_dir, "documents"))
+    end = found["start"] + F.length("candidate")
+    return found.select(found["_doc"].alias("doc_id"), found["start"].alias("span_start"), end.alias("span_end"), "candidate", "score", "is_secret")
+
+
 @query(sql="""
 WITH rest AS (
   SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS r FROM pages
