@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, packing, secrets_forest, simhash, toxicity, url_globs
+from . import line_dedup, packing, perplexity, secrets_forest, simhash, toxicity, url_globs
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,6 +29,11 @@ def op4_packing(spark, sf_dir):
     return packing.digest(packing.pack(table(spark, sf_dir, "documents")))
 
 
+@query
+def op1_perplexity(spark, sf_dir):
+    return perplexity.judge(table(spark, sf_dir, "documents"))
+
+
 @query
 def op2_simhash(spark, sf_dir):
     return simhash.near_copies(table(spark, sf_dir, "documents"))

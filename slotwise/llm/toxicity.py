@@ -102,7 +102,7 @@ def train(rows: DataFrame, features: int = 4096, least_g2: float = 12.0) -> Mode
     def count(batches):
         n, docs = np.zeros((2, 1 << BITS), np.int64), np.zeros(2, np.int64)
         for batch in batches:
-            for part in pieces(batch, "_text", 4_000_000):
+            for part in pieces(batch, "_text", 1_500_000):
                 y = np.asarray(part.column("y"))
                 of, bucket = present(texts_of(part))
                 docs += np.bincount(y, minlength=2)[:2]
@@ -136,7 +136,7 @@ def train(rows: DataFrame, features: int = 4096, least_g2: float = 12.0) -> Mode
 
     def features_of(batch):
         out = []
-        for part in pieces(batch, "_text", 4_000_000):
+        for part in pieces(batch, "_text", 1_500_000):
             of, bucket = present(texts_of(part), chosen)
             out += np.split(bucket, np.searchsorted(of, np.arange(1, part.num_rows)))
         return pa.RecordBatch.from_arrays(
@@ -159,7 +159,7 @@ def score(docs: DataFrame, model: Model, threshold: float = 0.3, doc_id: str = "
 
     def run(batch):
         margins = []
-        for part in pieces(batch, "_text", 4_000_000):
+        for part in pieces(batch, "_text", 1_500_000):
             of, bucket = present(texts_of(part), chosen)
             margins.append(bias + np.bincount(of, weights=weight[bucket], minlength=part.num_rows))
         s = np.round(1 / (1 + np.exp(-np.concatenate(margins))), 6)
