@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, packing, perplexity, secrets_forest, simhash, toxicity, url_globs
+from . import cover_search, line_dedup, packing, perplexity, secrets_forest, simhash, toxicity, url_globs
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -98,3 +98,18 @@ SELECT page_id, host, path, rule, CASE
 FROM ruled""")
 def op9_url_globs(spark, sf_dir):
     return url_globs.judge(table(spark, sf_dir, "pages"))
+
+
+@query(sql="""
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 5""")
+def op10_cover_search(spark, sf_dir):
+    return cover_search.top_k(table(spark, sf_dir, "embeddings"), lambda i: i % 50 == 0)
