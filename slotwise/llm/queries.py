@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import cover_search, line_dedup, packing, perplexity, secrets_forest, simhash, toxicity, url_globs
+from . import cover_search, line_dedup, packing, perplexity, piece_scan, secrets_forest, simhash, toxicity, url_globs
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -47,6 +47,14 @@ def op3_toxicity(spark, sf_dir):
     return scored.select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted")
 
 
+@query
+def op5_piece_scan(spark, sf_dir):
+    """Chunks of every text: digests of the ids and of the text that decoding them gives back."""
+    both = piece_scan.decode(piece_scan.encode(table(spark, sf_dir, "documents")))
+    return both.select("doc_id", "chunk", "start", "n_chars", (F.length("ids") / 4).cast("long").alias("n_pieces"),
+                       F.crc32("ids").alias("ids_crc32"), F.crc32(F.col("text").cast("binary")).alias("text_crc32"))
+
+
 @query(sql=r"""
 WITH cut AS (
   SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS unit FROM documents
