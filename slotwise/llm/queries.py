@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import cover_search, line_dedup, packing, perplexity, piece_scan, secrets_forest, simhash, toxicity, url_globs
+from . import cover_search, licenses, line_dedup, packing, perplexity, piece_scan, secrets_forest, simhash, toxicity, url_globs
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,7 +36,7 @@ def op1_perplexity(spark, sf_dir):
 
 @query
 def op2_simhash(spark, sf_dir):
-    return simhash.near_copies(table(spark, sf_dir, "documents"))
+    return simhash.near_copies(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
 
 @query
@@ -76,6 +76,13 @@ def op6_line_dedup(spark, sf_dir):
                         found["first_doc"].alias("first_doc_id"), "first_start")
 
 
+@query
+def op7_licenses(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    path = F.concat_ws("/", "source", "lang", F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))
+    return licenses.scan(docs.withColumn("_file", path), "_file")
+
+
 @query
 def op8_secrets_forest(spark, sf_dir):
     """Every candidate finding with the forest's score; ``secrets_forest.redact`` gives the cleaned texts."""

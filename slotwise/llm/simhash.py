@@ -73,16 +73,17 @@ def fingerprint(hashes: list[np.ndarray]) -> np.ndarray:
 
 
 def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, fp (the 64 bits as a signed long)."""
+    """doc_id, text_hash, fp (the 64 bits as a signed long)."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         found = []
         for part in pieces(batch, "_text"):
             found.append(fingerprint([np.array(shingle_hashes(t.as_py() or ""), np.uint64) for t in part.column("_text")]))
-        return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(np.concatenate(found).view(np.int64))], names=["doc_id", "fp"])
+        return pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_hash"), pa.array(np.concatenate(found).view(np.int64))], names=["doc_id", "text_hash", "fp"])
 
     kind = docs.schema[doc_id].dataType.simpleString()
-    return map_batches(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("_text")), run, f"doc_id {kind}, fp bigint")
+    own = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("text_hash"), F.col(text).alias("_text"))
+    return map_batches(own, run, f"doc_id {kind}, text_hash bigint, fp bigint")
 
 
 def distance(points: np.ndarray, point) -> np.ndarray:
@@ -227,11 +228,20 @@ def links(points: DataFrame, shard: int = SHARD, sample: int = SAMPLE) -> DataFr
 
 
 def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shard: int = SHARD, sample: int = SAMPLE) -> DataFrame:
-    """doc_id, fingerprint (16 hex digits), component_id of every document."""
+    """doc_id, fingerprint (16 hex digits), component_id, text_hash, root (least fingerprint of the component) of every document."""
     own = durable(fingerprints(docs, doc_id, text))
     points = durable(own.groupBy("fp").agg(F.min("doc_id").alias("least")))
     roots = connected(links(points, shard, sample)).select(F.col("u").alias("fp"), F.col("v").alias("root"))
     linked = points.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     least = linked.groupBy("root").agg(F.min("least").alias("component_id"))
-    classes = linked.join(least, "root").select("fp", "component_id")
-    return own.join(classes, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    classes = linked.join(least, "root").select("fp", "root", "component_id")
+    return own.join(classes, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "text_hash", "root")
+
+
+def firsts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **bounds: int) -> DataFrame:
+    """One document of each component: the least id (null last), then the least text hash; of repeated rows one."""
+    rank = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("text_hash").alias("hash"))
+    first = near_copies(docs, doc_id, text, **bounds).groupBy("root").agg(F.min(rank).alias("f"))
+    first = first.select(F.coalesce(F.col("f.id").cast("string"), F.lit("")).alias("_id"), F.col("f.hash").alias("_hash"))
+    keyed = docs.withColumn("_id", F.coalesce(F.col(doc_id).cast("string"), F.lit(""))).withColumn("_hash", F.xxhash64(text))
+    return keyed.join(first, ["_id", "_hash"], "left_semi").dropDuplicates(["_id", "_hash"]).select(*docs.columns)
