@@ -1,7 +1,7 @@
 """Operator 7: licence scan by sparse TF-IDF cosine and directory inheritance.
 
 Headers are the lines of a text that hold a licence word; licence files are recognised by name, or because
-their whole text is a licence notice. Both are compared with templates as sparse TF-IDF vectors; document
+their whole text is a licence notice (cosine of at least ``WHOLE``). Both are compared with templates as sparse TF-IDF vectors; document
 frequencies of the templates' terms are counted over all texts (a term that no template has weighs as one that no
 document has). A header at or above the threshold gives the file its licence. A licence file gives its licence to its
 directory, and a file without a licence of its own takes that of the nearest ancestor directory that has one:
@@ -38,7 +38,7 @@ TEMPLATES = {
 }
 HEADER_WORDS = ("licens", "licenc", "copyright", "spdx")
 LICENCE_FILE = r"(?i)(^|/)(licen[cs]e|copying|unlicense)([._\-][^/]*)?$"
-THRESHOLD = 0.6
+THRESHOLD, WHOLE = 0.6, 0.8
 _TERM_BYTES = bytes(b if chr(b).isalnum() and b < 128 or b > 127 else 32 for b in range(256))
 
 
@@ -109,7 +109,7 @@ def scan(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text",
     found = map_batches(own, run, f"_doc {kind}, _path string, header double, whole double, header_license string, whole_license string")
     folder = F.when(F.col("_path").contains("/"), F.regexp_replace("_path", "/[^/]*$", "")).when(F.col("_path").isNotNull(), F.lit(""))
     found = found.withColumn("_dir", folder)
-    is_file = (F.col("whole") >= threshold) | (F.col("_path").rlike(LICENCE_FILE) & (F.col("header") >= threshold))
+    is_file = (F.col("whole") >= WHOLE) | (F.col("_path").rlike(LICENCE_FILE) & (F.col("header") >= threshold))
     licence, how = F.when(F.col("whole") >= F.col("header"), F.col("whole_license")).otherwise(F.col("header_license")), F.greatest("whole", "header")
     by_dir = (found.where(is_file & F.col("_dir").isNotNull()).groupBy("_dir")
               .agg(F.min(F.struct((-how).alias("s"), licence.alias("license"))).alias("best")).select(F.col("_dir").alias("ancestor"), F.col("best.license").alias("inherited")))

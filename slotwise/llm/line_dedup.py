@@ -10,8 +10,8 @@ Units of fewer than ``min_words`` words are no evidence of copying and stay.
 Defined results: a null text has no units and stays null; an empty text stays empty; rows with
 a null id rank after all others; equally ranked occurrences (rows repeated with id and text) all
 stay or all go, so that repeated rows are treated alike; a text all of whose units are removed
-becomes empty; empty tables give no rows; other columns are carried through under any name that does not
-start with an underscore.
+becomes empty; empty tables give no rows; other columns are carried through under any name but
+``removed``.
 """
 
 from __future__ import annotations
@@ -77,8 +77,9 @@ def clean(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", separator
     gone = find_repeats(docs, doc_id, text, separator, min_words)
     # Bounded by the units of one text. Repeated rows find the same spans, once each.
     spans = gone.groupBy("_doc", "_text_hash").agg(F.sort_array(F.collect_set(F.struct("unit", "start", "end", "first_doc", "first_start"))).alias("_spans"))
-    both = docs.withColumn("_key", F.xxhash64(text)).join(
-        spans, (F.col(doc_id).eqNullSafe(F.col("_doc"))) & (F.col("_key") == F.col("_text_hash")), "left")
+    rest = [c for c in docs.columns if c != text]
+    own = docs.select(F.col(doc_id).alias("_id"), F.xxhash64(text).alias("_key"), F.col(text).alias("_text"), *[F.col(c).alias(f"c{i}") for i, c in enumerate(rest)])
+    both = own.join(spans, F.col("_id").eqNullSafe(F.col("_doc")) & (F.col("_key") == F.col("_text_hash")), "left")
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         out = []
@@ -90,13 +91,11 @@ def clean(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", separator
                 keep[gone] = False
                 value = separator.join(p for p, k in zip(parts, keep, strict=True) if k)
             out.append(value)
-        rest = [batch.column(i) for i, n in enumerate(batch.schema.names) if n not in ("_text", "_units")]
-        return pa.RecordBatch.from_arrays([pa.array(out, pa.string()), *rest], names=["_text", *(f"c{i}" for i in range(len(rest)))])
+        other = [n for n in batch.schema.names if n not in ("_text", "_units")]
+        return pa.RecordBatch.from_arrays([pa.array(out, pa.string()), *map(batch.column, other)], names=["_text", *other])
 
-    rest = [c for c in docs.columns if c != text]
     removed = F.coalesce(F.transform("_spans", lambda s: F.struct(s["start"], s["end"], s["first_doc"], s["first_start"])), F.array())
-    kept = both.select(F.col(text).alias("_text"), F.transform("_spans", lambda s: s["unit"]).alias("_units"),
-                       *[docs[c].alias(f"c{i}") for i, c in enumerate(rest)], removed.alias(f"c{len(rest)}"))
+    kept = both.select("_text", F.transform("_spans", lambda s: s["unit"]).alias("_units"), *[f"c{i}" for i in range(len(rest))], removed.alias(f"c{len(rest)}"))
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in kept.schema.fields if f.name not in ("_text", "_units"))
     out = map_batches(kept, run, f"_text string, {kinds}")
     back = {c: F.col(f"c{i}").alias(c) for i, c in enumerate(rest)} | {text: F.col("_text").alias(text)}

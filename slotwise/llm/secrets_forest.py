@@ -159,6 +159,9 @@ def redact(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path: st
     # Bounded by one text; longer secrets first, so none is left in part.
     own = found.groupBy("_doc", "_text_hash").agg(F.collect_set("candidate").alias("_secrets"))
     own = own.withColumn("_secrets", F.reverse(F.array_sort(F.transform("_secrets", lambda s: F.struct(F.length(s).alias("n"), s.alias("s"))))))
-    both = docs.withColumn("_key", F.xxhash64(text)).join(own, F.col(doc_id).eqNullSafe(F.col("_doc")) & (F.col("_key") == F.col("_text_hash")), "left")
-    new = F.when(F.col("_secrets").isNull(), docs[text]).otherwise(F.aggregate("_secrets", docs[text], lambda t, s: F.replace(t, s["s"], F.lit(mark))))
-    return both.select(*[new.alias(c) if c == text else docs[c] for c in docs.columns])
+    rest = [c for c in docs.columns if c != text]
+    docs_ = docs.select(F.col(doc_id).alias("_id"), F.xxhash64(text).alias("_key"), F.col(text).alias("_text"), *[F.col(c).alias(f"c{i}") for i, c in enumerate(rest)])
+    both = docs_.join(own, F.col("_id").eqNullSafe(F.col("_doc")) & (F.col("_key") == F.col("_text_hash")), "left")
+    new = F.when(F.col("_secrets").isNull(), F.col("_text")).otherwise(F.aggregate("_secrets", F.col("_text"), lambda t, s: F.replace(t, s["s"], F.lit(mark))))
+    back = {c: F.col(f"c{i}").alias(c) for i, c in enumerate(rest)} | {text: new.alias(text)}
+    return both.select(*[back[c] for c in docs.columns])

@@ -243,5 +243,6 @@ def firsts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **bounds
     rank = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("text_hash").alias("hash"))
     first = near_copies(docs, doc_id, text, **bounds).groupBy("root").agg(F.min(rank).alias("f"))
     first = first.select(F.coalesce(F.col("f.id").cast("string"), F.lit("")).alias("_id"), F.col("f.hash").alias("_hash"))
-    keyed = docs.withColumn("_id", F.coalesce(F.col(doc_id).cast("string"), F.lit(""))).withColumn("_hash", F.xxhash64(text))
-    return keyed.join(first, ["_id", "_hash"], "left_semi").dropDuplicates(["_id", "_hash"]).select(*docs.columns)
+    keyed = docs.select(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).alias("_id"), F.xxhash64(text).alias("_hash"), *[F.col(c).alias(f"c{i}") for i, c in enumerate(docs.columns)])
+    kept = keyed.join(first, ["_id", "_hash"], "left_semi").dropDuplicates(["_id", "_hash"])
+    return kept.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)])
