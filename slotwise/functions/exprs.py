@@ -219,9 +219,12 @@ def nig_posterior(k, n, ss=None, mu: float = 0.0, lam: float = 1.0, alpha: float
 
 
 def hash_uniform(*cols, salt: int = 0) -> Column:
-    """Uniform in (0, 1), a pure function of its inputs (stable under repartition and retry)."""
-    h = F.xxhash64(*[col(c) for c in cols], F.lit(salt))
-    return (F.pmod(h, F.lit(1 << 52)).cast("double") + 0.5) / float(1 << 52)
+    """Uniform in (0, 1), a pure function of its inputs (stable under repartition and retry).
+
+    The first 13 hex digits of an MD5, so that any engine can state the same draw.
+    """
+    text = F.concat_ws(":", *[col(c).cast("string") for c in cols], F.lit(str(salt)))
+    return (F.conv(F.substring(F.md5(text.cast("binary")), 1, 13), 16, 10).cast("double") + 0.5) / float(1 << 52)
 
 
 def hash_normal(*cols, salt: int = 0) -> Column:
@@ -254,9 +257,10 @@ def minutes_between(a, b) -> Column:
     return F.timestamp_diff("MINUTE", col(a), col(b))
 
 
-def order_year(text) -> Column:
-    """Four-digit 20xx year found in a date text, NULL if none."""
-    return F.nullif(F.regexp_extract(col(text), r"\b(20[0-9]{2})\b", 1), F.lit("")).try_cast("int")
+def order_year(text, first: int, last: int) -> Column:
+    """Four-digit year of the centuries of first..last found in a date text, NULL if none."""
+    centuries = "|".join(str(c) for c in range(first // 100, last // 100 + 1))
+    return F.nullif(F.regexp_extract(col(text), rf"\b((?:{centuries})[0-9]{{2}})\b", 1), F.lit("")).try_cast("int")
 
 
 def parse_long_date(text) -> Column:

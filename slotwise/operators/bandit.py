@@ -14,6 +14,7 @@ from ..functions.keyed import global_top, metric_rows, share_of_group
 
 RANDOM_MODEL = 1
 DEFAULT_MEAN, DEFAULT_STDDEV = 0.0, 0.05
+MOST_TREATMENTS = 10_000
 
 
 def _n() -> Column:
@@ -58,13 +59,15 @@ def with_nig(ctr: DataFrame, **prior) -> DataFrame:
 def thompson_assign(users: DataFrame, treatments: DataFrame, posterior: DataFrame, day: int) -> DataFrame:
     """One treatment per user by a posterior draw that depends only on (treatment, user, day).
 
-    The treatment list is a short configuration table; it becomes one array (scalar
-    subquery) and the best draw is taken inside the row, so users are neither shuffled nor
-    multiplied. Unknown treatments draw from the default prior.
+    The treatment list is a short configuration table, at most MOST_TREATMENTS long (checked); it
+    becomes one array (scalar subquery) and the best draw is taken inside the row, so users are
+    neither shuffled nor multiplied. Unknown treatments draw from the default prior.
     """
     t = treatments.select("treatment_id").distinct().join(posterior.select("treatment_id", "mean", "stddev"), "treatment_id", "left").select(
         "treatment_id", F.coalesce("mean", F.lit(DEFAULT_MEAN)).alias("mean"), F.coalesce("stddev", F.lit(DEFAULT_STDDEV)).alias("stddev"))
-    arr = t.agg(F.collect_list(F.struct("treatment_id", "mean", "stddev"))).scalar()
+    few = F.when(F.count(F.lit(1)) > MOST_TREATMENTS, F.raise_error(F.lit("too many treatments")).cast("boolean")).otherwise(F.lit(True))
+    first = t.orderBy("treatment_id").limit(MOST_TREATMENTS + 1)  # one more than allowed, so the check sees it
+    arr = first.agg(F.when(few, F.collect_list(F.struct("treatment_id", "mean", "stddev")))).scalar()
 
     def draw(e):
         seed = F.concat(e["treatment_id"].cast("string"), F.lit(":"), F.col("user_id").cast("string"), F.lit(f"@{day}"))

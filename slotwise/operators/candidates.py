@@ -36,10 +36,10 @@ def category_score(category, primary):
 
 
 def purchase_exclusion(staged: DataFrame, imported: DataFrame, users: DataFrame, p: RecParams) -> DataFrame:
-    """Distinct (user_id, sku) bought in the windows, variant-normalised."""
-    ts = F.to_date("event_ts")
-    seen = event_orders(staged.where(ts.between(F.lit(p.event_start).cast("date"), F.lit(p.event_end).cast("date")))).distinct()
-    feed = imported.where(F.col("order_date").between(F.lit(p.excl_start).cast("date"), F.lit(p.excl_end).cast("date")))
+    """Distinct (user_id, sku) bought in the exclusion window, by events or imported orders, variant-normalised."""
+    first, last = F.lit(p.excl_start).cast("date"), F.lit(p.excl_end).cast("date")
+    seen = event_orders(staged.where(F.to_date("event_ts").between(first, last))).distinct()
+    feed = imported.where(F.col("order_date").between(first, last))
     feed = feed.select("email", X.normalize_variant("sku").alias("sku")).distinct()
     bought = feed.join(users.select("user_id", "email"), "email").select("user_id", "sku")
     return seen.where("user_id is not null").unionByName(bought).distinct()

@@ -10,17 +10,20 @@ from ..functions.keyed import top_n_per_key
 from ..functions.pairs import basket_pairs, pair_counts, sized_groups
 
 
-def copurchase_basket(purchases: DataFrame, group=("user_id", "order_date"), low: int = 2, high: int = 10,
+def copurchase_basket(purchases: DataFrame, low: int, high: int, group=("user_id", "order_date"),
                       min_count: int = 2, weight: float = 3.0) -> DataFrame:
-    """Unordered sku pairs of baskets with low..high distinct skus."""
+    """Unordered sku pairs of baskets with low..high distinct skus.
+
+    The range defines a basket; ``pairs.pair_counts`` counts the pairs of groups of any size.
+    """
     pairs = basket_pairs(sized_groups(purchases, group, "sku", low, high), group, "sku")
     return pairs.groupBy("item_a", "item_b").agg(F.count(F.lit(1)).alias("pair_count")).where(
         F.col("pair_count") >= min_count).withColumn("boost", X.log_score("pair_count", weight))
 
 
-def copurchase_orders(purchases: DataFrame, min_count: int = 5, weight: float = 5.0) -> DataFrame:
-    """Pairs of orders with 2-20 skus, in both directions."""
-    pairs = copurchase_basket(purchases, ("order_id",), 2, 20, min_count, weight)
+def copurchase_orders(purchases: DataFrame, low: int, high: int, min_count: int = 5, weight: float = 5.0) -> DataFrame:
+    """Pairs of orders with low..high distinct skus, in both directions."""
+    pairs = copurchase_basket(purchases, low, high, ("order_id",), min_count, weight)
     return both_directions(pairs, "pair_count", "boost")
 
 
@@ -64,20 +67,31 @@ def copurchase_coverage(recs: DataFrame) -> DataFrame:
                     F.count(F.lit(1)).alias("recs"), F.round(F.avg("score"), 2).alias("avg_score"))
 
 
-def category_copurchase(purchases: DataFrame, catalog: DataFrame, group=("user_id", "order_date"),
-                        min_count: int = 50, max_categories: int = 50) -> DataFrame:
-    """Categories that share baskets.
+def category_copurchase(purchases: DataFrame, catalog: DataFrame, low: int, high: int, group=("user_id", "order_date"),
+                        min_count: int = 50) -> DataFrame:
+    """Categories that share baskets of low..high distinct categories.
+
+    Products that the catalogue lacks, or lists without a category, count as UNIVERSAL.
+    """
+    known = catalog.groupBy("sku").agg(F.max("category").alias("category"))
+    category = F.coalesce(F.nullif(F.trim("category"), F.lit("")), F.lit("UNIVERSAL"))
+    rows = purchases.join(known, "sku", "left").select(*group, category.alias("category"))
+    pairs = basket_pairs(sized_groups(rows, group, "category", low, high), group, "category")
+    return pairs.groupBy("item_a", "item_b").agg(F.count(F.lit(1)).alias("pair_count")).where(F.col("pair_count") >= min_count)
+
+
+def category_copurchase_skus(purchases: DataFrame, catalog: DataFrame, low: int, high: int, group=("user_id", "order_date"),
+                             min_count: int = 5) -> DataFrame:
+    """D23, backtest form: categories of the sku pairs of baskets with low..high distinct skus.
 
-    Baskets with more than ``max_categories`` categories go through the block-wise counter,
-    which is exact for any size; the others through the bounded array form.
+    The pair keeps the order of its skus; products without a category and pairs of one
+    category do not count. Sku pairs are counted before the categories are looked up.
     """
-    rows = purchases.join(catalog.select("sku", "category"), "sku").select(*group, "category").distinct()
-    sizes = rows.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"))
-    small = rows.join(sizes.where(F.col("_n").between(2, max_categories)).drop("_n"), list(group), "left_semi")
-    large = rows.join(sizes.where(F.col("_n") > max_categories).drop("_n"), list(group), "left_semi")
-    counts = basket_pairs(small, group, "category").groupBy("item_a", "item_b").agg(F.count(F.lit(1)).alias("co_count"))
-    counts = counts.unionByName(pair_counts(large, group, "category", 1))
-    return counts.groupBy("item_a", "item_b").agg(F.sum("co_count").alias("pair_count")).where(
+    counts = basket_pairs(sized_groups(purchases, group, "sku", low, high), group, "sku").groupBy("item_a", "item_b").agg(F.count(F.lit(1)).alias("n"))
+    known = catalog.where("category is not null").groupBy("sku").agg(F.max("category").alias("category"))
+    for side in ("a", "b"):
+        counts = counts.join(known.select(F.col("sku").alias(f"item_{side}"), F.col("category").alias(f"category_{side}")), f"item_{side}")
+    return counts.where("category_a <> category_b").groupBy("category_a", "category_b").agg(F.sum("n").alias("pair_count")).where(
         F.col("pair_count") >= min_count)
 
 

@@ -9,8 +9,6 @@ from ..functions import exprs as X
 from ..functions.keyed import global_top
 from ..params import RecParams
 
-LIST_CHUNK = 10_000
-
 
 def sku_prices(staged: DataFrame) -> DataFrame:
     """Largest price seen and number of observations per sku."""
@@ -57,13 +55,10 @@ def universal_parts(fitment: DataFrame, products: DataFrame, popularity: DataFra
 
 
 def vehicle_parts_list(eligible: DataFrame, vehicle) -> DataFrame:
-    """Sorted sku array and part count per vehicle.
+    """One row per vehicle with its part count and sorted sku array.
 
-    Lists longer than LIST_CHUNK come as several rows (``chunk``), so no task has to
-    hold an unbounded array.
+    The array is the operator's output; it is bounded by the catalogue, since ``eligible``
+    has a (vehicle, sku) once.
     """
-    vehicle = list(vehicle)
-    total = eligible.groupBy(*vehicle).agg(F.count(F.lit(1)).alias("total_count"))
-    rows = eligible.join(total, vehicle).withColumn(
-        "chunk", F.pmod(F.xxhash64("sku"), F.ceil(F.col("total_count") / LIST_CHUNK)))
-    return rows.groupBy(*vehicle, "chunk", "total_count").agg(F.sort_array(F.collect_list("sku")).alias("parts"))
+    return eligible.groupBy(*vehicle).agg(
+        F.count(F.lit(1)).alias("total_count"), F.sort_array(F.collect_list("sku")).alias("parts"))

@@ -125,7 +125,7 @@ def with_popularity(rows: DataFrame, segments, makes, globals_, p: RecParams, se
 
 
 def with_popularity_by_segment(rows, segments, makes, globals_, p: RecParams, segment=SEGMENT) -> DataFrame:
-    """D15, per-segment variant: the tier is chosen for the segment, products unknown there score 0."""
+    """D15, per-segment variant: the tier is chosen for the segment; products unknown there score 0, and none knows those without a global score."""
     make = segment[0]
     seg_tot = segments.groupBy(*segment).agg(F.sum("total_segment_orders").alias("_st"))
     make_tot = makes.groupBy(make).agg(F.sum("total_make_orders").alias("_mt"))
@@ -136,7 +136,8 @@ def with_popularity_by_segment(rows, segments, makes, globals_, p: RecParams, se
             .join(globals_.select(F.col("sku").alias("_key"), "global_score"), "_key", "left")
             .join(seg_tot, list(segment), "left").join(make_tot, make, "left"))
     tier = (F.when(F.coalesce("_st", F.lit(0)) >= p.min_segment_for_use, "segment")
-            .when(F.coalesce("_mt", F.lit(0)) >= p.min_make_for_use, "make").otherwise("global"))
+            .when(F.coalesce("_mt", F.lit(0)) >= p.min_make_for_use, "make")
+            .when(F.col("global_score").isNotNull(), "global").otherwise("none"))
     score = (F.when(tier == "segment", F.col("segment_score")).when(tier == "make", F.col("make_score"))
              .otherwise(F.col("global_score")))
     return rows.withColumns({"popularity_source": tier, "popularity": F.coalesce(score, F.lit(0.0))}).drop(

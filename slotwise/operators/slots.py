@@ -78,9 +78,12 @@ def popularity_pools(products: DataFrame, fitment: DataFrame, entities: DataFram
 
 def popularity_fallback(recs: DataFrame, users: DataFrame, ownership: DataFrame, entities: DataFrame, pools: DataFrame,
                         excluded: DataFrame, min_recs: int = 4, cap: int = 2, pid: str = "bigint",
-                        sentinel: float = 0.0) -> DataFrame:
+                        sentinel: float = 0.0, position: str = "entity_id") -> DataFrame:
     """Fill short users from their entity pools, then group pools, then the global pool.
 
+    A user's entities come in the order of ``position``, a column of ``ownership`` (the entity id
+    itself by default, in its own type: 2 before 10); a group comes where its first entity does.
+
     Only users below ``min_recs`` enter. With t skipped products (own recs and purchases)
     a user reaches at most ``cap + t`` rows deep into a pool category, so pool rows come by
     equi-join on (pool, depth). What remains per user is cut to ``cap`` rows per category
@@ -92,19 +95,20 @@ def popularity_fallback(recs: DataFrame, users: DataFrame, ownership: DataFrame,
         short, "user_id", "left_semi").distinct()
     reach = short.join(skip.groupBy("user_id").agg(F.count(F.lit(1)).alias("_t")), "user_id", "left").select(
         "user_id", F.explode(F.sequence(F.lit(1).cast("long"), F.lit(cap) + F.coalesce("_t", F.lit(0)))).alias("depth"))
-    own = ownership.join(short, "user_id", "left_semi").select("user_id", "entity_id").distinct()
-    grp = own.join(entities.select("entity_id", "group_id"), "entity_id").where(
-        "group_id is not null and group_id <> ''").select("user_id", F.col("group_id").alias("pool")).distinct()
-    keys = (own.select("user_id", F.lit(0).alias("tier"), F.lit("entity").alias("level"), F.col("entity_id").cast("string").alias("pool"))
-            .unionByName(grp.select("user_id", F.lit(1).alias("tier"), F.lit("group").alias("level"), "pool"))
-            .unionByName(short.select("user_id", F.lit(2).alias("tier"), F.lit("global").alias("level"), F.lit("*").alias("pool"))))
+    own = ownership.join(short, "user_id", "left_semi").groupBy("user_id", "entity_id").agg(F.min(position).alias("_at"))
+    own = own.withColumn("turn", F.row_number().over(Window.partitionBy("user_id").orderBy("_at", "entity_id"))).drop("_at")
+    grp = own.join(entities.select("entity_id", "group_id"), "entity_id").where("group_id is not null and group_id <> ''").groupBy(
+        "user_id", F.col("group_id").alias("pool")).agg(F.min("turn").alias("turn"))
+    keys = (own.select("user_id", F.lit(0).alias("tier"), "turn", F.lit("entity").alias("level"), F.col("entity_id").cast("string").alias("pool"))
+            .unionByName(grp.select("user_id", F.lit(1).alias("tier"), "turn", F.lit("group").alias("level"), "pool"))
+            .unionByName(short.select("user_id", F.lit(2).alias("tier"), F.lit(0).alias("turn"), F.lit("global").alias("level"), F.lit("*").alias("pool"))))
     cand = keys.join(reach, "user_id").join(pools, ["level", "pool", "depth"]).join(skip, ["user_id", "product_id"], "left_anti")
-    order = [F.asc("tier"), F.asc("pool"), F.desc("popularity"), F.asc("product_id")]
+    order = [F.asc("tier"), F.asc("turn"), F.desc("popularity"), F.asc("product_id")]
     cand = top_n_per_key(cand, ["user_id", "product_id"], order, 1).drop("rn")
     cand = top_n_per_key(cand, ["user_id", "category"], order, cap).drop("rn")
     cand = top_n_per_key(cand, ["user_id"], order, 3 * min_recs).drop("rn")
     lists = cand.groupBy("user_id").agg(F.sort_array(F.collect_list(F.struct(
-        "tier", "pool", (-F.col("popularity")).alias("neg"), "product_id", "category",
+        "tier", "turn", (-F.col("popularity")).alias("neg"), "product_id", "category",
         F.lit(sentinel).alias("score")))).alias("items"))
     typ = f"array<struct<product_id:{pid},category:string,score:double,phase:int>>"
     start = recs.join(short, "user_id", "left_semi").groupBy("user_id").agg(F.transform(F.sort_array(F.collect_list(F.struct(
@@ -118,10 +122,17 @@ def popularity_fallback(recs: DataFrame, users: DataFrame, ownership: DataFrame,
     return recs.select("user_id", "slot", "product_id", "category", "score", F.lit(False).alias("is_fallback")).unionByName(filled)
 
 
-def provenance(recs: DataFrame, total: int, version: str) -> DataFrame:
-    """Wide row per user with rec count and where the fallback starts (0-based)."""
+def provenance(recs: DataFrame, products: DataFrame, total: int, version: str) -> DataFrame:
+    """Wide row per user with rec count and where the fallback starts (0-based).
+
+    ``products`` gives name, url, image_url and price; a product that it lacks has empty
+    texts and the price 0, a slot that is not filled has nulls.
+    """
+    empty = {"name": "", "url": "", "image_url": "", "price": 0.0}
+    meta = products.groupBy("product_id").agg(*[F.max(c).alias(c) for c in empty])
+    recs = recs.join(meta, "product_id", "left").fillna(empty)
     slots = [F.max(F.when(F.col("slot") == i, F.col(c))).alias(f"rec{i}_{c}")
-             for i in range(1, total + 1) for c in ("product_id", "score")]
+             for i in range(1, total + 1) for c in ("product_id", *empty, "score")]
     n = F.count(F.lit(1))
     return recs.groupBy("user_id").agg(
         *slots, n.alias("rec_count"), F.max("is_fallback").alias("is_fallback"),

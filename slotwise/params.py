@@ -37,6 +37,7 @@ class RecParams:
     # ranking
     max_per_category: int = 2
     slots: int = 4
+    pool_size: int = 500
     min_recs: int = 3
     version: str = "v1"
 
@@ -44,10 +45,11 @@ class RecParams:
         return replace(self, **changes)
 
 
-#: windows and floors that suit the test tables (orders 1995-2001, events January 2024)
+#: windows and floors that suit the test tables (orders 1995-2001, events January 2024); the
+#: exclusion window cuts both the imported orders and the events
 TEST_PARAMS = RecParams(
     event_start="2024-01-01", event_end="2024-01-31",
     pop_start="1995-01-01", pop_end="2000-12-31",
-    excl_start="2000-08-01", excl_end="2001-08-01",
+    excl_start="2000-08-01", excl_end="2024-01-20",
     min_year=1995, max_year=2024, min_price=905.0, normalize_both=True,
 )

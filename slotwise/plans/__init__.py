@@ -1,14 +1,6 @@
 """Registered queries; importing this package fills ``registry.QUERIES``."""
 
-from importlib import import_module
-
+from . import bandit, campaign, evaluation, graph, ingest, quality, recs, relational  # noqa: F401
 from .registry import QUERIES
 
-for _m in ("relational", "ingest", "recs", "graph", "campaign", "bandit", "evaluation", "quality"):
-    try:
-        import_module(f"{__name__}.{_m}")
-    except ModuleNotFoundError as e:  # pragma: no cover
-        if not str(e.name).startswith(__name__):
-            raise
-
 __all__ = ["QUERIES"]

@@ -67,12 +67,24 @@ def assigned(t):
     return B.thompson_assign(t.users, t.sends.select("treatment_id"), B.with_beta(ctr(t)), 19754)
 
 
-@query("B04", "user_id:l treatment_id:l score:d6")
+# The same draw from MD5 digits: uniform, Box-Muller normal, best of the user's draws.
+UNIFORM = "(CAST(concat('0x', substr(md5(concat(seed, ':{salt}')), 1, 13)) AS BIGINT) + 0.5) / 4503599627370496.0"
+THOMPSON = CTR + f""", arms AS (SELECT d.treatment_id, coalesce(a / (a + b), 0.0) AS mean, coalesce(sqrt(a * b / ((a + b) * (a + b) * (a + b + 1))), 0.05) AS sd
+  FROM (SELECT DISTINCT treatment_id FROM v_sends) d LEFT JOIN (SELECT treatment_id, 1.0 + CAST(clicks AS DOUBLE) AS a, 1.0 + CAST(n AS DOUBLE) - clicks AS b FROM ctr) c
+  ON c.treatment_id = d.treatment_id),
+seeds AS (SELECT u.user_id, r.*, concat(r.treatment_id, ':', u.user_id, '@19754') AS seed FROM v_users u CROSS JOIN arms r),
+draws AS (SELECT user_id, treatment_id, mean + sd * sqrt(-2 * ln({UNIFORM.format(salt=0)})) * cos(2 * pi() * {UNIFORM.format(salt=1)}) AS score FROM seeds),
+drawn AS (SELECT user_id, treatment_id, score FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY score DESC, treatment_id DESC) AS rn FROM draws) a WHERE rn = 1)"""
+
+
+@query("B04", "user_id:l treatment_id:l score:d6", "SELECT * FROM drawn", THOMPSON)
 def thompson_assign(t):
     return assigned(t)
 
 
-@query("B05", "treatment_id:l selected:l share:d6 n:l clicks:l ctr:d6")
+@query("B05", "treatment_id:l selected:l share:d6 n:l clicks:l ctr:d6", """
+SELECT s.treatment_id, s.selected, s.selected / sum(s.selected) OVER () AS share, c.n, c.clicks, c.ctr
+FROM (SELECT treatment_id, count(*) AS selected FROM drawn GROUP BY 1) s LEFT JOIN ctr c ON c.treatment_id = s.treatment_id""", THOMPSON)
 def selection_share(t):
     return B.selection_share(assigned(t), ctr(t))
 

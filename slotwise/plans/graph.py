@@ -357,7 +357,47 @@ def selected(t):
     return S.slot_select(ranked(t), fitment_slots=2, special_slots=1, total=4, cap=2)
 
 
-@query("D46", "user_id:l slot:l product_id:l category score:d6 phase:l")
+def _walk(name: str, start: str, items: str, limit: str) -> str:
+    """SQL of a greedy walk: a recursive CTE with one step per candidate, which takes the candidate or passes on.
+
+    ``start`` gives (user_id, taken), ``items`` (user_id, k, product_id, category, score, phase) with k = 1, 2, ...
+    """
+    return f"""{name}_items AS ({items}), {name}_walk AS (
+  SELECT user_id, CAST(0 AS BIGINT) AS k, taken FROM ({start}) s
+  UNION ALL
+  SELECT w.user_id, w.k + 1, CASE WHEN {limit} AND len(list_filter(w.taken, lambda x: x.product_id = i.product_id)) = 0
+      AND len(list_filter(w.taken, lambda x: x.category = i.category)) < 2
+    THEN list_append(w.taken, {{'product_id': i.product_id, 'category': i.category, 'score': i.score, 'phase': i.phase}}) ELSE w.taken END
+  FROM {name}_walk w JOIN {name}_items i ON i.user_id = w.user_id AND i.k = w.k + 1),
+{name} AS (SELECT user_id, slot, e.product_id AS product_id, e.category AS category, e.score AS score, e.phase AS phase FROM (
+  SELECT user_id, unnest(taken) AS e, generate_subscripts(taken, 1) AS slot FROM (
+    SELECT user_id, taken, row_number() OVER (PARTITION BY user_id ORDER BY k DESC) AS rn FROM {name}_walk) z WHERE rn = 1) y)"""
+
+
+TAKEN = "STRUCT(product_id BIGINT, category VARCHAR, score DOUBLE, phase INTEGER)[]"
+SELECTED = """r AS (SELECT s.user_id, s.product_id, p.category, s.score, p.label <= 5 AS fit, p.label > 6 AS special
+  FROM e_scores s JOIN n_cand c ON c.user_id = s.user_id AND c.product_id = s.product_id JOIN n_products p ON p.product_id = s.product_id
+  WHERE NOT (p.v1 > 0 AND p.label = greatest(s.user_id % 10, 1))), """ + _walk(
+    "sel", f"SELECT DISTINCT user_id, CAST([] AS {TAKEN}) AS taken FROM r", """
+  SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY phase, score DESC, product_id) AS k, product_id, category, score, phase FROM (
+    SELECT *, 1 AS phase FROM r WHERE fit UNION ALL SELECT *, 2 FROM r WHERE special AND NOT fit UNION ALL SELECT *, 3 FROM r) a""",
+    "len(w.taken) < 4 AND len(list_filter(w.taken, lambda x: x.phase = i.phase)) < CASE i.phase WHEN 1 THEN 2 WHEN 2 THEN 1 ELSE 4 END")
+# Fallback candidates in walking order: tier, turn of the user's entity or group, popularity.
+FILLED = SELECTED + """, ok AS (SELECT DISTINCT f.entity_id, p.product_id, p.category, p.popularity FROM n_fit f JOIN n_products p ON p.product_id = f.product_id AND NOT p.is_excluded),
+ent AS (SELECT DISTINCT entity_id, CASE WHEN entity_id < 2 THEN 'A' WHEN entity_id < 4 THEN 'B' ELSE '' END AS g FROM n_fit),
+cand AS (
+  SELECT o.user_id, 0 AS tier, o.entity_id AS turn, k.* EXCLUDE (entity_id) FROM n_own o JOIN ok k ON k.entity_id = o.entity_id
+  UNION ALL SELECT DISTINCT u.user_id, 1, u.turn, k.* EXCLUDE (entity_id) FROM (
+    SELECT o.user_id, e.g, min(o.entity_id) AS turn FROM n_own o JOIN ent e ON e.entity_id = o.entity_id WHERE e.g <> '' GROUP BY ALL) u JOIN ent e ON e.g = u.g JOIN ok k ON k.entity_id = e.entity_id
+  UNION ALL SELECT DISTINCT u.user_id, 2, 0, k.* EXCLUDE (entity_id) FROM e_users u CROSS JOIN ok k), """ + _walk(
+    "fil", f"""SELECT u.user_id, coalesce(s.taken, CAST([] AS {TAKEN})) AS taken FROM e_users u LEFT JOIN (
+    SELECT user_id, list({{'product_id': product_id, 'category': category, 'score': score, 'phase': 0}} ORDER BY slot) AS taken
+    FROM sel WHERE slot <= user_id % 5 GROUP BY user_id) s ON s.user_id = u.user_id""", """
+  SELECT c.user_id, row_number() OVER (PARTITION BY c.user_id ORDER BY tier, turn, c.popularity DESC, c.product_id) AS k, c.product_id, c.category, 0.0 AS score, 9 AS phase
+  FROM cand c JOIN n_products p ON p.product_id = c.product_id WHERE NOT (p.v1 > 0 AND p.label = greatest(c.user_id % 10, 1))""", "len(w.taken) < 4")
+
+
+@query("D46", "user_id:l slot:l product_id:l category score:d6 phase:l", "SELECT * FROM sel", SELECTED)
 def slot_select(t):
     return selected(t)
 
@@ -398,14 +438,32 @@ def filled(t):
     return S.popularity_fallback(short, t.user_vectors.select("user_id"), engine_ownership(t), entities(t), pools(t), bought(t), 4, 2)
 
 
-@query("D47", "user_id:l slot:l product_id:l category is_fallback:b")
+@query("D47", "user_id:l slot:l product_id:l category is_fallback:b", "SELECT user_id, slot, product_id, category, phase = 9 AS is_fallback FROM fil", FILLED)
 def popularity_fallback(t):
     return filled(t)
 
 
-@query("D53", "user_id:l rec1_product_id:l rec4_product_id:l rec_count:l is_fallback:b fallback_start_idx:l model_version")
+@once
+def engine_meta(t):
+    """Names, links and prices of the products, one in seven left out."""
+    pid = F.col("product_id")
+    return t.product_vectors.where(pid % 7 != 0).select(
+        pid, F.concat(F.lit("part "), pid.cast("string")).alias("name"), F.concat(F.lit("https://shop.example/"), pid.cast("string")).alias("url"),
+        F.concat(F.lit("https://img.example/"), pid.cast("string")).alias("image_url"), (pid % 90 + 10).cast("double").alias("price"))
+
+
+SLOT = ("rec{i}_product_id:l rec{i}_name rec{i}_url rec{i}_image_url rec{i}_price:d2 rec{i}_score:d6")
+ROW = """max(CASE WHEN slot = {i} THEN product_id END) AS rec{i}_product_id, max(CASE WHEN slot = {i} THEN CASE WHEN product_id % 7 = 0 THEN '' ELSE 'part ' || product_id END END) AS rec{i}_name,
+  max(CASE WHEN slot = {i} THEN CASE WHEN product_id % 7 = 0 THEN '' ELSE 'https://shop.example/' || product_id END END) AS rec{i}_url,
+  max(CASE WHEN slot = {i} THEN CASE WHEN product_id % 7 = 0 THEN '' ELSE 'https://img.example/' || product_id END END) AS rec{i}_image_url,
+  max(CASE WHEN slot = {i} THEN CASE WHEN product_id % 7 = 0 THEN 0 ELSE product_id % 90 + 10 END END) AS rec{i}_price, max(CASE WHEN slot = {i} THEN score END) AS rec{i}_score"""
+
+
+@query("D53", "user_id:l " + " ".join(SLOT.format(i=i) for i in range(1, 5)) + " rec_count:l is_fallback:b fallback_start_idx:l model_version", f"""
+SELECT user_id, {", ".join(ROW.format(i=i) for i in range(1, 5))}, count(*) AS rec_count, bool_or(phase = 9) AS is_fallback,
+  coalesce(min(CASE WHEN phase = 9 THEN slot - 1 END), count(*)) AS fallback_start_idx, 'v1' AS model_version FROM fil GROUP BY user_id""", FILLED)
 def fallback_provenance(t):
-    return S.provenance(filled(t), 4, "v1")
+    return S.provenance(filled(t), engine_meta(t), 4, "v1")
 
 
 @query("D52", "user_id:l product_id:l", f"""

@@ -18,7 +18,6 @@ from .registry import once, query
 from .sql_views import VIEWS, norm
 
 PROFILE = ("seg_make", "seg_model")
-POOL = 500
 
 # ---- SQL side -----------------------------------------------------------------
 IMG = ("CASE WHEN image_raw LIKE '//%' THEN concat('https:', image_raw) WHEN image_raw LIKE 'http://%' "
@@ -51,9 +50,10 @@ SELECT sku, count(*) AS total_orders, ln(1 + count(*)) * 2 AS global_score FROM
   SELECT sku FROM v_hist WHERE email IN (SELECT email FROM v_users)
   UNION ALL SELECT sku FROM v_recent WHERE user_id IN (SELECT user_id FROM v_users)) a GROUP BY sku""",
     "v_excl": f"""
-SELECT DISTINCT user_id, sku FROM v_recent
+SELECT DISTINCT user_id, {norm('sku')} AS sku FROM v_staged
+WHERE event_name = 'PLACED ORDER' AND user_id IS NOT NULL AND CAST(event_ts AS DATE) BETWEEN DATE '2000-08-01' AND DATE '2024-01-20'
 UNION SELECT u.user_id, {norm('i.sku')} FROM v_imported i JOIN v_users u ON i.email = u.email
-WHERE i.order_date BETWEEN DATE '2000-08-01' AND DATE '2001-08-01'""",
+WHERE i.order_date BETWEEN DATE '2000-08-01' AND DATE '2024-01-20'""",
     "v_tiers": f"""
 SELECT pr.*, {norm('pr.sku')} AS norm_sku, {norm('pr.sku')} AS base_sku, s.rank_in_segment, m.rank_in_make,
   CASE WHEN coalesce(st.n, 0) >= 5 AND s.sku IS NOT NULL THEN s.segment_score
@@ -119,10 +119,14 @@ SELECT user_id, primary_category, TRUE AS active FROM (
   FROM v_staged s LEFT JOIN v_catalog c ON s.sku = c.sku) a WHERE rn = 1
 UNION ALL SELECT user_id, 'COLD_START', FALSE FROM v_users WHERE user_id NOT IN (SELECT user_id FROM v_staged)""",
     "v_catpairs": """
-SELECT a.category AS item_a, b.category AS item_b, count(*) AS pair_count FROM v_bcat a JOIN v_bcat b
-  ON a.user_id = b.user_id AND a.order_date = b.order_date AND a.category < b.category GROUP BY ALL HAVING count(*) >= 50""",
+SELECT a.category AS item_a, b.category AS item_b, count(*) AS pair_count
+FROM (SELECT unnest(cats) AS category, * EXCLUDE (cats) FROM v_bcat) a JOIN (SELECT unnest(cats) AS category, * EXCLUDE (cats) FROM v_bcat) b
+  ON a.user_id = b.user_id AND a.order_date = b.order_date AND a.category < b.category
+WHERE a.n BETWEEN 2 AND 5 GROUP BY ALL HAVING count(*) >= 50""",
     "v_bcat": """
-SELECT DISTINCT o.user_id, o.order_date, c.category FROM v_orders o JOIN v_catalog c ON o.sku = c.sku""",
+SELECT user_id, order_date, list(DISTINCT c) AS cats, count(DISTINCT c) AS n FROM (
+  SELECT o.user_id, o.order_date, CASE WHEN c.category IS NULL OR trim(c.category) = '' THEN 'UNIVERSAL' ELSE trim(c.category) END AS c
+  FROM v_orders o LEFT JOIN v_catalog c ON o.sku = c.sku) x GROUP BY ALL""",
     "v_pool": """
 SELECT *, row_number() OVER (ORDER BY total_orders DESC, sku) AS pool_rank FROM (
   SELECT p.*, coalesce(a.total_orders, 0) AS total_orders FROM v_products p LEFT JOIN v_glob a ON a.sku = p.sku
@@ -299,7 +303,7 @@ def eligible_parts(t):
 
 @query("D06 W03", "sku category total_orders:l pool_rank:l", "SELECT * FROM v_pool")
 def universal_parts(t):
-    return E.universal_parts(t.fitment, products(t), tiers(t)[2], POOL)
+    return E.universal_parts(t.fitment, products(t), tiers(t)[2], p.pool_size)
 
 
 @query("D07 A07", "make total_count:l first_part last_part n_parts:l", """
@@ -389,7 +393,7 @@ def popularity_3tier(t):
 
 @query("D15", "seg_make seg_model sku popularity:d2 popularity_source", f"""
 SELECT pr.seg_make, pr.seg_model, pr.sku, coalesce(CASE tier WHEN 'segment' THEN s.segment_score WHEN 'make' THEN m.make_score ELSE g.global_score END, 0) AS popularity,
-  tier AS popularity_source
+  CASE WHEN tier = 'global' AND g.sku IS NULL THEN 'none' ELSE tier END AS popularity_source
 FROM (SELECT t.seg_make, t.seg_model, t.sku, t.norm_sku, CASE WHEN coalesce(st.n, 0) >= 5 THEN 'segment' WHEN coalesce(mt.n, 0) >= 20 THEN 'make' ELSE 'global' END AS tier
   FROM v_tiers t LEFT JOIN (SELECT seg_make, seg_model, sum(total_segment_orders) AS n FROM v_seg GROUP BY ALL) st
     ON st.seg_make = t.seg_make AND st.seg_model = t.seg_model
@@ -470,7 +474,7 @@ def fitment_breadth(t):
 
 @query("D19", "item_a item_b pair_count:l boost:d4", "SELECT * FROM v_pairs3")
 def copurchase_basket(t):
-    return CP.copurchase_basket(t.orders)
+    return CP.copurchase_basket(t.orders, 2, 10)
 
 
 DIRECTED = """bk AS (SELECT DISTINCT o.order_id, o.sku FROM v_orders o JOIN (SELECT order_id FROM v_orders GROUP BY order_id
@@ -483,7 +487,7 @@ directed AS (SELECT a AS source, b AS target, n AS pair_count, ln(1 + n) * 5 AS
 
 @query("D20", "source target pair_count:l boost:d4", "SELECT * FROM directed", DIRECTED)
 def copurchase_orders(t):
-    return CP.copurchase_orders(t.orders, 2)
+    return CP.copurchase_orders(t.orders, 2, 20, 2)
 
 
 def user_purchases(t):
@@ -525,7 +529,16 @@ def copurchase_coverage(t):
 
 @query("D23", "item_a item_b pair_count:l", "SELECT * FROM v_catpairs")
 def category_copurchase(t):
-    return CP.category_copurchase(t.orders, t.catalog, min_count=50)
+    return CP.category_copurchase(t.orders, t.catalog, 2, 5, min_count=50)
+
+
+@query("D23", "category_a category_b pair_count:l", """
+SELECT ca.category AS category_a, cb.category AS category_b, count(*) AS pair_count
+FROM v_bask a JOIN v_bask b ON a.user_id = b.user_id AND a.order_date = b.order_date AND a.sku < b.sku
+JOIN v_catalog ca ON ca.sku = a.sku JOIN v_catalog cb ON cb.sku = b.sku
+WHERE ca.category <> cb.category GROUP BY ALL HAVING count(*) >= 5""")
+def category_copurchase_skus(t):
+    return CP.category_copurchase_skus(t.orders, t.catalog, 2, 10, min_count=5)
 
 
 BOOST = """ub AS (SELECT o.user_id, d.target AS sku, max(d.boost) AS boost FROM (SELECT DISTINCT user_id, sku FROM v_orders) o
@@ -535,7 +548,7 @@ ON o.sku = d.source GROUP BY ALL)"""
 
 @query("D24", "user_id:l sku boost:d4", "SELECT * FROM ub", BOOST)
 def user_copurchase_boost(t):
-    return CP.user_copurchase_boost(t.orders, CP.copurchase_basket(t.orders))
+    return CP.user_copurchase_boost(t.orders, CP.copurchase_basket(t.orders, 2, 10))
 
 
 STRENGTH = """st AS (SELECT user_id, sku, sum(CASE event_name WHEN 'PLACED ORDER' THEN 20 WHEN 'CART UPDATE' THEN 10 ELSE 2 END) AS strength
@@ -545,7 +558,7 @@ FROM st s JOIN directed d ON s.sku = d.source GROUP BY ALL)"""
 
 @query("D24", "user_id:l sku boost:d4", "SELECT * FROM us", DIRECTED + ", " + STRENGTH)
 def user_copurchase_sum(t):
-    return CP.user_copurchase_sum(I.intent_strength(t.staged, p), CP.copurchase_orders(t.orders, 2))
+    return CP.user_copurchase_sum(I.intent_strength(t.staged, p), CP.copurchase_orders(t.orders, 2, 20, 2))
 
 
 @once
@@ -597,14 +610,14 @@ def fitment_candidates(t):
 
 @once
 def universal_pool(t):
-    return E.universal_parts(t.fitment, products(t), tiers(t)[2], POOL)
+    return E.universal_parts(t.fitment, products(t), tiers(t)[2], p.pool_size)
 
 
 @query("D30 J04", "user_id:l n:l best_sku rank_sum:l", """
 SELECT u.user_id, count(*) AS n, min(CASE WHEN pool_rank = 1 THEN sku END) AS best_sku, sum(pool_rank) AS rank_sum
 FROM v_users u CROSS JOIN v_pool GROUP BY u.user_id""")
 def universal_candidates(t):
-    rows = C.explode_pool(t.users.select("user_id"), universal_pool(t).select("pool_rank", "sku"), POOL)
+    rows = C.explode_pool(t.users.select("user_id"), universal_pool(t).select("pool_rank", "sku"), p.pool_size)
     return rows.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"), F.min(F.when(F.col("pool_rank") == 1, F.col("sku"))).alias("best_sku"),
                                        F.sum("pool_rank").alias("rank_sum"))
 
@@ -669,7 +682,7 @@ RELATED = """rel AS (SELECT p.user_id, p.primary_category, x.b AS related_catego
 
 @query("D32 J12", "user_id:l primary_category related_category", "SELECT * FROM rel", RELATED)
 def related_categories(t):
-    return C.related_categories(primary(t), CP.category_copurchase(t.orders, t.catalog))
+    return C.related_categories(primary(t), CP.category_copurchase(t.orders, t.catalog, 2, 5))
 
 
 SLOTTED = TIERED + ", " + RELATED + f""",
@@ -698,7 +711,7 @@ slotted AS (SELECT *, CASE WHEN slot_type = 'primary' AND rk <= 2 THEN rk WHEN s
 def slot_profiles(t):
     """Scored rows per (segment, primary category): matching, related and cold-start rows."""
     prim = shared(primary(t))
-    pairs = CP.category_copurchase(t.orders, t.catalog)
+    pairs = CP.category_copurchase(t.orders, t.catalog, 2, 5)
     users = t.users.join(prim, "user_id")
     prof = users.select(*PROFILE, "primary_category", "active").distinct()
     base = shared(fitment_tier(t)).withColumnRenamed("final_score", "s").drop("tier_priority")
@@ -765,7 +778,7 @@ def final_score(t):
     intent = I.intent_strongest(t.staged, p)
     rows = intent.join(t.users, "user_id").join(scored(t), [*PROFILE, "sku"])
     rows = rows.join(P.fitment_breadth(t.fitment, ["make"]), "sku", "left").join(
-        CP.user_copurchase_boost(t.orders, CP.copurchase_basket(t.orders)), ["user_id", "sku"], "left")
+        CP.user_copurchase_boost(t.orders, CP.copurchase_basket(t.orders, 2, 10)), ["user_id", "sku"], "left")
     return rows.select("user_id", "sku", R.score_popularity().alias("popularity_only"), R.score_sum("intent", "popularity").alias("with_intent"),
                        R.score_sum("intent", "popularity", "narrow_bonus", "boost").alias("with_breadth"),
                        R.score_copurchase_mix().alias("copurchase_mix"))
@@ -816,7 +829,7 @@ fin AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY CASE product_
 def reserved_slots(t):
     fit = scored(t).select(*PROFILE, "sku", "norm_sku", "base_sku", "category", F.lit("fitment").alias("product_type"),
                            F.col("popularity").alias("raw_score"), "final_score")
-    uni = C.explode_pool(profiles(t), universal_pool(t).select("pool_rank", "sku", "category", "total_orders"), POOL)
+    uni = C.explode_pool(profiles(t), universal_pool(t).select("pool_rank", "sku", "category", "total_orders"), p.pool_size)
     uni = R.base_columns(uni.withColumn("raw_score", X.log_score("total_orders", 2.0))).select(
         *PROFILE, "sku", "norm_sku", "base_sku", "category", F.lit("universal").alias("product_type"), "raw_score",
         F.round("raw_score", 2).alias("final_score"))

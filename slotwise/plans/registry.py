@@ -74,7 +74,8 @@ def with_views(sql: str, local: str = "") -> str:
     parts = [f"{n} AS ({VIEWS[n].strip()})" for n in needed]
     if local:
         parts.append(local.strip().rstrip(","))
-    return ("WITH " + ",\n".join(parts) + "\n" if parts else "") + sql
+    keyword = "WITH RECURSIVE " if "_walk AS (" in local else "WITH "
+    return (keyword + ",\n".join(parts) + "\n" if parts else "") + sql
 
 
 _TABLES: dict[tuple[str, str], Tables] = {}

@@ -31,7 +31,7 @@ def import_orders(feed: DataFrame, p: RecParams) -> DataFrame:
     skus and unparseable dates are dropped.
     """
     rows = feed.where(F.col("item").isNotNull() & ~X.is_service_sku("item"))
-    rows = rows.where(X.order_year("order_date").between(p.min_year, p.max_year))
+    rows = rows.where(X.order_year("order_date", p.min_year, p.max_year).between(p.min_year, p.max_year))
     day = X.parse_long_date("order_date")
     rows = rows.select(
         X.normalize_variant(X.norm_upper("item")).alias("sku"), X.norm_lower("ship_to_email").alias("email"),

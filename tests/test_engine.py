@@ -6,7 +6,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from slotwise.operators import bandit, campaign, contracts, copurchase, eligibility, evaluate, graph, quality
+from slotwise.operators import bandit, campaign, candidates, contracts, copurchase, eligibility, evaluate, graph, popularity, quality, slots
 from slotwise.params import RecParams
 from slotwise.sources import bags, sinks, tables
 from slotwise.sources.bags import BAG_ENTRY
@@ -210,13 +210,50 @@ def test_bpr_loss(spark):
     assert graph.bpr_loss(df).first().loss == pytest.approx(want)
 
 
-def test_category_pairs_with_large_basket(spark):
-    rows = [(1, "d", f"s{i}") for i in range(8)] + [(2, "d", "s0"), (2, "d", "s1")]
+def test_category_pairs(spark):
+    rows = [(1, "d", f"s{i}") for i in range(8)] + [(2, "d", "s0"), (2, "d", "s1"), (3, "d", "s0"), (3, "d", "s8"), (4, "d", "s9"), (4, "d", "gone"), (4, "d", "s1")]
     orders = spark.createDataFrame(rows, "user_id int, order_date string, sku string")
-    cat = spark.createDataFrame([(f"s{i}", f"c{i}") for i in range(8)], "sku string, category string")
-    small = copurchase.category_copurchase(orders, cat, min_count=1, max_categories=3)
-    plain = copurchase.category_copurchase(orders, cat, min_count=1, max_categories=50)
-    assert {tuple(r) for r in small.collect()} == {tuple(r) for r in plain.collect()} and small.count() == 28
+    cat = spark.createDataFrame([(f"s{i}", f"c{i}") for i in range(8)] + [("s8", "  "), ("s9", None)], "sku string, category string")
+    pairs = lambda low, high: {tuple(r) for r in copurchase.category_copurchase(orders, cat, low, high, min_count=1).collect()}
+    assert pairs(2, 5) == {("c0", "c1", 1), ("UNIVERSAL", "c0", 1), ("UNIVERSAL", "c1", 1)}
+    assert len(pairs(2, 8)) == 30 and ("c0", "c1", 2) in pairs(2, 8)
+    skus = copurchase.category_copurchase_skus(orders, cat, 2, 10, min_count=1)
+    assert ("c0", "c1", 2) in {tuple(r) for r in skus.collect()} and skus.count() == 29
+
+
+def test_parts_list_of_a_large_vehicle(spark):
+    parts = spark.range(20_000).selectExpr("'big' AS make", "concat('P', id) AS sku").union(spark.createDataFrame([("small", "A")], "make string, sku string"))
+    rows = {r.make: r for r in eligibility.vehicle_parts_list(parts, ["make"]).collect()}
+    assert len(rows) == 2 and rows["big"].total_count == len(rows["big"].parts) == 20_000 and rows["small"].parts == ["A"]
+
+
+def test_exclusion_window_cuts_events(spark):
+    p = RecParams(event_start="2025-09-01", event_end="2026-02-01", excl_start="2025-02-01", excl_end="2026-02-01")
+    staged = spark.createDataFrame([(1, "A", "2025-04-01 10:00:00", "PLACED ORDER"), (1, "B", "2025-01-31 10:00:00", "PLACED ORDER"), (1, "C", "2026-02-01 23:00:00", "PLACED ORDER")],
+                                   "user_id int, sku string, event_ts string, event_name string").withColumn("event_ts", F.to_timestamp("event_ts"))
+    imported = spark.createDataFrame([("u@x", "D", "2025-02-01"), ("u@x", "E", "2026-02-02")], "email string, sku string, order_date string").withColumn("order_date", F.to_date("order_date"))
+    users = spark.createDataFrame([(1, "u@x")], "user_id int, email string")
+    assert {r.sku for r in candidates.purchase_exclusion(staged, imported, users, p).collect()} == {"A", "C", "D"}
+
+
+def test_segment_tier_of_an_unknown_product(spark):
+    rows = spark.createDataFrame([("m", "o", "known"), ("m", "o", "unknown")], "seg_make string, seg_model string, sku string")
+    seg = spark.createDataFrame([], "seg_make string, seg_model string, sku string, segment_score double, total_segment_orders bigint")
+    make = spark.createDataFrame([], "seg_make string, sku string, make_score double, total_make_orders bigint")
+    glob = spark.createDataFrame([("known", 3.0)], "sku string, global_score double")
+    got = {r.sku: (r.popularity_source, r.popularity) for r in popularity.with_popularity_by_segment(rows, seg, make, glob, RecParams()).collect()}
+    assert got == {"known": ("global", 3.0), "unknown": ("none", 0.0)}
+
+
+def test_fallback_walks_entities_in_their_order(spark):
+    recs = spark.createDataFrame([], "user_id int, slot int, product_id bigint, category string, score double")
+    one = lambda rows, schema: spark.createDataFrame(rows, schema)
+    pools = slots.popularity_pools(one([(1, "a", 1.0, False), (2, "b", 9.0, False)], "product_id bigint, category string, popularity double, is_excluded boolean"),
+                                   one([(2, 1), (10, 2)], "entity_id int, product_id bigint"), one([(2, None), (10, None)], "entity_id int, group_id string"))
+    args = (recs, one([(7,)], "user_id int"), one([(7, 10, 5), (7, 2, 6)], "user_id int, entity_id int, place int"), one([(2, None), (10, None)], "entity_id int, group_id string"), pools,
+            one([], "user_id int, product_id bigint"))
+    assert [r.product_id for r in slots.popularity_fallback(*args, min_recs=2).orderBy("slot").collect()] == [1, 2]
+    assert [r.product_id for r in slots.popularity_fallback(*args, min_recs=2, position="place").orderBy("slot").collect()] == [2, 1]
 
 
 # ---- eligibility, quality ----------------------------------------------------------------------

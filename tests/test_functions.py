@@ -28,9 +28,9 @@ def test_long_dates(spark, text, day):
     assert one(spark, X.parse_long_date(F.lit(text).cast("string"))) == day
 
 
-@pytest.mark.parametrize("text,year", [("Friday, January 10, 2025", 2025), ("x 1999", None), ("12020", None)])
-def test_order_year(spark, text, year):
-    assert one(spark, X.order_year(F.lit(text))) == year
+@pytest.mark.parametrize("text,first,year", [("Friday, January 10, 2025", 2020, 2025), ("x 1999", 2020, None), ("x 1999", 1995, 1999), ("12020", 1995, None), ("x 1812", 1995, None)])
+def test_order_year(spark, text, first, year):
+    assert one(spark, X.order_year(F.lit(text), first, 2026)) == year
 
 
 @pytest.mark.parametrize("kind,out", [("Head Gasket", True), ("Engine Bolt Kit", False), ("Wheel Bolt", True), ("Distributor Cap", False), ("Fuel Cap", True), ("Carburetor", False)])

@@ -125,7 +125,10 @@ def test_fallback_equals_walk(spark):
     for r in full.orderBy("user_id", "slot").collect():
         got.setdefault(r.user_id, []).append(r.product_id)
     assert got == {u: w for u, w in want.items() if w}
-    row = S.provenance(full, 4, "v").where("user_id = 0").first()
+    meta = products.where("product_id <> 5").selectExpr("product_id", "'n' AS name", "'u' AS url", "'i' AS image_url", "2.5D AS price")
+    rows = S.provenance(full, meta, 4, "v").collect()
+    assert all((r[f"rec{i}_name"], r[f"rec{i}_price"]) == ((None, None) if i > r.rec_count else ("", 0.0) if r[f"rec{i}_product_id"] == 5 else ("n", 2.5)) for r in rows for i in range(1, 5))
+    row = next(r for r in rows if r.user_id == 0)
     assert row.rec_count == len(want[0]) and row.fallback_start_idx == (len(recs[0]) if len(recs[0]) < len(want[0]) else row.rec_count)
 
 
