@@ -202,13 +202,17 @@ def edge_findings(t):
     return G.edge_findings(edges(t), ("interacts", "fits", "similar"))
 
 
-@query("G15", "mode n:l same_as_positive:l no_negative:l")
+@query("G15", "mode n:l hard_is_positive:l no_negative:l", """
+SELECT mode, n, 0 AS hard_is_positive, 0 AS no_negative FROM (
+  SELECT 'in_batch' AS mode, floor(m * 0.5) AS n FROM pos UNION ALL SELECT 'fitment_hard', floor(m * 0.3) FROM pos
+  UNION ALL SELECT 'random', m - floor(m * 0.5) - floor(m * 0.3) FROM pos) a WHERE n > 0""",
+       "pos AS (SELECT count(*) AS m FROM (SELECT DISTINCT user_id, base_sku FROM g_inter) d)")
 def negative_samples(t):
     pos = interactions(t).select("user_id", F.col("base_sku").alias("product_id"))
     fit = G.fitment_edges(t.fitment, products(t), vehicles(t), ["make"]).select(F.col("base_sku").alias("product_id"), F.col("make").alias("entity_id"))
     own = t.users.select("user_id", F.col("seg_make").alias("entity_id"))
     rows = G.negative_samples(pos, products(t).select(F.col("base_sku").alias("product_id")), fit, own)
-    return rows.groupBy("mode").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("negative_id") == F.col("product_id")).alias("same_as_positive"),
+    return rows.groupBy("mode").agg(F.count(F.lit(1)).alias("n"), F.count_if((F.col("mode") == "fitment_hard") & (F.col("negative_id") == F.col("product_id"))).alias("hard_is_positive"),
                                     F.count_if(F.col("negative_id").isNull()).alias("no_negative"))
 
 
@@ -238,16 +242,30 @@ def cold_coverage(t):
     return G.cold_coverage(tiers(t), interactions(t), t.users.where("seg_year < 2005"))
 
 
-@query("G18", "node_id:l norm:d4 dims:l")
+def _hop(name: str, source: str) -> str:
+    """One propagation step over rows (node_id, i, x)."""
+    return f"""{name} AS (SELECT node_id, i, x / greatest(sqrt(sum(x * x) OVER (PARTITION BY node_id)), 1e-12) AS x FROM (
+  SELECT c.node_id, c.i, CASE WHEN n.x IS NULL THEN c.x ELSE c.x * 0.5 + n.x END AS x FROM {source} c LEFT JOIN (
+    SELECT dst, i, sum(x) AS x FROM (SELECT r.dst, r.kind, s.i, sum(r.weight * s.x) / sum(r.weight) AS x FROM ring r JOIN {source} s ON s.node_id = r.src GROUP BY ALL) m
+    GROUP BY ALL) n ON n.dst = c.node_id AND n.i = c.i) z)"""
+
+
+HOPS = """hop0 AS (SELECT vec_id AS node_id, generate_subscripts(embedding, 1) AS i, CAST(unnest(embedding) AS DOUBLE) AS x FROM embeddings),
+one AS (SELECT vec_id AS src, vec_id + label + 1 AS dst, label + 1.0 AS weight FROM embeddings),
+ring AS (SELECT src, dst, 'next' AS kind, weight FROM one UNION ALL SELECT dst, src, 'rev_next', weight FROM one), """ + _hop("hop1", "hop0") + ", " + _hop("hop2", "hop1")
+
+
+@query("G18", "node_id:l dims:l first:d6 last:d6 norm:d4", """
+SELECT node_id, count(*) AS dims, arg_min(x, i) AS first, arg_max(x, i) AS last, sqrt(sum(x * x)) AS norm FROM hop2 GROUP BY 1""", HOPS)
 def propagate_embeddings(t):
     nodes = t.raw("embeddings").select(F.col("vec_id").alias("node_id"), F.col("embedding").alias("vec"), "label")
     ring = nodes.select(F.col("node_id").alias("src"), (F.col("node_id") + F.col("label") + 1).alias("dst"), F.lit("next").alias("edge_type"),
                         (F.col("label") + 1.0).alias("weight"))
     out = G.propagate(nodes, ring.unionByName(ring.select(F.col("dst").alias("src"), F.col("src").alias("dst"), F.lit("rev_next").alias("edge_type"), "weight")))
-    return out.select("node_id", F.sqrt(X.dot("vec", "vec")).alias("norm"), F.size("vec").alias("dims"))
+    return out.select("node_id", F.size("vec").alias("dims"), F.element_at("vec", 1).alias("first"), F.element_at("vec", -1).alias("last"), F.sqrt(X.dot("vec", "vec")).alias("norm"))
 
 
-@query("G19", "user_id:l factors:l")
+@query("G19", "user_id:l factors:l", "SELECT DISTINCT user_id, 8 AS factors FROM g_inter")
 def factorize(t):
     rows = interactions(t).select("user_id", F.col("base_sku").alias("product_id"), "weight")
     model, u, _ = G.factorize(rows, 8, 3)
