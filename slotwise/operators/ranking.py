@@ -75,11 +75,11 @@ def diversified_for_users(users: DataFrame, scored: DataFrame, profile, cap: int
 
     Scores of a popularity model depend on the profile (vehicle and segment), not on the
     user. So products are scored and ranked once per profile, and a user only adds
-    corrections: bought skus drop out, skus with a personal boost move up. A user with t
-    touched base skus can reach at most ``cap + t`` winners deep into a category of the
-    shared ranking, so exactly those rows are fetched by an equi-join on (profile, depth),
-    and the touched bases are re-ranked with all their variants. The result equals ranking
-    all user x product rows, at a cost that follows the output.
+    corrections: bought skus drop out, skus with a personal boost move up. A user who touched
+    t winners of a category can reach at most ``cap + t`` winners deep into it, so all users
+    fetch the first ``cap`` winners of every category by an equi-join on (profile, depth), and the
+    few touched categories the next t. The touched bases are re-ranked with all their variants.
+    The result equals ranking all user x product rows, at a cost that follows the output.
 
     ``scored``: profile columns, sku, norm_sku, base_sku, category, final_score, payload;
     a boost is added to ``raw_score`` if that column exists, before rounding.
@@ -102,12 +102,13 @@ def diversified_for_users(users: DataFrame, scored: DataFrame, profile, cap: int
         deep = people.withColumn("depth", F.explode(F.sequence(F.lit(1).cast("long"), F.lit(cap).cast("long"))))
         return diversity_cap(deep.join(winners, profile + ["depth"]).drop("depth"), cap, order)
 
-    touched = shared(touched.distinct())
-    reach = touched.groupBy("user_id").agg(F.count(F.lit(1)).alias("_t"))
-    deep = people.join(reach, "user_id", "left").withColumn(
-        "depth", F.explode(F.sequence(F.lit(1).cast("long"), F.lit(cap) + F.coalesce("_t", F.lit(0))))).drop("_t")
-    common = deep.join(winners, profile + ["depth"]).drop("depth").join(
-        touched.select("user_id", "base_sku"), ["user_id", "base_sku"], "left_anti")
+    touched, winners = shared(touched.distinct()), shared(winners)
+    first = people.withColumn("depth", F.explode(F.sequence(F.lit(1).cast("long"), F.lit(cap).cast("long"))))
+    reach = touched.join(winners.select(*profile, "base_sku", "category"), profile + ["base_sku"]).groupBy(
+        "user_id", *profile, "category").agg(F.count(F.lit(1)).alias("_t"))
+    deep = reach.withColumn("depth", F.explode(F.sequence(F.lit(cap + 1).cast("long"), F.lit(cap) + F.col("_t")))).drop("_t")
+    common = first.join(winners, profile + ["depth"]).unionByName(deep.join(winners, profile + ["category", "depth"])).drop("depth")
+    common = common.join(touched.select("user_id", "base_sku"), ["user_id", "base_sku"], "left_anti")
     own = touched.join(scored, profile + ["base_sku"])
     if excluded is not None:
         own = own.join(excluded, ["user_id", exclude_on], "left_anti")

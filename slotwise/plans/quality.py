@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.keyed import shared
+from ..functions.indexing import durable
 from ..operators import contracts as T
 from ..operators import popularity as P
 from ..operators import quality as Q
@@ -16,7 +16,8 @@ KEY = ["user_id"]
 
 @once
 def wide(t):
-    return shared(recs.wide(t))
+    """The published table, as a stage: written once, so the checks do not carry the pipeline's lineage."""
+    return durable(recs.wide(t))
 
 
 @once
