@@ -242,23 +242,61 @@ def purchase_classes(purchases: DataFrame, fitment: DataFrame, universal: DataFr
     return out.withColumn("share", F.round(F.col("purchases") / purchases.agg(_n()).scalar() * 100, 2))
 
 
-def rolling_backtest(orders: DataFrame, cutoffs: DataFrame, top: int = 10, history_days: int = 365, horizon_days: int = 21) -> DataFrame:
-    """Per cutoff, popularity of the days before it judged by the purchases after it.
+def _per_cutoff(orders: DataFrame, cutoffs: DataFrame, history_days: int, horizon_days: int) -> DataFrame:
+    """Order rows with each cutoff they serve, as history (gap <= 0) or as holdout (gap > 0).
 
-    An order row knows the cutoffs it serves, as history or as holdout, through one bounded
-    array of parameters; all periods share one scan and every later step is keyed by cutoff.
+    The cutoffs are one bounded array of parameters, filtered by date inside the row, so an order is
+    only repeated for the periods it belongs to.
     """
     arr = cutoffs.agg(F.sort_array(F.collect_set(F.col("cutoff").cast("date")))).scalar()
-    rows = orders.select("user_id", X.normalize_variant("sku").alias("sku"), "order_date").withColumn("cutoff", F.explode(arr))
     gap = F.datediff("order_date", "cutoff")
-    hist = rows.where((gap <= 0) & (gap > -history_days)).groupBy("cutoff", "sku").agg(_n().alias("orders"))
+    rows = orders.select("user_id", X.normalize_variant("sku").alias("sku"), "order_date").withColumn("_c", arr)
+    served = F.filter("_c", lambda c: F.datediff("order_date", c).between(1 - history_days, horizon_days))
+    return rows.withColumn("cutoff", F.explode(served)).withColumn("gap", gap).drop("_c")
+
+
+def rolling_backtest(orders: DataFrame, cutoffs: DataFrame, top: int = 10, history_days: int = 365, horizon_days: int = 21) -> DataFrame:
+    """Per cutoff, popularity of the days before it judged by the purchases after it.
+
+    All periods share one scan and every later step is keyed by cutoff.
+    """
+    rows = _per_cutoff(orders, cutoffs, history_days, horizon_days)
+    hist = rows.where("gap <= 0").groupBy("cutoff", "sku").agg(_n().alias("orders"))
     best = top_n_per_key(hist, ["cutoff"], [F.desc("orders"), F.asc("sku")], top).select("cutoff", "sku").withColumn("_m", F.lit(1))
-    held = rows.where((gap > 0) & (gap <= horizon_days)).select("cutoff", "user_id", "sku").distinct().join(best, ["cutoff", "sku"], "left")
+    held = rows.where("gap > 0").select("cutoff", "user_id", "sku").distinct().join(best, ["cutoff", "sku"], "left")
     per = held.groupBy("cutoff", "user_id").agg(F.max("_m").alias("m"), _n().alias("n"), F.count("_m").alias("k"))
     out = per.groupBy("cutoff").agg(_n().alias("buyers"), F.count("m").alias("matched"), F.sum("n").alias("purchases"), F.sum("k").alias("hits"))
     return out.withColumn("match_rate", X.pct("matched", "buyers"))
 
 
+def rolling_versions(orders: DataFrame, users: DataFrame, cutoffs: DataFrame, segment, top: int = 4, history_days: int = 365, horizon_days: int = 21) -> DataFrame:
+    """Per cutoff, match rates of two recommenders built from the days before it.
+
+    ``segment`` recommends the best products of the user's segment that the user has not bought before the
+    cutoff, ``global`` the best of all. A user's purchases can push the list down by as many places, so the lists keep
+    ``top`` plus the user's purchases; a recommendation counts by its rank among the products left.
+    """
+    segment = list(segment)
+    rows = _per_cutoff(orders, cutoffs, history_days, horizon_days).join(users.select("user_id", *segment), "user_id")
+    hist, held = rows.where("gap <= 0"), rows.where("gap > 0").select("cutoff", "user_id", *segment, "sku").distinct()
+    bought = hist.join(held.select("cutoff", "user_id").distinct(), ["cutoff", "user_id"], "left_semi").select("cutoff", "user_id", *segment, "sku").distinct()
+    out = None
+    for version, keys in (("segment", ["cutoff", *segment]), ("global", ["cutoff"])):
+        counts = hist.groupBy(*keys, "sku").agg(_n().alias("orders"))
+        w = Window.partitionBy(*keys).orderBy(F.desc("orders"), F.asc("sku"))
+        ranks = counts.withColumn("rank", F.row_number().over(w)).select(*keys, "sku", "rank")
+        # Rank of a purchase among the products left: its rank less the user's earlier products before it.
+        mine = bought.join(ranks, [*keys, "sku"]).select("cutoff", "user_id", F.col("rank").alias("_b"))
+        hit = held.join(bought, ["cutoff", "user_id", "sku"], "left_anti").join(ranks, [*keys, "sku"])
+        before = hit.join(mine, ["cutoff", "user_id"], "left").groupBy("cutoff", "user_id", "sku", "rank").agg(F.count_if(F.col("_b") < F.col("rank")).alias("_before"))
+        matched = before.where(F.col("rank") - F.col("_before") <= top).groupBy("cutoff", "user_id").agg(_n().alias("k"))
+        per = held.groupBy("cutoff", "user_id").agg(_n().alias("n")).join(matched, ["cutoff", "user_id"], "left")
+        part = per.groupBy("cutoff").agg(_n().alias("buyers"), F.count("k").alias("matched"), F.coalesce(F.sum("k"), F.lit(0)).alias("hits"))
+        part = part.select("cutoff", F.lit(version).alias("version"), "buyers", "matched", "hits", X.pct("matched", "buyers").alias("match_rate"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 BANDS = ((50, "top50"), (100, "51_100"), (200, "101_200"), (500, "201_500"))
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import exprs as X
 from ..functions.keyed import metric_rows
 from ..operators import candidates as C
+from ..operators import eligibility as EL
 from ..operators import evaluate as E
 from ..operators import popularity as P
 from ..operators import ranking as R
@@ -263,6 +264,24 @@ def rolling_backtest(t):
     return E.rolling_backtest(t.orders, cuts)
 
 
+LISTS = """cuts AS (SELECT CAST(d AS DATE) AS cutoff FROM (VALUES ('2000-12-01'), ('2001-01-15'), ('2001-03-01'), ('2001-04-15'), ('2001-06-01')) v(d)),
+o AS (SELECT c.cutoff, o.user_id, u.seg_make, {sku} AS sku, o.order_date > c.cutoff AS after FROM v_orders o JOIN cuts c ON o.order_date > c.cutoff - 365 AND o.order_date <= c.cutoff + 21 JOIN v_users u ON u.user_id = o.user_id),
+held AS (SELECT DISTINCT cutoff, user_id, seg_make, sku FROM o WHERE after), past AS (SELECT DISTINCT cutoff, user_id, sku FROM o WHERE NOT after),
+lists AS (SELECT 'global' AS version, cutoff, NULL AS seg_make, sku, count(*) AS n FROM o WHERE NOT after GROUP BY ALL UNION ALL SELECT 'segment', cutoff, seg_make, sku, count(*) FROM o WHERE NOT after GROUP BY ALL),
+shown AS (SELECT h.cutoff, h.user_id, l.version, l.sku, row_number() OVER (PARTITION BY h.cutoff, h.user_id, l.version ORDER BY l.n DESC, l.sku) AS rn
+  FROM (SELECT DISTINCT cutoff, user_id, seg_make FROM held) h JOIN lists l ON l.cutoff = h.cutoff AND (l.seg_make IS NULL OR l.seg_make = h.seg_make)
+  LEFT JOIN past p ON p.cutoff = h.cutoff AND p.user_id = h.user_id AND p.sku = l.sku WHERE p.sku IS NULL)""".format(sku=norm("o.sku"))
+
+
+@query("E22", "cutoff version buyers:l matched:l hits:l match_rate:d2", """
+SELECT cutoff, version, count(*) AS buyers, count(*) FILTER (k > 0) AS matched, sum(k) AS hits, round(count(*) FILTER (k > 0) / count(*) * 100, 2) AS match_rate FROM (
+  SELECT h.cutoff, h.user_id, v.version, count(s.sku) AS k FROM held h CROSS JOIN (SELECT unnest(['segment', 'global']) AS version) v
+  LEFT JOIN shown s ON s.cutoff = h.cutoff AND s.user_id = h.user_id AND s.version = v.version AND s.sku = h.sku AND s.rn <= 4 GROUP BY ALL) z GROUP BY ALL""", LISTS)
+def rolling_versions(t):
+    cuts = t.spark.createDataFrame([(d,) for d in ("2000-12-01", "2001-01-15", "2001-03-01", "2001-04-15", "2001-06-01")], "cutoff string")
+    return E.rolling_versions(t.orders, t.users, cuts, ["seg_make"])
+
+
 @query("E23 W03 T02", "band purchases:l share:d1", """
 SELECT CASE WHEN r <= 50 THEN 'top50' WHEN r <= 100 THEN '51_100' WHEN r <= 200 THEN '101_200' WHEN r <= 500 THEN '201_500' ELSE 'beyond' END AS band,
   count(*) AS purchases, round(count(*) / (SELECT count(*) FROM x_buy) * 100, 1) AS share
@@ -314,6 +333,39 @@ def variant_recency(t):
     return _top_without_cap(t, rows)
 
 
+@query("E26", "user_id:l rn:l sku final_score:d2", RANK4.format(src="""
+  SELECT u.user_id, t.sku, t.base_sku, round(coalesce(s.segment_score, 0), 2) AS final_score FROM v_users u JOIN v_tiers t ON t.seg_make = u.seg_make AND t.seg_model = u.seg_model
+  LEFT JOIN v_seg s ON s.seg_make = t.seg_make AND s.seg_model = t.seg_model AND s.sku = t.norm_sku
+  LEFT JOIN v_excl x ON x.user_id = u.user_id AND x.sku = t.norm_sku WHERE x.sku IS NULL"""))
+def variant_pure_segment(t):
+    seg = recs.tiers(t)[0].select(*recs.PROFILE, F.col("sku").alias("norm_sku"), "segment_score")
+    return _top_without_cap(t, recs.scored(t).join(seg, [*recs.PROFILE, "norm_sku"], "left").withColumn("final_score", R.score_sum("segment_score")))
+
+
+@query("E26", "user_id:l rn:l sku final_score:d2", RANK4.format(src=f"""
+  SELECT u.user_id, q.sku, {norm('q.sku')} AS base_sku, round(ln(1 + q.total_orders) * 2, 2) AS final_score FROM v_users u CROSS JOIN v_pool q
+  LEFT JOIN v_excl x ON x.user_id = u.user_id AND x.sku = {norm('q.sku')} WHERE x.sku IS NULL"""))
+def variant_universal(t):
+    """All users share one profile: the universal pool, ranked once."""
+    pool = recs.universal_pool(t).withColumn("final_score", F.round(X.log_score("total_orders", p.global_weight), 2))
+    rows = R.base_columns(pool).withColumns({"category": F.lit("*"), "_all": F.lit(1)})
+    return R.top_n_min(R.diversified_for_users(t.users.withColumn("_all", F.lit(1)), rows, ["_all"], 4, recs.exclusion(t)), 4, 1)
+
+
+@query("E26", "user_id:l rn:l sku final_score:d2", RANK4.format(src=f"""
+  SELECT u.user_id, q.sku, {norm('q.sku')} AS base_sku, round(coalesce(g.global_score, 0), 2) AS final_score FROM v_users u
+  JOIN (SELECT f.make, f.sku FROM v_fitment f JOIN low ON low.sku = f.sku) q ON q.make = u.seg_make LEFT JOIN v_glob g ON g.sku = {norm('q.sku')}
+  LEFT JOIN v_excl x ON x.user_id = u.user_id AND x.sku = {norm('q.sku')} WHERE x.sku IS NULL"""),
+       f"low AS (SELECT sku FROM (SELECT *, {recs.IMG} AS image_url FROM v_catalog) c WHERE lower(tags) NOT LIKE '%refurbished%' AND image_url LIKE 'https://%' AND price >= 901)")
+def variant_lower_price_floor(t):
+    """A lower floor and the global tier alone."""
+    low = p.but(min_price=901.0)
+    parts = EL.eligible_parts(t.fitment, EL.sellable_products(t.catalog, recs.prices(t), recs.images(t), low), ["make"], low).withColumnRenamed("make", "seg_make")
+    glob = recs.tiers(t)[2].select(F.col("sku").alias("norm_sku"), "global_score")
+    rows = R.base_columns(recs.profiles(t).join(parts, "seg_make")).join(glob, "norm_sku", "left").withColumn("final_score", R.score_sum("global_score"))
+    return _top_without_cap(t, rows)
+
+
 @query("E27", "version skus:l top:l recs:l top_share:d2", """
 SELECT version, count(*) AS skus, max(n) AS top, sum(n) AS recs, round(max(n) / sum(n) * 100, 2) AS top_share FROM (
   SELECT 'old' AS version, sku, count(*) AS n FROM x_old GROUP BY ALL UNION ALL SELECT 'new', sku, count(*) FROM x_new GROUP BY ALL) a GROUP BY 1""")
