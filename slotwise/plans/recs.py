@@ -603,9 +603,11 @@ def multi_vehicle_users(t):
 SELECT u.user_id, count(*) AS n, min(e.sku) AS first_sku, max(e.sku) AS last_sku, sum(CAST(e.price AS DECIMAL(12,2))) AS total_price
 FROM v_users u JOIN v_eligible e ON u.seg_make = e.make GROUP BY u.user_id""")
 def fitment_candidates(t):
-    rows = C.fitment_candidates(t.users, eligible(t), {"seg_make": "make"})
-    return rows.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"), F.min("sku").alias("first_sku"), F.max("sku").alias("last_sku"),
+    """Candidates depend on the vehicle alone, so they are summed up per vehicle before users join."""
+    rows = C.fitment_candidates(t.users.select("seg_make").distinct(), eligible(t), {"seg_make": "make"})
+    per = rows.groupBy("seg_make").agg(F.count(F.lit(1)).alias("n"), F.min("sku").alias("first_sku"), F.max("sku").alias("last_sku"),
                                        F.sum(F.col("price").cast("decimal(12,2)")).alias("total_price"))
+    return t.users.select("user_id", "seg_make").join(per, "seg_make")
 
 
 @once
@@ -617,9 +619,11 @@ def universal_pool(t):
 SELECT u.user_id, count(*) AS n, min(CASE WHEN pool_rank = 1 THEN sku END) AS best_sku, sum(pool_rank) AS rank_sum
 FROM v_users u CROSS JOIN v_pool GROUP BY u.user_id""")
 def universal_candidates(t):
-    rows = C.explode_pool(t.users.select("user_id"), universal_pool(t).select("pool_rank", "sku"), p.pool_size)
-    return rows.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"), F.min(F.when(F.col("pool_rank") == 1, F.col("sku"))).alias("best_sku"),
-                                       F.sum("pool_rank").alias("rank_sum"))
+    """All users have the same pool, so it is paired with one row for all of them and summed up first."""
+    rows = C.explode_pool(t.users.select(F.lit(1).alias("_all")).distinct(), universal_pool(t).select("pool_rank", "sku"), p.pool_size)
+    per = rows.groupBy("_all").agg(F.count(F.lit(1)).alias("n"), F.min(F.when(F.col("pool_rank") == 1, F.col("sku"))).alias("best_sku"),
+                                   F.sum("pool_rank").alias("rank_sum"))
+    return t.users.select("user_id", F.lit(1).alias("_all")).join(per, "_all")
 
 
 TIERED = f"""fit AS (SELECT t.*, 0 AS tier_priority, round(coalesce(s.segment_score, 0) + coalesce(b.narrow_bonus, 0), 2) AS final_score
