@@ -9,6 +9,7 @@ from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,21 +41,24 @@ def text_hash(text: str | Column = "text") -> Column:
     return F.xxhash64(text)
 
 
-def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
-    """Apply ``fn`` to each Arrow batch of the frame, in place (no shuffle)."""
+def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str, sliced_by: str | None = None) -> DataFrame:
+    """Apply ``fn`` to each Arrow batch of the frame, in place (no shuffle).
+
+    With ``sliced_by``, to slices of a batch with about two megabytes of that column, so that no more is held at a time.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows and (out := fn(batch)) is not None and out.num_rows:
-                yield out
+            for part in pieces(batch, sliced_by, 2_000_000) if sliced_by else [batch]:
+                if part.num_rows and (out := fn(part)) is not None and out.num_rows:
+                    yield out
 
     return df.mapInArrow(run, schema)
 
 
-def pieces(batch: pa.RecordBatch, text: str, budget: int = 8_000_000) -> Iterator[pa.RecordBatch]:
-    """Slices of a batch with about ``budget`` characters of text each, so work arrays stay small."""
-    sizes = np.asarray(batch.column(text).cast(pa.large_string()).fill_null("").to_numpy(zero_copy_only=False))
-    ends = np.cumsum(np.fromiter(map(len, sizes), np.int64, len(sizes)))
+def pieces(batch: pa.RecordBatch, column: str, budget: int = 4_000_000) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch with about ``budget`` bytes of a string or binary column each, so work arrays stay small."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
     start = 0
     while start < batch.num_rows:
         done = ends[start - 1] if start else 0

@@ -35,9 +35,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_batches, pieces, worker_state
+from .common import map_batches, worker_state
 
-CHUNK, REMEMBERED = 32_768, 300_000
+CHUNK, REMEMBERED, STABLE = 32_768, 100_000, 100_000
 BLANK = "▁"
 BEHIND = "\ud800"  # marks a remembered word; no text holds it
 HARD = 0  # the only state of a cut that no piece crosses
@@ -108,7 +108,7 @@ class Pieces(dict):
         """Whether two neighbouring pieces are stable; with an empty ``a``, whether one piece is."""
         key = a, b
         if key not in self.stable:
-            if len(self.stable) > 1_000_000:
+            if len(self.stable) > STABLE:
                 self.stable.clear()
             self.stable[key] = self.ids(a + b) == (self.unit(a) if a else []) + self.unit(b)
         return self.stable[key]
@@ -322,7 +322,7 @@ def encode(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path: st
         found = cut_states([{(i, j): w for i, j, w in zip(m.i, m.j, m.w, strict=True)} for m in group.itertuples(index=False)])
         return pd.DataFrame({"_doc": group["_doc"].array, "_hash": group["_hash"].array, "chunk": group["chunk"].array, "enter": found[:-1], "leave": found[1:]})
 
-    matrices = map_batches(slices, matrix, f"_doc {kind}, _hash bigint, chunk int, i array<int>, j array<int>, w array<double>")
+    matrices = map_batches(slices, matrix, f"_doc {kind}, _hash bigint, chunk int, i array<int>, j array<int>, w array<double>", "slice")
     at = matrices.groupBy("_doc", "_hash").applyInPandas(scan, f"_doc {kind}, _hash bigint, chunk int, enter int, leave int")
     at = at.select(F.col("_doc").alias("_d"), F.col("_hash").alias("_h"), F.col("chunk").alias("_c"), "enter", "leave")
     joined = slices.join(at, F.col("_doc").eqNullSafe(F.col("_d")) & (F.col("_hash") == F.col("_h")) & (F.col("chunk") == F.col("_c")))
@@ -336,18 +336,14 @@ def encode(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path: st
             names=["doc_id", "chunk", "start", "n_chars", "ids"])
 
     def whole(batch: pa.RecordBatch) -> pa.RecordBatch:
-        p, ids, sizes = model(path), [], []
-        for part in pieces(batch, "_text"):
-            texts = [normalise(t) for t in part.column("_text").to_pylist()]
-            ids += map(p.between, texts)
-            sizes += map(len, texts)
-        n = batch.num_rows
+        texts, n = [normalise(t) for t in batch.column("_text").to_pylist()], batch.num_rows
+        ids, sizes = list(map(model(path).between, texts)), list(map(len, texts))
         return pa.RecordBatch.from_arrays(
             [batch.column("_doc"), pa.array(np.zeros(n, np.int32)), pa.array(np.zeros(n, np.int64)), pa.array(sizes, pa.int64()), pa.array(ids, pa.binary())],
             names=["doc_id", "chunk", "start", "n_chars", "ids"])
 
-    one = map_batches(own.where(F.length("_text").between(1, chunk - 1)), whole, out_schema)
-    many = map_batches(joined.select("_doc", "chunk", "start", "begin", "end", "slice", "enter", "leave"), back, out_schema)
+    one = map_batches(own.where(F.length("_text").between(1, chunk - 1)), whole, out_schema, "_text")
+    many = map_batches(joined.select("_doc", "chunk", "start", "begin", "end", "slice", "enter", "leave"), back, out_schema, "slice")
     return one.unionByName(many)
 
 
@@ -363,4 +359,4 @@ def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
         return pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(out, pa.string())], names=[*kept, "text"])
 
     kinds = ", ".join(f"`{c}` {encoded.schema[c].dataType.simpleString()}" for c in kept)
-    return map_batches(encoded.select(*kept), run_, f"{kinds}, text string")
+    return map_batches(encoded.select(*kept), run_, f"{kinds}, text string", "ids")
