@@ -56,23 +56,30 @@ def op5_piece_scan(spark, sf_dir):
 
 
 @query(sql=r"""
-WITH cut AS (
-  SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS unit FROM documents
+WITH lines AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i, len(string_split(text, chr(10))) AS m FROM documents
 ), placed AS (
-  SELECT doc_id, unit, sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY unit) - length(line) - 1 AS b, length(line) AS n,
-         trim(regexp_replace(lower(line), '\s+', ' ', 'g')) AS norm
-  FROM cut
+  SELECT *, sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY i) - length(line) - 1 AS b, CASE WHEN i < m THEN 1 ELSE 0 END AS tail,
+         string_split(regexp_replace(line, '([.!?]+[ \t]+)', '\1' || chr(1), 'g'), chr(1)) AS parts
+  FROM lines
+), sentences AS (
+  SELECT doc_id, i, b, tail, unnest(parts) AS line, generate_subscripts(parts, 1) AS j, len(parts) AS k FROM placed WHERE len(parts) > 1
+), units AS (
+  SELECT doc_id, b AS s, b + length(line) + tail AS e, line, 5 AS least FROM placed
+  UNION ALL SELECT doc_id, b + sum(length(line)) OVER (PARTITION BY doc_id, i ORDER BY j) - length(line),
+    b + sum(length(line)) OVER (PARTITION BY doc_id, i ORDER BY j) + CASE WHEN j = k THEN tail ELSE 0 END, line, 8 FROM sentences
+), normed AS (
+  SELECT *, trim(regexp_replace(lower(line), '\s+', ' ', 'g')) AS norm FROM units
 ), ranked AS (
-  SELECT *, first_value(doc_id) OVER g AS first_doc, first_value(b) OVER g AS first_b, row_number() OVER g AS rn
-  FROM placed WHERE len(string_split(norm, ' ')) >= 5 WINDOW g AS (PARTITION BY norm ORDER BY doc_id, unit)
+  SELECT *, first_value(doc_id) OVER g AS first_doc, first_value(s) OVER g AS first_s FROM normed
+  WHERE len(string_split(norm, ' ')) >= least WINDOW g AS (PARTITION BY norm ORDER BY doc_id, s)
 )
-SELECT doc_id, CAST(unit AS INTEGER) AS unit, CAST(b AS BIGINT) AS span_start, CAST(b + n AS BIGINT) AS span_end,
-       first_doc AS first_doc_id, CAST(first_b AS BIGINT) AS first_start
-FROM ranked WHERE rn > 1""")
+SELECT doc_id, CAST(s AS BIGINT) AS span_start, CAST(e AS BIGINT) AS span_end, first_doc AS first_doc_id, CAST(first_s AS BIGINT) AS first_start
+FROM ranked WHERE doc_id > first_doc OR (doc_id = first_doc AND s > first_s)""")
 def op6_line_dedup(spark, sf_dir):
     """Spans that go, with the place of the occurrence that stays; ``line_dedup.clean`` gives the cleaned texts."""
     found = line_dedup.find_repeats(table(spark, sf_dir, "documents"))
-    return found.select(found["_doc"].alias("doc_id"), "unit", found["start"].alias("span_start"), found["end"].alias("span_end"),
+    return found.select(found["_doc"].alias("doc_id"), found["start"].alias("span_start"), found["end"].alias("span_end"),
                         found["first_doc"].alias("first_doc_id"), "first_start")
 
 

@@ -271,18 +271,44 @@ def test_encode_and_decode(docs, texts):
 
 
 def test_clean_removes_the_spans(docs, texts):
-    seen, kept = set(), {}
+    seen, spans = {}, defaultdict(list)
     for i in sorted(texts):
-        lines = []
-        for line in texts[i].split("\n"):
-            norm = " ".join(line.lower().split())
-            if len(norm.split()) < line_dedup.MIN_WORDS or norm not in seen:
-                lines.append(line)
-            seen.add(norm)
-        kept[i] = "\n".join(lines)
+        at = 0
+        for line in re.findall(r"[^\n]*\n|[^\n]+$", texts[i]):
+            found = [(at, at + len(line), line, 5)]
+            parts = re.split(r"(?<=[.!?])(?=[ \t])", line.rstrip("\n"))
+            begin = at
+            if len(parts) > 1:
+                parts = [re.sub(r"^[ \t]+", "", p) for p in parts]
+                for p in parts:
+                    begin = texts[i].index(p, begin)
+                    end = begin + len(p)
+                    while end < at + len(line) and texts[i][end] in " \t\n":
+                        end += 1
+                    found.append((begin, end, p, 8))
+                    begin = end
+            for b, e, unit, least in found:
+                words = tuple(unit.lower().split())
+                if len(words) >= least and seen.setdefault(words, (i, b)) < (i, b):
+                    spans[i].append((b, e))
+            at += len(line)
     for r in line_dedup.clean(docs).collect():
-        assert r.text == kept[r.doc_id]
-        assert len(texts[r.doc_id]) - len(r.text) == sum(s.end - s.start + 1 for s in r.removed) - (r.text == "" and len(r.removed) > 0)
+        gone = set()
+        for b, e in spans[r.doc_id]:
+            gone |= set(range(b, e))
+        assert sorted((s.start, s.end) for s in r.removed) == sorted(spans[r.doc_id])
+        assert r.text == "".join(c for k, c in enumerate(texts[r.doc_id]) if k not in gone)
+
+
+def test_passage_within_lines(spark):
+    rng = random.Random(9)
+    prose = lambda n: " ".join("".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(n))
+    passage = f"{prose(20).capitalize()}. {prose(30)}! {prose(9)}."
+    rows = [(1, f"{prose(12)}. {passage} {prose(5)}."), (2, f"{prose(3)}.\n{prose(7)} {passage} {prose(8)}")]
+    got = {r.doc_id: r for r in line_dedup.clean(spark.createDataFrame(rows, "doc_id int, text string")).collect()}
+    assert got[1].text == rows[0][1] and not got[1].removed
+    assert passage[-200:] not in got[2].text and len(rows[1][1]) - len(got[2].text) > 0.6 * len(passage)
+    assert all(rows[1][1][s.start:s.end] in rows[0][1] for s in got[2].removed)
 
 
 # 7: cosines from the definition, and inheritance
@@ -392,12 +418,8 @@ def test_pipeline(spark, docs):
     assert set(rows[0]) == {r.doc_id for r in docs.collect()} - toxic
     near = {r.component_id for r in simhash.near_copies(steps[0]).collect()}
     assert set(rows[1]) == near and set(rows[2]) == set(rows[3]) == near
-    seen = set()
-    for i in sorted(rows[2]):
-        for line in rows[2][i].split("\n"):
-            norm = " ".join(line.lower().split())
-            assert len(norm.split()) < line_dedup.MIN_WORDS or norm not in seen
-            seen.add(norm)
+    left = {r.doc_id: r.text for r in line_dedup.clean(steps[1]).collect()}
+    assert rows[2] == left
     assert all(not re.search(r'(?i)token = "[0-9a-f]{40}"', t) for t in rows[3].values())
     assert all(s.columns == docs.columns for s in steps[:4])
     final = corpus_pipeline.run(spark, SF)
