@@ -23,11 +23,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_batches, pieces, worker_state
+from .common import map_batches, worker_state
 
 LIMIT = 2048
 #: Words of which a Python worker remembers the ids; older ones are forgotten (speed only).
-REMEMBERED = 400_000
+REMEMBERED = 150_000
 #: Byte alphabet of byte-level vocabularies: printable bytes stand for themselves, the others for 256, 257, ... in order.
 _PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
 BYTES = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTED)}
@@ -118,12 +118,9 @@ def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", tokenizer:
             [of, pa.array(starts, pa.int64()), pa.array(lengths, pa.int64()), pa.array(ids, pa.binary()), pa.array(totals, pa.int64())],
             names=["doc_id", "start", "length", "ids", "doc_tokens"])
 
-    def each(batch):
-        return pa.Table.from_batches([run(b) for b in pieces(batch, "_text")]).combine_chunks().to_batches()[0]
-
     kind = docs.schema[doc_id].dataType.simpleString()
-    cut = map_batches(docs.select(F.col(doc_id).alias("_doc"), F.col(text).alias("_text")), each,
-                      f"doc_id {kind}, start bigint, length bigint, ids binary, doc_tokens bigint")
+    cut = map_batches(docs.select(F.col(doc_id).alias("_doc"), F.col(text).alias("_text")), run,
+                      f"doc_id {kind}, start bigint, length bigint, ids binary, doc_tokens bigint", "_text")
     # Each piece is a sequence. The number is partition and position: a map over input splits, so a
     # task that runs again gives its pieces the same numbers.
     return cut.withColumn("sequence_id", F.monotonically_increasing_id()).withColumn("offset", F.lit(0).cast("long"))
