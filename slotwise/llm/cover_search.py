@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from .common import durable
 
-SAMPLE, BLOCK, GROUP, LEAF, FAN = 4096, 4096, 256, 32, 16
+SAMPLE, BLOCK, GROUP, LEAF, FAN = 4096, 4096, 256, 128, 16
 
 
 @dataclass
@@ -118,6 +118,9 @@ def dual_search(queries, q_rows, data, d_ids, d_rows, k: int, floors) -> list[tu
             good = (scores >= floor[a.begin:a.end, None]) & (rows[None, b.begin:b.end] != q_row[a.begin:a.end, None])
             for i in np.flatnonzero(good.any(1)):
                 at = np.flatnonzero(good[i])
+                if len(at) > k:  # only its k best can stay, and what ties with them
+                    least = np.sort(scores[i, at])[-k]
+                    at = at[scores[i, at] >= least]
                 own = best[a.begin + i] + [(-int(scores[i, j]), int(ids[b.begin + j]), int(rows[b.begin + j])) for j in at]
                 own.sort()
                 best[a.begin + i] = own = own[:k]
