@@ -163,12 +163,14 @@ def score(docs: DataFrame, model: Model, threshold: float = 0.3, doc_id: str = "
             of, bucket = present(texts_of(part), chosen)
             margins.append(bias + np.bincount(of, weights=weight[bucket], minlength=part.num_rows))
         s = np.round(1 / (1 + np.exp(-np.concatenate(margins))), 6)
-        columns = [c for n, c in zip(batch.schema.names, batch.columns, strict=True) if n != "_text"]
+        columns = [batch.column("_text" if n == text else f"c{i}") for i, n in enumerate(names)]
         return pa.RecordBatch.from_arrays([*columns, pa.array(s), pa.array((s >= threshold).astype(np.int32))], names=[*(f"c{i}" for i in range(len(columns))), "score", "predicted"])
 
     names = [doc_id, *keep]
     kinds = ", ".join(f"c{i} {docs.schema[n].dataType.simpleString()}" for i, n in enumerate(names))
-    out = map_batches(docs.select(F.col(text).alias("_text"), *[F.col(n).alias(f"c{i}") for i, n in enumerate(names)]), run, f"{kinds}, score double, predicted int")
+    # A text that is kept goes to the task once, as the scored one.
+    sent = docs.select(F.col(text).alias("_text"), *[F.col(n).alias(f"c{i}") for i, n in enumerate(names) if n != text])
+    out = map_batches(sent, run, f"{kinds}, score double, predicted int", "_text")
     return out.select(*[F.col(f"c{i}").alias(n) for i, n in enumerate(names)], "score", "predicted")
 
 
