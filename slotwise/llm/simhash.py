@@ -36,16 +36,16 @@ RADIUS, SEED, SHINGLE = 3, 42, 3
 SAMPLE, SHARD, LEAF = 16_384, 40_000, 512
 
 
-def shingle_hashes(text: str) -> list[int]:
+def shingle_hashes(text: str, size: int = SHINGLE) -> list[int]:
     words = text.encode("utf-8", "surrogatepass").lower().split()  # bytes: only A-Z and the six ASCII blanks
     if not words:
         return []
     joined, digest = b" ".join(words), xxhash.xxh64_intdigest
-    if len(words) <= SHINGLE:
+    if len(words) <= size:
         return [digest(joined, SEED)]
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
-    starts = [0, *(ends[:-SHINGLE] + 1).tolist()]
-    return [digest(joined[a:b], SEED) for a, b in zip(starts, ends[SHINGLE - 1:].tolist(), strict=True)]
+    starts = [0, *(ends[:-size] + 1).tolist()]
+    return [digest(joined[a:b], SEED) for a, b in zip(starts, ends[size - 1:].tolist(), strict=True)]
 
 
 def fingerprint(hashes: list[np.ndarray]) -> np.ndarray:

@@ -162,6 +162,22 @@ def test_dense_balls_and_blocks(spark):
     assert [int(x) for x in label] == want
 
 
+def test_near_texts_of_the_pipeline(spark):
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(7))
+    rows, want = [], set()
+    for i in range(0, 120, 2):  # differing words cost five shingles each: similarities from 0.98 to 0.67
+        own = [word() for _ in range(248)]
+        other = own.copy()
+        for k in range(1 + i // 2 % 10):
+            other[12 + 24 * k] = word()
+        sets = [{tuple(t[j:j + 5]) for j in range(len(t) - 4)} for t in (own, other)]
+        rows += [(i, " ".join(own)), (i + 1, " ".join(other).upper())]
+        want |= {i} if len(sets[0] & sets[1]) >= 0.8 * len(sets[0] | sets[1]) else {i, i + 1}
+    docs = spark.createDataFrame(rows, "doc_id int, text string").withColumns({"lang": F.lit("en"), "source": F.lit("x"), "n_chars": F.length("text")})
+    assert 60 < len(want) < 120 and {r.doc_id for r in dict(corpus_pipeline.STAGES)["near_dedup"](spark, docs, SF).collect()} == want
+
+
 def test_components(spark):
     rng = random.Random(2)
     edges = [(i, i + 1) for i in range(200)] + [(1000, 1000 + i) for i in range(300)] + [(5000 + rng.randrange(400), 5000 + rng.randrange(400)) for _ in range(250)]
