@@ -115,6 +115,14 @@ def test_noise_is_rejected_and_prose_kept(spark):
     assert share[1] > 0.95 and share[0] < 0.3
 
 
+def test_copies_do_not_move_the_bands(spark, docs):
+    own = docs.where("lang = 'fr' and n_chars > 400").dropDuplicates(["text"])
+    one = own.orderBy("doc_id").limit(1)
+    copies = one.crossJoin(spark.range(own.count() + 10).select(F.col("id") + 1_000_000)).drop("doc_id").withColumnRenamed("(id + 1000000)", "doc_id")
+    without, with_ = ({r.doc_id: (r.kept, r.perplexity, r.lower, r.upper) for r in perplexity.judge(d).collect() if r.doc_id < 1_000_000} for d in (own, own.unionByName(copies)))
+    assert with_ == without and sum(k for k, *_ in without.values()) > len(without) / 2
+
+
 # 2: fingerprints and classes
 
 
