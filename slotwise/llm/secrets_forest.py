@@ -10,7 +10,7 @@ corpus where none is given: a value assigned to a credential name is a secret; r
 digits, plain words, and values named as hashes or ids are not; the rest has no label.
 
 Bounds: the dictionary holds words with a share of at least ``1 / WORDS`` of all words, so at most ``WORDS``
-of them; the transition table has 28 x 28 cells; the forest learns from about ``SAMPLE`` findings a class.
+of them; the transition table has 28 x 28 cells; the forest learns from about ``SAMPLE`` distinct findings a class.
 
 Defined results: null and empty texts have no candidates; a null path has no path features; with findings of
 one label only no forest is grown and the context rule decides alone (score 1 or 0); repeated rows give
@@ -127,15 +127,21 @@ def _vectors(df: DataFrame) -> DataFrame:
 
 
 def grow(labelled: DataFrame, sample: int = SAMPLE) -> RandomForestClassificationModel | None:
-    """The forest, from about ``sample`` labelled findings a class; None without both classes."""
+    """The forest, from about ``sample`` distinct labelled findings a class; None without both classes.
+
+    Copies of a finding (candidate and features) count as one, so one that is repeated neither fills the draw nor empties it.
+    """
+    labelled = durable(labelled.select(*FEATURES, "label", "candidate").distinct())
     sizes = dict(labelled.groupBy("label").count().collect())
     if not sizes.get(0.0) or not sizes.get(1.0):
         return None
-    draw = F.pmod(F.xxhash64("candidate", F.lit(3)), F.lit(1 << 30)) / float(1 << 30)
+    draw = F.pmod(F.xxhash64("candidate", *FEATURES, F.lit(3)), F.lit(1 << 30)) / float(1 << 30)
     limit = F.when(F.col("label") == 1, min(1.0, sample / sizes[1.0])).otherwise(min(1.0, sample / sizes[0.0]))
     drawn = labelled.where(draw < limit).select(*FEATURES, "label")
     # Sorted in one small partition, so the trees' draws do not depend on how the rows lay.
     drawn = durable(drawn.coalesce(1).sortWithinPartitions("label", *FEATURES))
+    if drawn.select("label").distinct().count() < 2:
+        return None
     return RandomForestClassifier(numTrees=20, maxDepth=6, seed=11).fit(_vectors(drawn))
 
 

@@ -386,6 +386,17 @@ def test_forest_learns_from_given_labels(spark):
     assert len(scored) == 80 and all(r.is_secret == bool(r["_doc"] % 2) for r in scored)
 
 
+def test_a_repeated_finding_neither_fills_nor_empties_the_draw(spark):
+    blank = dict.fromkeys(secrets_forest.FEATURES, 0.0)
+    rows = [blank | {"label": 1.0, "candidate": "hot", "assigned": 1.0}] * 4000
+    rows += [blank | {"label": label, "candidate": f"{label}-{i}", "assigned": label, "length": float(i)} for label in (0.0, 1.0) for i in range(5)]
+    few = spark.createDataFrame(pd.DataFrame(rows))
+    for hot in ("hot", "warm", "cold", "tepid"):  # before, about half of the names left the label without a row
+        forest = secrets_forest.grow(few.replace("hot", hot, "candidate"), sample=20)
+        scored = forest.transform(secrets_forest._vectors(few.dropDuplicates(["candidate"]))).collect()
+        assert all(r.prediction == r.label for r in scored)
+
+
 def test_redact(docs, texts):
     for r in secrets_forest.redact(docs).collect():
         assert r.text == re.sub(r'(?i)(token = ")[0-9a-f]{40}"', r'\1[SECRET]"', texts[r.doc_id])
