@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import cover_search, licenses, line_dedup, line_runs, packing, perplexity, piece_scan, secrets_forest, simhash, toxicity, url_globs
+from . import cover_search, licenses, line_dedup, line_runs, packing, perplexity, piece_scan, secrets_forest, simhash, toxicity, url_globs, variants
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -153,3 +153,39 @@ FROM judged GROUP BY doc_id""")
 def op12_line_runs(spark, sf_dir):
     left = line_runs.drop_repeats(table(spark, sf_dir, "documents"))
     return left.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+@query(sql=r"""
+WITH RECURSIVE runs AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{C0}-\x{FF}]+')) AS run FROM documents
+), counted AS (
+  SELECT doc_id, run, count(*) AS n FROM runs WHERE length(run) >= 7 GROUP BY ALL
+), crc_table AS (
+  SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: xor(c >> 1, (c & 1) * 3988292384)) ORDER BY i) AS t FROM range(256) r(i)
+), bytes AS (
+  SELECT *, flatten(list_transform(string_split(concat(doc_id, ':', run), ''), lambda c: CASE WHEN unicode(c) < 128 THEN [unicode(c)::BIGINT] ELSE [195::BIGINT, unicode(c) - 64] END)) AS b FROM counted
+), drawn AS (
+  SELECT run, n, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, b), lambda c, z: xor(c >> 8, t[1 + (xor(c, z) & 255)]))) AS h FROM bytes, crc_table
+), words AS (
+  SELECT w AS word, CAST(sum(n) AS BIGINT) AS n
+  FROM (SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, CAST(h % length(run) AS BIGINT)) || substr(run, CAST(h % length(run) AS BIGINT) + 2) ELSE run END AS w, n FROM drawn)
+  WHERE length(w) >= 7 GROUP BY w HAVING sum(n) >= 2
+), skips AS (
+  SELECT DISTINCT word, n, i, substr(word, 1, i - 1) AS a, substr(word, i + 1) AS z FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)
+), near AS (
+  SELECT x.word, y.word AS other, y.n FROM skips x JOIN skips y ON x.i = y.i AND x.a = y.a AND x.z = y.z AND x.word <> y.word
+  UNION SELECT x.word, y.word, y.n FROM skips x JOIN words y ON x.a || x.z = y.word
+  UNION SELECT y.word, x.word, x.n FROM skips x JOIN words y ON x.a || x.z = y.word
+), best AS (
+  SELECT word, count(*) AS n_near, arg_min(other, (-n, other)) AS other, max(n) AS other_n FROM near GROUP BY word
+), formed AS (
+  SELECT words.word, CASE WHEN other_n >= 10 * n THEN other END AS form, n, coalesce(n_near, 0) AS n_near, CASE WHEN other_n >= 10 * n THEN other_n END AS form_n FROM words LEFT JOIN best USING (word)
+), chain AS (
+  SELECT word, word AS root FROM words UNION ALL SELECT chain.word, formed.form FROM chain JOIN formed ON formed.word = chain.root WHERE formed.form IS NOT NULL
+), lasts AS (
+  SELECT chain.word, root FROM chain JOIN formed ON formed.word = chain.root AND formed.form IS NULL
+)
+SELECT word, form, root, n, CAST(n_near AS BIGINT) AS n_near, CAST(form_n AS BIGINT) AS form_n FROM formed JOIN lasts USING (word)""")
+def op13_variants(spark, sf_dir):
+    """Distinct words of all texts, each with its near words' number, its more frequent form and the end of the chain of forms."""
+    return variants.variants(variants.word_counts(table(spark, sf_dir, "documents"), slip_every=31))
