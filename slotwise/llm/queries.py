@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import cover_search, licenses, line_dedup, line_runs, packing, perplexity, piece_scan, secrets_forest, simhash, toxicity, url_globs, variants
+from . import cover_search, hard_negatives, licenses, line_dedup, line_runs, packing, perplexity, piece_scan, secrets_forest, simhash, toxicity, url_globs, variants
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -189,3 +189,23 @@ SELECT word, form, root, n, CAST(n_near AS BIGINT) AS n_near, CAST(form_n AS BIG
 def op13_variants(spark, sf_dir):
     """Distinct words of all texts, each with its near words' number, its more frequent form and the end of the chain of forms."""
     return variants.variants(variants.word_counts(table(spark, sf_dir, "documents"), slip_every=31))
+
+
+@query(sql="""
+WITH v AS (
+  SELECT row_number() OVER () AS row, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.row, a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same, CAST(list_inner_product(a.e, c.e) AS BIGINT) AS score
+  FROM v a JOIN v c ON a.vec_id % 100 = 0 AND c.vec_id IS DISTINCT FROM a.vec_id
+), positives AS (
+  SELECT row, anchor_id, vec_id AS positive_id, score AS positive_score, row_number() OVER (PARTITION BY row ORDER BY score DESC, vec_id) AS place FROM scored WHERE same
+), ranked AS (
+  SELECT anchor_id, positive_id, vec_id AS negative_id, positive_score, score AS negative_score,
+         row_number() OVER (PARTITION BY row, place ORDER BY score DESC, vec_id) AS rank
+  FROM positives JOIN scored USING (row, anchor_id) WHERE place <= 5 AND NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM ranked WHERE rank <= 5""")
+def op11_hard_negatives(spark, sf_dir):
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings").withColumn("label", moved), lambda i: i % 100 == 0)
