@@ -4,8 +4,8 @@ The index of lines seen is a set of runs, each a table of (hash, documents, keep
 128-bit hash. A batch is reduced to one row a key, merge-anti-joined with the rows of the runs that are
 already settled (held by ``min_docs`` documents: nothing that comes later can change them), and what is left becomes
 a run of level 0. When a level has ``fanout`` runs they are merged into one of the next level, so the number of runs
-grows with the logarithm of the batches. Batch and runs share their buckets, so neither anti-join nor merge shuffles
-a run.
+grows with the logarithm of the batches. Batch and runs share their buckets, so an anti-join does not shuffle a run; a merge
+adds up rows before it shuffles them.
 
 The keeper of a line is the greatest id of the earliest batch that holds it. ``drop_repeats`` deals a table into batches of
 descending ids, so that the greatest id of the whole table keeps the line; the lines of a key that ``min_docs`` documents
@@ -82,10 +82,10 @@ class LineRuns:
         self.levels = []
 
     def _merged(self, runs: list[str]) -> DataFrame:
-        tables = [self.spark.table(r) for r in runs]
-        rows = tables[0]
-        for more in tables[1:]:
-            rows = rows.union(more)
+        # One scan of plain files: Spark 4.1 takes the union of bucketed tables for partitioned by the key and then reads it unbucketed.
+        catalog = self.spark.catalog
+        folder = catalog.getDatabase(catalog.currentDatabase()).locationUri
+        rows = self.spark.read.schema(self.spark.table(runs[0]).schema).parquet(*[f"{folder}/{r}" for r in runs])
         return rows.groupBy(*KEY).agg(F.sum("docs").alias("docs"), F.max("keeper").alias("keeper"))
 
     def _add(self, rows: DataFrame, level: int) -> None:
@@ -122,7 +122,8 @@ def repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_cha
     try:
         for batch in descending(keyed, batches):
             index.absorb(batch)
-        settled = index.held().where(F.col("docs") >= min_docs).select(*KEY, F.col("keeper.doc").alias("_keeper"))
+        # Written, so that both sides of the join are plain shuffles, which AQE may split where one line is very common.
+        settled = durable(index.held().where(F.col("docs") >= min_docs).select(*KEY, F.col("keeper.doc").alias("_keeper")))
         gone = keyed.join(settled, KEY).where(~F.col("_doc").eqNullSafe(F.col("_keeper")))
         return durable(gone.groupBy("_doc", "_text_hash").agg(F.sort_array(F.collect_set("line")).alias("_gone")))
     finally:
