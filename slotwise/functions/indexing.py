@@ -42,6 +42,31 @@ def rank_by_hash(df: DataFrame, keys, ids, seed: int, rank: str = "pos") -> Data
     return rows.withColumn(rank, F.col("_off") + F.col("_r") - 1).drop("_h", "_b", "_r", "_off")
 
 
+def rank_in_order(df: DataFrame, keys, order, out: str = "rank", **totals: Column) -> DataFrame:
+    """Number the rows of each key 1..n in the given order, however many rows a key has.
+
+    Equal to ``row_number()`` over (key, order), without a task that holds a key. Rows are range-partitioned by
+    (key, order) and sorted, so a hot key lies in several partitions in the right order; a row's number is its
+    position among the key's rows of the partition plus the key's rows in the partitions before. These pieces are one row per
+    key and partition it touches, combined map-side. ``totals`` are sums (``F.sum`` columns) over the key that ride
+    along. The order must name every tie. The partitioned rows are written once, so positions and pieces agree.
+    """
+    keys, order = list(keys), [F.col(o) if isinstance(o, str) else o for o in order]
+    by = [*[F.col(k) for k in keys], *order]
+    spread = df.repartitionByRange(*by).sortWithinPartitions(*by)
+    spread = durable(spread.select("*", F.spark_partition_id().alias("_p"), F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1).alias("_i")))
+    pieces = spread.groupBy(*keys, "_p").agg(F.min("_i").alias("_first"), F.count(F.lit(1)).alias("_c"), *[t.alias(f"_t_{n}") for n, t in totals.items()])
+    whole = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
+    before = F.sum("_c").over(whole.orderBy("_p")) - F.col("_c")
+    pieces = pieces.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("_p").alias("_kp"), (before - F.col("_first") + 1).alias("_shift"),
+                           *[F.sum(f"_t_{n}").over(whole).alias(n) for n in totals])
+    same = F.col("_p") == F.col("_kp")
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    ranked = spread.join(pieces, same).withColumn(out, F.col("_i") + F.col("_shift"))
+    return ranked.select(*df.columns, out, *totals)
+
+
 def dense_ids(df: DataFrame, key: str, out: str = "id") -> DataFrame:
     """0-based ids of the distinct keys in sorted order.
 

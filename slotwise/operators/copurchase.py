@@ -115,7 +115,7 @@ def copurchase_pmi(order_items: DataFrame, products: DataFrame, min_count: int,
     rows = shared(order_items.join(products.select("base_sku").distinct(), "base_sku", "left_semi").select(
         "order_id", "base_sku").distinct())
     pairs = pair_counts(rows, ["order_id"], "base_sku", min_count)
-    freq = rows.groupBy("base_sku").agg(F.count(F.lit(1)).alias("f"))
+    freq = shared(rows.groupBy("base_sku").agg(F.count(F.lit(1)).alias("f")))
     total = rows.agg(F.count_distinct("order_id")).scalar()
     scored = (pairs.join(freq.withColumnsRenamed({"base_sku": "item_a", "f": "fa"}), "item_a")
               .join(freq.withColumnsRenamed({"base_sku": "item_b", "f": "fb"}), "item_b")

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from ..functions import exprs as X
 from ..functions.asof import asof_join
-from ..functions.indexing import rank_by_hash
+from ..functions.indexing import rank_by_hash, rank_in_order
 from ..functions.keyed import global_top, top_n_per_key
 
 DAY = 86_400
@@ -283,8 +283,7 @@ def rolling_versions(orders: DataFrame, users: DataFrame, cutoffs: DataFrame, se
     out = None
     for version, keys in (("segment", ["cutoff", *segment]), ("global", ["cutoff"])):
         counts = hist.groupBy(*keys, "sku").agg(_n().alias("orders"))
-        w = Window.partitionBy(*keys).orderBy(F.desc("orders"), F.asc("sku"))
-        ranks = counts.withColumn("rank", F.row_number().over(w)).select(*keys, "sku", "rank")
+        ranks = rank_in_order(counts, keys, [F.desc("orders"), F.asc("sku")]).select(*keys, "sku", "rank")
         # Rank of a purchase among the products left: its rank less the user's earlier products before it.
         mine = bought.join(ranks, [*keys, "sku"]).select("cutoff", "user_id", F.col("rank").alias("_b"))
         hit = held.join(bought, ["cutoff", "user_id", "sku"], "left_anti").join(ranks, [*keys, "sku"])

@@ -6,10 +6,11 @@ row per pair however often a pair was ordered.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import exprs as X
+from ..functions.indexing import rank_in_order
 from ..functions.keyed import top_n_per_key
 from ..params import RecParams
 from ..sources.bags import ORDER_EVENTS
@@ -58,12 +59,8 @@ def segment_popularity(hist, staged, users, p: RecParams, segment=SEGMENT) -> Da
 
 
 def ranked(rows: DataFrame, keys, by: str, name: str, total: str) -> DataFrame:
-    """Rank inside a key by an order count, and the key's total, in one exchange.
-
-    Rows are aggregated: at most one per sku and key, so a key holds no more than the catalogue.
-    """
-    w = Window.partitionBy(*keys)
-    return rows.withColumns({name: F.row_number().over(w.orderBy(F.desc(by), F.asc("sku"))), total: F.sum(by).over(w)})
+    """Rank inside a key by an order count, and the key's total. A key of any number of skus is spread over tasks."""
+    return rank_in_order(rows, keys, [F.desc(by), F.asc("sku")], name, **{total: F.sum(by)})
 
 
 def segment_top(segments: DataFrame, n: int, segment=SEGMENT) -> DataFrame:

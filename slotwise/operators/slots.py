@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import exprs as X
+from ..functions.indexing import rank_in_order
 from ..functions.keyed import top_n_per_key
 
 
@@ -73,7 +74,7 @@ def popularity_pools(products: DataFrame, fitment: DataFrame, entities: DataFram
     overall = fit.select(F.lit("global").alias("level"), F.lit("*").alias("pool"), *ok.columns).distinct()
     pools = per_entity.unionByName(per_group).unionByName(overall)
     order = [F.desc("popularity"), F.asc("product_id")]
-    return pools.withColumn("depth", F.row_number().over(Window.partitionBy("level", "pool", "category").orderBy(*order)).cast("long"))
+    return rank_in_order(pools, ["level", "pool", "category"], order, "depth")
 
 
 def popularity_fallback(recs: DataFrame, users: DataFrame, ownership: DataFrame, entities: DataFrame, pools: DataFrame,

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from slotwise.functions import exprs as X
 from slotwise.functions import pairs
 from slotwise.functions.asof import asof_join
-from slotwise.functions.indexing import dense_ids, rank_by_hash
+from slotwise.functions.indexing import dense_ids, rank_by_hash, rank_in_order
 from slotwise.functions.keyed import share_of_group, top_n_per_key, with_group_total
 
 
@@ -113,23 +113,66 @@ def test_asof_equals_brute_force(spark, strict, bucket):
     assert out == want
 
 
-@pytest.mark.parametrize("block", [3, 256])
-def test_pair_counts_with_a_huge_group(spark, monkeypatch, block):
-    monkeypatch.setattr(pairs, "BLOCK", block)
-    rnd = random.Random(5)
-    rows = [(g, rnd.randint(0, 14)) for g in range(40) for _ in range(5)] + [(99, i) for i in range(15)]
-    df = spark.createDataFrame(rows, "g int, item int")
-    got = {(r.item_a, r.item_b): r.co_count for r in pairs.pair_counts(df, ["g"], "item", 4).collect()}
-    groups = {}
-    for g, i in rows:
-        groups.setdefault(g, set()).add(i)
-    want = {}
-    for s in groups.values():
+def common_groups(rows, least):
+    """(key, a, b) -> number of groups of (key, group, item) rows that hold both."""
+    groups, out = {}, {}
+    for k, g, i in rows:
+        if k is not None and g is not None and i is not None:
+            groups.setdefault((k, g), set()).add(i)
+    for (k, _), s in groups.items():
         for a in s:
             for b in s:
                 if a < b:
-                    want[a, b] = want.get((a, b), 0) + 1
-    assert got == {k: v for k, v in want.items() if v >= 4}
+                    out[k, a, b] = out.get((k, a, b), 0) + 1
+    return {k: v for k, v in out.items() if v >= least}
+
+
+@pytest.mark.parametrize("least", [1, 2, 4])
+@pytest.mark.parametrize("heavy", [0, 3, 9, 1000])
+def test_pair_counts_of_light_and_heavy_groups(spark, monkeypatch, heavy, least):
+    monkeypatch.setattr(pairs, "BLOCK", 4)
+    rnd = random.Random(5)
+    rows = [(rnd.choice("ab"), g, rnd.randint(0, 14)) for g in range(90) for _ in range(rnd.choice([1, 2, 4, 20]))] + [("a", 99, i) for i in range(25)]
+    rows += [(None, 1, 1), ("a", None, 1), ("a", 99, None), ("a", 99, 3)]
+    df = spark.createDataFrame(rows, "k string, g int, item int")
+    got = pairs.pair_counts(df, ["g"], "item", least, within=["k"], heavy=heavy)
+    assert got.columns == ["k", "item_a", "item_b", "co_count"]
+    assert {(r.k, r.item_a, r.item_b): r.co_count for r in got.collect()} == common_groups(rows, least)
+    assert pairs.pair_counts(df.limit(0), ["g"], "item", least, heavy=heavy).collect() == []
+
+
+def test_one_group_of_a_hundred_thousand_items_makes_no_pairs_of_its_own(spark):
+    n = 100_000
+    small = spark.range(n).select((F.col("id") % (n // 2)).alias("g"), "id")  # 50,000 groups of two items
+    df = small.union(spark.range(n).select(F.lit(-1).alias("g"), "id"))
+    counts = pairs.pair_counts(df, ["g"], "id", 2)
+    row = counts.agg(F.count(F.lit(1)).alias("n"), F.min("co_count").alias("low"), F.max("co_count").alias("high"), F.sum(F.col("item_b") - F.col("item_a")).alias("gap")).first()
+    assert tuple(row) == (n // 2, 2, 2, (n // 2) ** 2)
+    members = df.where("g = -1").select(F.col("id").alias("_x"), F.lit(0).cast("long").alias("_g"))
+    assert pairs.prefix_members(members, [], 2).isEmpty()
+
+
+def test_rank_in_order_of_a_hot_key(spark):
+    """Three keys, one with nearly all rows, equal to row_number, with the hot key in many partitions."""
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "16")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        key = F.when(F.col("id") < 50, "few").when(F.col("id") == 60, F.lit(None)).otherwise("hot")
+        df = spark.range(20_000).select("id", key.alias("k"), (F.col("id") * 7919 % 1000).alias("v"))
+        out = rank_in_order(df, ["k"], [F.desc("v"), F.asc("id")], "r", total=F.sum("v"))
+        assert out.columns == ["id", "k", "v", "r", "total"]
+        rows = out.collect()
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    for k in ("few", None, "hot"):
+        own = sorted((r for r in rows if r.k == k), key=lambda r: (-r.v, r.id))
+        assert [r.r for r in own] == list(range(1, len(own) + 1)) and {r.total for r in own} == {sum(r.v for r in own)}
+    assert "row_number" not in plan
+    assert rank_in_order(df, [], ["id"], "r").where("r != id + 1").isEmpty()
+    assert rank_in_order(df.limit(0), ["k"], ["v", "id"], "r").collect() == []
 
 
 def test_rank_by_hash_is_a_permutation_per_key(spark):
