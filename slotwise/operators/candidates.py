@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import exprs as X
-from ..functions.keyed import top_n_per_key
+from ..functions.indexing import rank_in_order
+from ..functions.keyed import shared, top_n_per_key
 from ..params import RecParams
 from .popularity import event_orders
 
@@ -124,26 +125,21 @@ def embedding_score(candidates: DataFrame, user_vecs: DataFrame, product_vecs: D
     return rows.withColumn("score", X.dot("_u", "_v")).drop("_u", "_v")
 
 
-def top_k_by_vector(user_vecs: DataFrame, product_vecs: DataFrame, k: int, block: int = 4096, chunk: int = 8192) -> DataFrame:
-    """D50/T04 without an entity limit: the k best products of every user.
+def norm_blocks(product_vecs: DataFrame, block: int) -> tuple[DataFrame, Column]:
+    """Products with ``_b``, their block by falling norm, and the largest norm of every block as one array (a scalar)."""
+    rows = product_vecs.select("product_id", "vec", F.sqrt(X.dot("vec", "vec")).alias("_norm"))
+    rows = rank_in_order(rows, [], [F.desc("_norm"), F.asc("product_id")], "_at")
+    rows = rows.withColumn("_b", F.floor((F.col("_at") - 1) / block).cast("int")).drop("_at")
+    tops = rows.groupBy("_b").agg(F.max("_norm").alias("_norm"))
+    return rows.drop("_norm"), tops.agg(F.sort_array(F.collect_list("_norm"), False)).scalar()
 
-    A blocked matrix product: users are cut into chunks and products into blocks, and each
-    (chunk, block) pair is one cogroup of bounded size. A task multiplies its two pieces and
-    emits k rows per user, so no user x product table is ever written.
-    """
+
+def _score_blocks(users: DataFrame, prods: DataFrame, k: int) -> DataFrame:
+    """The k best products of every user of a (chunk, block) pair. ``users``: user_id, vec, _c, _b; ``prods``: product_id, vec, _b."""
     import numpy as np
     import pandas as pd
 
-    def pieces(df, size):
-        return df.agg(F.greatest(F.ceil(F.count(F.lit(1)) / size), F.lit(1)).cast("int")).scalar()
-
-    nb, nc = pieces(product_vecs, block), pieces(user_vecs, chunk)
-    users = user_vecs.select("user_id", "vec", F.pmod(F.xxhash64("user_id"), nc).cast("int").alias("_c"),
-                             F.explode(F.sequence(F.lit(0), nb - 1)).alias("_b"))
-    prods = product_vecs.select("product_id", "vec", F.pmod(F.xxhash64("product_id"), nb).cast("int").alias("_b"),
-                                F.explode(F.sequence(F.lit(0), nc - 1)).alias("_c"))
-    schema = T.StructType([T.StructField("user_id", user_vecs.schema["user_id"].dataType),
-                           T.StructField("product_id", product_vecs.schema["product_id"].dataType),
+    schema = T.StructType([T.StructField("user_id", users.schema["user_id"].dataType), T.StructField("product_id", prods.schema["product_id"].dataType),
                            T.StructField("score", T.DoubleType())])
 
     def score(left, right):
@@ -152,14 +148,60 @@ def top_k_by_vector(user_vecs: DataFrame, product_vecs: DataFrame, k: int, block
         right = right.sort_values("product_id")
         ids = right["product_id"].to_numpy()
         s = np.stack(left["vec"].to_numpy()).astype("float64") @ np.stack(right["vec"].to_numpy()).astype("float64").T
-        top = np.argsort(-s, axis=1, kind="stable")[:, :k]
-        return pd.DataFrame({"user_id": np.repeat(left["user_id"].to_numpy(), top.shape[1]),
-                             "product_id": ids[top].ravel(), "score": np.take_along_axis(s, top, 1).ravel()})
+        if s.shape[1] > k:  # the kth best and all that tie with it; ties go to the smaller id
+            row, at = np.nonzero(s >= np.partition(s, -k, axis=1)[:, -k:-k + 1 or None])
+        else:
+            row, at = (x.ravel() for x in np.indices(s.shape))
+        order = np.lexsort((at, -s[row, at], row))
+        row, at = row[order], at[order]
+        first = np.searchsorted(row, row)
+        keep = np.arange(len(row)) - first < k
+        row, at = row[keep], at[keep]
+        return pd.DataFrame({"user_id": left["user_id"].to_numpy()[row], "product_id": ids[at], "score": s[row, at]})
+
+    asked = users.select(F.col("_c").alias("_chunk"), F.col("_b").alias("_block")).distinct()
+    right = prods.withColumnRenamed("_b", "_block").join(asked, "_block")
+    return users.groupBy("_b", "_c").cogroup(right.groupBy("_block", "_chunk")).applyInPandas(score, schema)
+
 
-    best = users.groupBy("_b", "_c").cogroup(prods.groupBy("_b", "_c")).applyInPandas(score, schema)
+def top_k_by_vector(user_vecs: DataFrame, product_vecs: DataFrame, k: int, block: int = 4096, chunk: int = 8192) -> DataFrame:
+    """D50/T04 without an entity limit: the k best products of every user, exactly.
+
+    Products are cut into blocks by falling norm. No product of a block scores more than the user's norm times the block's largest,
+    so the first block gives every user k scores, and then a user only visits the blocks, a prefix of the list, whose bound
+    reaches the kth of these. A (chunk of users, block) pair is one cogroup of bounded size that multiplies its two pieces and
+    emits k rows a user; no user x product table is ever written.
+    """
+    users, prods, reach = _vector_reach(user_vecs, product_vecs, k, max(block, k), chunk)
+    more = users.where(reach > 1).withColumn("_b", F.explode(F.sequence(F.lit(1), reach - 1)))
+    best = users.select("user_id", F.explode("_first").alias("e")).select("user_id", "e.product_id", "e.score")
+    best = best.unionByName(_score_blocks(more.select("user_id", "vec", "_c", "_b"), prods, k))
     return top_n_per_key(best, ["user_id"], [F.desc("score"), F.asc("product_id")], k, "rank")
 
 
+def _vector_reach(user_vecs: DataFrame, product_vecs: DataFrame, k: int, block: int, chunk: int):
+    """Users with their k best of the first block (``_first``), the blocks, and how many blocks a user has to visit."""
+    prods, tops = norm_blocks(product_vecs, block)
+    chunks = user_vecs.agg(F.greatest(F.ceil(F.count(F.lit(1)) / chunk), F.lit(1)).cast("int")).scalar()
+    users = user_vecs.select("user_id", "vec", F.pmod(F.xxhash64("user_id"), chunks).cast("int").alias("_c"))
+    first = _score_blocks(users.withColumn("_b", F.lit(0)), prods.where("_b = 0"), k)
+    first = first.groupBy("user_id").agg(F.collect_list(F.struct("product_id", "score")).alias("_first"))  # k rows a user
+    users = shared(users.join(first, "user_id"))
+    floor = F.when(F.size("_first") >= k, F.array_min(F.transform("_first", lambda e: e["score"])))
+    # A bound is rounded up, so that no product is lost to it; a floor that is not positive bounds nothing.
+    bound = F.sqrt(X.dot("vec", "vec")) * F.lit(1 + 1e-9)
+    reach = F.when(floor > 0, F.size(F.filter("_tops", lambda n: n * bound >= floor))).otherwise(F.size("_tops"))
+    return users.withColumn("_tops", tops).withColumn("_reach", reach).drop("_tops"), prods, F.col("_reach")
+
+
+def vector_visits(user_vecs: DataFrame, product_vecs: DataFrame, k: int, block: int = 4096, chunk: int = 8192) -> DataFrame:
+    """T04, one row: (user, block) pairs that ``top_k_by_vector`` scores, all there are, and the share."""
+    users, _, reach = _vector_reach(user_vecs, product_vecs, k, max(block, k), chunk)
+    out = users.agg(F.sum(F.greatest(reach, F.lit(1))).cast("long").alias("visited"), F.count(F.lit(1)).alias("_users"))
+    blocks = F.ceil(product_vecs.agg(F.count(F.lit(1))).scalar() / max(block, k))
+    return out.withColumn("pairs", (F.col("_users") * blocks).cast("long")).select("visited", "pairs", X.safe_div("visited", "pairs").alias("share"))
+
+
 def merge_entity_scores(scores: DataFrame) -> DataFrame:
     """Best score of a product over the user's entities."""
     return scores.groupBy("user_id", "product_id").agg(F.max("score").alias("score"))

@@ -94,23 +94,28 @@ def by_tier_and_list(preds: DataFrame, actuals: DataFrame, tiers: DataFrame, ks=
 def bootstrap_interval(per_user: DataFrame, metric: str, n: int = 1000, seed: int = 42) -> DataFrame:
     """95 % interval of a mean by Poisson bootstrap.
 
-    Each user gets an independent Poisson(1) weight per replicate. Users with equal metric
-    values are interchangeable, and a sum of c such weights is Poisson(c), so replicates are
-    drawn per distinct value: the work is (distinct values x n), whatever the number of users.
+    Each user gets an independent Poisson(1) weight per replicate. Users with equal metric values are interchangeable, and a
+    sum of c such weights is Poisson(c), so weights are drawn per distinct value, all replicates of it as one vector. A task adds the
+    vectors of its values up and hands on one row of n sums, so what is shuffled is n numbers a task, whatever the metric.
     """
     import numpy as np
     import pandas as pd
 
-    groups = per_user.groupBy(F.col(metric).alias("v")).agg(_n().alias("c"))
-    reps = groups.withColumn("r", F.explode(F.sequence(F.lit(0), F.lit(n - 1)))).withColumn("s", F.pmod(F.xxhash64("v", "r", F.lit(seed)), F.lit(1 << 31)))
-    schema = T.StructType([T.StructField("r", T.IntegerType()), T.StructField("w", T.DoubleType()), T.StructField("wv", T.DoubleType())])
+    groups = per_user.groupBy(F.col(metric).alias("v")).agg(_n().alias("c")).where("v is not null")
+    groups = groups.withColumn("s", F.pmod(F.xxhash64("v", F.lit(seed)), F.lit(1 << 31)))
 
     def draw(batches):
+        w, wv = np.zeros(n), np.zeros(n)
         for pdf in batches:
-            w = np.array([np.random.default_rng(s).poisson(c) for s, c in zip(pdf["s"], pdf["c"])], dtype="float64")
-            yield pd.DataFrame({"r": pdf["r"], "w": w, "wv": w * pdf["v"]})
-
-    means = reps.select("v", "c", "r", "s").mapInPandas(draw, schema).groupBy("r").agg((F.sum("wv") / F.greatest(F.sum("w"), F.lit(1.0))).alias("m"))
+            for v, c, s in zip(pdf["v"], pdf["c"], pdf["s"], strict=True):
+                own = np.random.default_rng(s).poisson(c, n)
+                w += own
+                wv += own * v
+        if w.any():
+            yield pd.DataFrame({"w": [w], "wv": [wv]})
+
+    sums = groups.select("v", "c", "s").mapInPandas(draw, "w array<double>, wv array<double>")
+    means = sums.select(F.posexplode(F.arrays_zip("w", "wv")).alias("r", "e")).groupBy("r").agg((F.sum("e.wv") / F.greatest(F.sum("e.w"), F.lit(1.0))).alias("m"))
     q = F.percentile("m", F.array(F.lit(0.025), F.lit(0.975)))
     return means.agg(q.alias("q")).select(F.lit(metric).alias("metric"), F.col("q")[0].alias("low"), F.col("q")[1].alias("high"))
 

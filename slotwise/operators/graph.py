@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -221,19 +223,25 @@ def cold_coverage(users: DataFrame, interactions: DataFrame, ownership: DataFram
                                     F.count_if(F.col("_i").isNull() & F.col("_o").isNotNull()).alias("cold_with_entity"))
 
 
+def vector_sum(vec: Column) -> Column:
+    """Aggregate: the element-wise sum of arrays of one length, combined map-side as one vector."""
+    return vector_to_array(Summarizer.metrics("sum").summary(array_to_vector(vec))["sum"])
+
+
 def propagate(embeddings: DataFrame, edges: DataFrame, hops: int = 2, skip: float = 0.5) -> DataFrame:
     """Weighted neighbour means per edge type plus a skip term, L2-normalised, repeated.
 
-    ``embeddings``: node_id, vec. Vector sums are aggregated per (node, edge type, position)
-    with map-side combining, so a node with very many neighbours is no hot task.
+    ``embeddings``: node_id, vec. A neighbourhood is summed as one vector per (node, edge type), combined
+    map-side, so at most a row an edge is shuffled and a node with very many neighbours is no hot task.
     """
     cur = embeddings.select("node_id", F.col("vec").cast("array<double>").alias("vec"))
     for _ in range(hops):
-        msg = edges.join(cur.withColumnRenamed("node_id", "src"), "src").select("dst", "edge_type", "weight", F.posexplode("vec").alias("i", "x"))
-        mean = msg.groupBy("dst", "edge_type", "i").agg((F.sum(F.col("weight") * F.col("x")) / F.greatest(F.sum("weight"), F.lit(EPS))).alias("x"))
-        total = mean.groupBy("dst", "i").agg(F.sum("x").alias("x"))
-        vec = total.groupBy("dst").agg(F.transform(F.sort_array(F.collect_list(F.struct("i", "x"))), lambda e: e["x"]).alias("nb"))
-        joined = cur.join(vec.withColumnRenamed("dst", "node_id"), "node_id", "left")
+        msg = edges.join(cur.withColumnRenamed("node_id", "src"), "src").select(
+            "dst", "edge_type", F.col("weight").cast("double").alias("weight"), F.transform("vec", lambda x: x * F.col("weight")).alias("vec"))
+        mean = msg.groupBy("dst", "edge_type").agg(vector_sum(F.col("vec")).alias("vec"), F.greatest(F.sum("weight"), F.lit(EPS)).alias("w"))
+        mean = mean.select("dst", F.transform("vec", lambda x: x / F.col("w")).alias("vec"))
+        total = mean.groupBy(F.col("dst").alias("node_id")).agg(vector_sum(F.col("vec")).alias("nb"))
+        joined = cur.join(total, "node_id", "left")
         mixed = F.when(F.col("nb").isNull(), F.col("vec")).otherwise(F.zip_with("vec", "nb", lambda a, b: a * F.lit(skip) + b))
         rows = joined.select("node_id", mixed.alias("vec"))
         norm = F.sqrt(X.dot("vec", "vec"))
