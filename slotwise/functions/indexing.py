@@ -4,21 +4,30 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 BUCKETS = 1024
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """Write the frame to the checkpoint folder of the session and read it from there.
+def shared_folder(spark: SparkSession) -> str:
+    """The session's checkpoint folder, which all executors and the driver share.
 
-    The folder comes from ``spark.checkpoint.dir`` (shared storage on a cluster); one is
-    only set here if the session has none, as in local tests.
+    Without ``spark.checkpoint.dir`` a local session gets a folder of its own; on a cluster that is an error, since
+    no machine's own folder is shared.
     """
-    sc = df.sparkSession.sparkContext
+    sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="slotwise-"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and not sc.master.split("[")[0] == "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="slotwise-"))
+    return spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+
+
+def durable(df: DataFrame) -> DataFrame:
+    """Write the frame to the checkpoint folder of the session and read it from there."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 

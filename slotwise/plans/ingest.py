@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import functions as F
 
 from ..functions import exprs as X
+from ..functions.indexing import shared_folder
 from ..params import TEST_PARAMS as p
 from ..sources import bags, sinks, tables
 from .registry import once, query
@@ -106,12 +106,11 @@ def literal_lookup(t):
 @query("S11", "treatment_id:l campaign sends:l", """
 SELECT treatment_id, CASE WHEN treatment_id % 2 = 0 THEN 'Post Purchase' ELSE 'Other' END AS campaign, count(*) AS sends FROM v_sends GROUP BY ALL""")
 def federated_names(t):
-    """Treatment names from another store; a parquet copy stands in for the remote table (see ``jdbc_lookup``)."""
+    """Treatment names of another database, which filters them and is read in ranges of the id."""
     from ..operators.campaign import campaign_of
-    path = _scratch(t, "s11")
-    t.sends.select("treatment_id").distinct().withColumn(
-        "name", F.when(F.col("treatment_id") % 2 == 0, "POST PURCHASE mail").otherwise("weekly mail")).write.parquet(path)
-    names = tables.read_keyed(t.spark, path, ["treatment_id"])
+    store = dict(t.treatment_store)
+    names = tables.jdbc_table(t.spark, store.pop("url"), "treatments", by="treatment_id", parts=4, **store).where("status = 'live'")
+    names = names.select(F.col("treatment_id"), F.col("name"))
     return t.sends.join(names, "treatment_id").groupBy("treatment_id", campaign_of("name").alias("campaign")).agg(F.count(F.lit(1)).alias("sends"))
 
 
@@ -130,9 +129,8 @@ def keyed_and_optional_read(t):
 
 
 def _scratch(t, name):
-    """Fresh folder under the shared checkpoint folder of the session; a temporary one only where none is set."""
-    root = t.spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="slotwise-")
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """Fresh folder under the shared checkpoint folder of the session."""
+    return f"{shared_folder(t.spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
 @query("K01", "event_date n:l users:l", "SELECT CAST(event_ts AS DATE) AS event_date, count(*) AS n, count(DISTINCT user_id) AS users FROM v_staged GROUP BY 1")
@@ -178,3 +176,19 @@ SELECT u.user_id, coalesce(x.tier, 'cold') AS tier FROM v_users u LEFT JOIN (
 def update_tier(t):
     tier = t.staged.groupBy("user_id").agg(F.when(F.count_if(F.col("event_name") != "VIEWED PRODUCT") > 0, "hot").otherwise("warm").alias("tier"))
     return sinks.update_column(t.users.select("user_id", F.lit("cold").alias("tier")), tier, ["user_id"], "tier")
+
+
+@query("K06", "user_id:l tier region:l touched:l", """
+SELECT u.user_id, CASE WHEN u.user_id % 8 < 3 THEN coalesce(x.tier, 'cold') ELSE 'cold' END AS tier, u.user_id % 8 AS region,
+  (SELECT count(DISTINCT user_id % 8) FROM v_staged WHERE user_id % 8 < 3 AND user_id IN (SELECT user_id FROM v_users)) AS touched
+FROM v_users u LEFT JOIN (
+  SELECT user_id, CASE WHEN count(*) FILTER (event_name <> 'VIEWED PRODUCT') > 0 THEN 'hot' ELSE 'warm' END AS tier FROM v_staged GROUP BY 1) x ON x.user_id = u.user_id""")
+def update_stored_tier(t):
+    """The stored table's tiers updated in place: of eight partitions those three are rewritten that changes arrive for."""
+    path = _scratch(t, "k06")
+    region = (F.col("user_id") % 8).alias("region")
+    t.users.select("user_id", F.lit("cold").alias("tier"), region).write.partitionBy("region").parquet(path)
+    kind = F.when(F.count_if(F.col("event_name") != "VIEWED PRODUCT") > 0, "hot").otherwise("warm").alias("tier")
+    changes = t.staged.groupBy("user_id").agg(kind).select("user_id", "tier", region).where("region < 3")
+    touched = sinks.update_partitioned(t.spark, path, changes, ["user_id"], "tier", "region")
+    return t.spark.read.parquet(path).withColumn("touched", touched.agg(F.count(F.lit(1))).scalar())

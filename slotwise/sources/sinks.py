@@ -7,6 +7,10 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.indexing import durable
+
+#: File of a published table that names its current version. Spark's readers skip names that begin with a dot or underscore.
+POINTER = "_CURRENT"
 MODES = {"truncate": "overwrite", "append": "append", "fail": "errorifexists"}
 
 
@@ -27,22 +31,65 @@ def save_bucketed(df: DataFrame, table: str, keys, buckets: int) -> None:
     df.write.mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys).format("parquet").saveAsTable(table)
 
 
+def _paths(spark: SparkSession, path: str):
+    """The path, its file system's context with an atomic rename, and the JVM."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p, jvm.org.apache.hadoop.fs.FileContext.getFileContext(p.getFileSystem(conf).getUri(), conf), jvm
+
+
+def _write_pointer(spark: SparkSession, target: str, version: str) -> None:
+    """Name the current version in a small file that replaces the one before by an atomic rename."""
+    own, files, jvm = _paths(spark, f"{target}/{POINTER}")
+    draft = jvm.org.apache.hadoop.fs.Path(f"{target}/{POINTER}.{version}")
+    out = draft.getFileSystem(spark._jsc.hadoopConfiguration()).create(draft, True)
+    out.write(bytearray(version.encode()))
+    out.close()
+    options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    options[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    files.rename(draft, own, options)
+
+
+def current_version(spark: SparkSession, target: str) -> str | None:
+    """Folder of the published version, or None where nothing is published."""
+    target = target.rstrip("/")
+    own, files, jvm = _paths(spark, f"{target}/{POINTER}")
+    if not files.util().exists(own):
+        return None
+    stream = files.open(own)
+    try:
+        return f"{target}/{jvm.org.apache.commons.io.IOUtils.toString(stream, 'UTF-8')}"
+    finally:
+        stream.close()
+
+
+def published(spark: SparkSession, target: str) -> DataFrame:
+    """The published table. A reader sees one version whole, whatever is being written meanwhile."""
+    version = current_version(spark, target)
+    if version is None:
+        raise FileNotFoundError(f"nothing is published at {target}")
+    return spark.read.parquet(version)
+
+
 def publish(df: DataFrame, target: str, enabled: bool = True, now: dt.datetime | None = None) -> DataFrame | None:
-    """Write the target and a time-stamped copy of it, then read both back and count.
+    """Publish a new version of the target and keep the time-stamped earlier ones, then read back and count.
 
-    The copy reads the written target, so the plan behind ``df`` runs once.
+    A version is a folder of its own, written whole before the pointer to it is swapped by one atomic rename. So a failed or
+    half-done write leaves the target as it was, readers never see a mixture, each version is the
+    time-stamped copy of what was published, and the plan behind ``df`` runs once.
     """
     if not enabled:
         return None
-    spark = df.sparkSession
-    copy = f"{target.rstrip('/')}_{(now or dt.datetime.now(dt.UTC)):%Y%m%d_%H%M%S}"
-    df.write.mode("overwrite").parquet(target)
-    spark.read.parquet(target).write.mode("overwrite").parquet(copy)
+    spark, target = df.sparkSession, target.rstrip("/")
+    version = f"version_{(now or dt.datetime.now(dt.UTC)):%Y%m%d_%H%M%S_%f}"
+    df.write.mode("errorifexists").parquet(f"{target}/{version}")
+    _write_pointer(spark, target, version)
 
-    def count(path):
-        return spark.read.parquet(path).agg(F.lit(path).alias("path"), F.count(F.lit(1)).alias("rows"))
+    def count(rows, path):
+        return rows.agg(F.lit(path).alias("path"), F.count(F.lit(1)).alias("rows"))
 
-    return count(target).unionByName(count(copy))
+    copy = f"{target}/{version}"
+    return count(published(spark, target), target).unionByName(count(spark.read.parquet(copy), copy))
 
 
 def write_shadow(df: DataFrame, path: str, disposition: str = "truncate") -> None:
@@ -78,6 +125,24 @@ def update_column(target: DataFrame, changes: DataFrame, key, column: str) -> Da
     return target.join(new, list(key), "left").withColumn(column, F.coalesce("_new", column)).drop("_new")
 
 
+def update_partitioned(spark: SparkSession, path: str, changes: DataFrame, key, column: str, partition: str) -> DataFrame:
+    """K06 in place: rewrite the changed partitions of a stored table only; returns the values of those partitions.
+
+    ``changes`` has the key, the column and the partition of its rows. The partitions that hold a row whose value
+    really changes are found first; only these are read in full (partition pruning) and overwritten by Spark's dynamic partition
+    overwrite, which stages the new files and swaps them in when all are written. Other partitions keep their files.
+    """
+    key = list(key)
+    table = spark.read.parquet(path)
+    new = durable(changes.select(*key, partition, F.col(column).alias("_new")))
+    old = table.join(new.select(F.col(partition).alias("_p")).distinct(), F.col(partition) == F.col("_p"), "left_semi")
+    touched = durable(old.join(new, [*key, partition]).where(~F.col(column).eqNullSafe(F.coalesce("_new", column))).select(partition).distinct())
+    own = table.join(touched, partition, "left_semi").join(new, [*key, partition], "left")
+    rows = durable(own.withColumn(column, F.coalesce("_new", column)).select(*table.columns))
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
+    return touched
+
+
 def read_report(spark: SparkSession, path: str) -> DataFrame:
     """E16 input: a written report as (metric, value) rows."""
     r = spark.read.json(path)

@@ -53,10 +53,25 @@ def csv_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 
 def jdbc_lookup(spark: SparkSession, url: str, query: str, **options) -> DataFrame:
-    """Lookup table of another database, the query pushed down to it."""
+    """Result of a query that another database runs."""
     return spark.read.format("jdbc").options(url=url, query=query, **options).load()
 
 
+def jdbc_table(spark: SparkSession, url: str, table: str, by: str | None = None, parts: int = 8, **options) -> DataFrame:
+    """Table of another database as a federated source.
+
+    Filters and columns are pushed down to it. With ``by``, a numeric column, it is
+    read over ``parts`` connections in ranges between the column's least and greatest value, which the database
+    is asked for, so no single task reads a large table.
+    """
+    reader = spark.read.format("jdbc").options(url=url, **options)
+    if by:
+        low, high = jdbc_lookup(spark, url, f'SELECT MIN("{by}") AS LOW, MAX("{by}") AS HIGH FROM {table}', **options).first()
+        if low is not None and low < high:
+            reader = reader.options(partitionColumn=by, lowerBound=str(low), upperBound=str(high), numPartitions=str(parts))
+    return reader.option("dbtable", table).load()
+
+
 def as_of_cutoff(df: DataFrame, ingest_ts: str, cutoff: str) -> DataFrame:
     """The table as it was known at the cutoff."""
     kind = df.schema[ingest_ts].dataType

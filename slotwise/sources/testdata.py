@@ -175,6 +175,17 @@ class Tables:
             F.when(F.col("event_ts") < "2024-01-15", "p1").otherwise("p2").alias("period"),
         )
 
+    @cached_property
+    def treatment_store(self) -> dict[str, str]:
+        """Connection to another database (in memory, of the driver's JVM) that has the names of live and retired treatments."""
+        self.spark._jvm.java.lang.System.setProperty("derby.stream.error.file", "/dev/null")
+        store = {"url": f"jdbc:derby:memory:{self.spark.sparkContext.applicationId}{abs(hash(self.path))};create=true", "driver": "org.apache.derby.jdbc.EmbeddedDriver"}
+        live = self.sends.select("treatment_id").distinct().withColumn("status", F.lit("live"))
+        rows = live.unionByName(live.select((F.col("treatment_id") + 1000).alias("treatment_id"), F.lit("retired").alias("status")))
+        rows = rows.withColumn("name", F.when(F.col("treatment_id") % 2 == 0, "POST PURCHASE mail").otherwise("weekly mail"))
+        rows.write.format("jdbc").options(**store, dbtable="treatments", createTableColumnTypes="status VARCHAR(16), name VARCHAR(64)").mode("overwrite").save()
+        return store
+
     @cached_property
     def interactions(self) -> DataFrame:
         """Clicks and signups as opens and clicks of the user's last send within 7 days."""

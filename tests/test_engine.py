@@ -67,7 +67,7 @@ def test_sinks(spark, tmp_path):
     sinks.replace_partitioned(df, str(tmp_path / "a"), "t", ["user_id"])
     assert (tmp_path / "a" / "event_date=2025-01-01").exists()
     back = sinks.publish(df, str(tmp_path / "b"), now=dt.datetime(2025, 1, 1)).collect()
-    assert [r.rows for r in back] == [2, 2] and back[1].path.endswith("b_20250101_000000")
+    assert [r.rows for r in back] == [2, 2] and back[1].path.endswith("b/version_20250101_000000_000000")
     assert sinks.publish(df, str(tmp_path / "c"), enabled=False) is None
     sinks.write_shadow(df, str(tmp_path / "d"), "fail")
     with pytest.raises(Exception):

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from slotwise.operators import candidates as C
 from slotwise.operators import evaluate as E
 from slotwise.operators import graph as G
+from slotwise.sources import sinks, tables
+from slotwise.sources.testdata import Tables
 
 
 @pytest.mark.parametrize("k,block,chunk", [(3, 7, 11), (1, 1, 5), (10, 4, 1000), (60, 4096, 8192)])
@@ -55,3 +57,66 @@ def test_propagation_ships_at_most_a_vector_an_edge(spark):
         assert got[i] == pytest.approx(list(v / np.linalg.norm(v)))
     plan = G.propagate(nodes, edges, hops=1)._jdf.queryExecution().executedPlan().toString()
     assert "Generate" not in plan
+
+
+def test_a_failed_publish_leaves_the_target_readable(spark, tmp_path):
+    target = str(tmp_path / "t")
+    with pytest.raises(FileNotFoundError):
+        sinks.published(spark, target)
+    sinks.publish(spark.range(10), target)
+    before = sinks.current_version(spark, target)
+    # One of four tasks is killed by its row when the others have written theirs.
+    bad = spark.range(0, 40, 1, 4).select(F.when(F.col("id") == 39, F.raise_error(F.lit("killed"))).otherwise(F.col("id")).alias("id"))
+    with pytest.raises(Exception, match="killed"):
+        sinks.publish(bad, target)
+    assert sinks.current_version(spark, target) == before and sinks.published(spark, target).count() == 10
+    back = sinks.publish(spark.range(7), target).collect()
+    assert [r.rows for r in back] == [7, 7] and sinks.published(spark, target).count() == 7
+    assert spark.read.parquet(before).count() == 10  # the earlier version stays as its copy
+
+
+def test_an_update_rewrites_changed_partitions_only(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(100).select("id", F.lit("old").alias("tier"), (F.col("id") % 5).alias("part")).write.partitionBy("part").parquet(path)
+
+    def files():
+        return {str(f): f.stat().st_mtime_ns for f in (tmp_path / "t").rglob("*.parquet")}
+
+    before = files()
+    changes = spark.createDataFrame([(3, "new", 3), (8, None, 3), (4, "old", 4), (1000, "new", 2)], "id long, tier string, part long")
+    assert [r.part for r in sinks.update_partitioned(spark, path, changes, ["id"], "tier", "part").collect()] == [3]
+    after = files()
+    assert {f for f in before if "part=3" not in f} == {f for f in after if "part=3" not in f} and all(after[f] == before[f] for f in before if f in after)
+    assert not any(f in after for f in before if "part=3" in f)
+    rows = {r.id: r.tier for r in spark.read.parquet(path).collect()}
+    assert rows == {i: "new" if i == 3 else "old" for i in range(100)}
+
+
+def test_a_federated_table_is_filtered_and_split_at_its_source(spark):
+    store = dict(Tables(spark, "/root/testdata/sf0.001").treatment_store)
+    url = store.pop("url")
+    names = tables.jdbc_table(spark, url, "treatments", by="treatment_id", parts=3, **store)
+    assert names.rdd.getNumPartitions() == 3 and names.count() == 20
+    live = names.where("status = 'live'").select("name")
+    plan = live._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [*IsNotNull(STATUS), *EqualTo(STATUS,live)]".lower() in plan.lower() and live.count() == 10
+    top = tables.jdbc_lookup(spark, url, 'SELECT "status", COUNT(*) AS n FROM treatments GROUP BY "status"', **store)
+    assert {tuple(r) for r in top.collect()} == {("live", 10), ("retired", 10)}
+
+
+def test_no_local_folder_on_a_cluster(spark, monkeypatch):
+    from slotwise.functions import indexing
+
+    class Context:
+        master = "yarn"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+        conf = spark.conf
+
+    if not spark.conf.get("spark.checkpoint.dir", None):
+        with pytest.raises(RuntimeError, match="checkpoint.dir"):
+            indexing.shared_folder(Session())
