@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..functions import exprs as X
 from ..functions.indexing import rank_in_order
 from ..functions.keyed import top_n_per_key
+from ..functions.ranges import interval_join
 from ..params import RecParams
 from ..sources.bags import ORDER_EVENTS
 
@@ -169,11 +170,10 @@ def segment_popularity_year(orders: DataFrame, users: DataFrame, p: RecParams) -
 def generation_popularity(year_counts: DataFrame, generations: DataFrame, p: RecParams, share: float = 0.5) -> DataFrame:
     """D17 with J09: each year also sees half of the count of its vehicle generation.
 
-    The generation list is a lookup of some hundred rows with equi key ``make``; the year
-    range is a residual condition of that join.
+    The year range is joined by ``interval_join``, so generations that overlap under one make cost their matches only.
     """
     g = generations.select(F.col("make").alias("seg_make"), "year_start", "year_end", "generation")
-    in_gen = year_counts.join(g, "seg_make").where(F.col("seg_year").between(F.col("year_start"), F.col("year_end")))
+    in_gen = interval_join(year_counts, g, ["seg_make"], "seg_year", "year_start", "year_end")
     gen = in_gen.groupBy("seg_make", "seg_model", "generation", "year_start", "year_end", "sku").agg(
         F.sum("orders").alias("gen_orders"))
     by_year = gen.withColumn("seg_year", F.explode(F.sequence("year_start", "year_end"))).select(

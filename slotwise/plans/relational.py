@@ -9,6 +9,7 @@ from ..functions import exprs as X
 from ..functions import keyed as K
 from ..functions.asof import asof_join
 from ..functions.pairs import basket_pairs, sized_groups
+from ..functions.ranges import interval_join
 from .registry import query
 
 MONEY = "decimal(15,2)"
@@ -147,10 +148,10 @@ def pairs_in_group(t):
 @query("J09", "user_id:l seg_make seg_year:l generation", """
 SELECT u.user_id, u.seg_make, u.seg_year, g.generation FROM v_users u LEFT JOIN v_generations g ON g.make = u.seg_make AND u.seg_year BETWEEN g.year_start AND g.year_end""")
 def generation_range_join(t):
-    """Equi key make, year range as residual; AQE broadcasts the lookup when its measured size allows."""
-    g = t.generations
-    return t.users.join(g, (t.users.seg_make == g.make) & t.users.seg_year.between(g.year_start, g.year_end), "left").select(
-        "user_id", "seg_make", "seg_year", "generation")
+    """Every user with the generations of the make that hold the year."""
+    g = t.generations.withColumnRenamed("make", "seg_make")
+    rows = t.users.select("user_id", "seg_make", "seg_year")
+    return interval_join(rows, g, ["seg_make"], "seg_year", "year_start", "year_end", "left").select("user_id", "seg_make", "seg_year", "generation")
 
 
 @query("J11", "purchase_id:l view_id:l", """

@@ -8,6 +8,7 @@ from slotwise.functions import exprs as X
 from slotwise.functions import pairs
 from slotwise.functions.asof import asof_join
 from slotwise.functions.indexing import dense_ids, rank_by_hash, rank_in_order
+from slotwise.functions.ranges import dyadic_cover, interval_join
 from slotwise.functions.keyed import share_of_group, top_n_per_key, with_group_total
 
 
@@ -188,3 +189,44 @@ def test_dense_ids_sorted(spark):
     words = [f"w{i:04d}" for i in range(700)]
     df = spark.createDataFrame([(w,) for w in words * 2] + [(None,)], "w string").repartition(6)
     assert {r.w: r.id for r in dense_ids(df, "w").collect()} == {w: i for i, w in enumerate(words)}
+
+
+def test_dyadic_blocks_make_up_the_interval(spark):
+    rnd = random.Random(2)
+    ends = [(a, a + rnd.choice([0, 1, 2, 7, 100, 1000])) for a in [rnd.randint(-1000, 1000) for _ in range(60)]] + [(-(2**40), 2**40), (0, 2**61)]
+    df = spark.createDataFrame(ends, "a long, b long").select("a", "b", dyadic_cover(F.col("a"), F.col("b")).alias("c"))
+    for r in df.collect():
+        spans = sorted((x.node << x.level, ((x.node + 1) << x.level) - 1) for x in r.c)
+        assert spans[0][0] == r.a and spans[-1][1] == r.b and all(p[1] + 1 == q[0] for p, q in zip(spans, spans[1:], strict=False))
+        assert len(spans) <= 2 * max(1, (r.b - r.a + 1).bit_length())
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_interval_join_equals_all_pairs(spark, how):
+    rnd = random.Random(9)
+    points = [(i, rnd.choice(["a", "b", None]), rnd.choice([rnd.randint(-50, 50), None])) for i in range(200)]
+    spans = [(rnd.choice("ab"), s, s + rnd.randint(-3, 40), f"g{i % 30}") for i, s in enumerate(rnd.randint(-60, 50) for _ in range(60))] + [("a", None, 5, "n"), ("a", 0, None, "n"), ("a", 3, 3, "x"), ("a", 3, 3, "x")]
+    p, s = spark.createDataFrame(points, "id int, k string, v int"), spark.createDataFrame(spans, "k string, low int, high int, name string")
+    got = interval_join(p, s, ["k"], "v", "low", "high", how)
+    assert got.columns == ["id", "k", "v", "low", "high", "name"]
+    want = []
+    for i, k, v in points:
+        hit = [(i, k, v, a, b, n) for kk, a, b, n in spans if kk == k and v is not None and a is not None and b is not None and a <= v <= b]
+        want += hit or ([(i, k, v, None, None, None)] if how == "left" else [])
+    assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, want))
+    assert interval_join(p, s.limit(0), ["k"], "v", "low", "high").collect() == []
+
+
+def test_a_hundred_thousand_overlapping_intervals_of_one_make(spark):
+    """All hold the middle, each point lies in few: the join makes a row a level, not a row an interval."""
+    n = 100_000
+    spans = spark.range(n).select(F.lit("m").alias("k"), (F.col("id") * 10).alias("low"), (F.col("id") * 10 + 25).alias("high"))
+    wide = spark.range(n).select(F.lit("m").alias("k"), (-F.col("id") - 1).alias("low"), (F.col("id") + 1).alias("high"))
+    points = spark.range(n).select(F.lit("m").alias("k"), (F.col("id") * 10 + 2).alias("v"))
+    got = interval_join(points, spans, ["k"], "v", "low", "high")
+    assert got.count() == 3 * n - 3  # the first two points lie in one and two
+    far = spark.createDataFrame([("m", n - 1), ("m", n), ("m", n + 1), ("m", -n)], "k string, v long")
+    hits = interval_join(far, wide, ["k"], "v", "low", "high").groupBy("v").count()
+    assert {r.v: r["count"] for r in hits.collect()} == {n - 1: 2, n: 1, -n: 1}
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
