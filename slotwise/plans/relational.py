@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from ..functions import exprs as X
 from ..functions import keyed as K
+from ..functions import sketches as Q
 from ..functions.asof import asof_join
+from ..functions.indexing import durable
 from ..functions.pairs import basket_pairs, sized_groups
 from ..functions.ranges import interval_join
 from .registry import query
@@ -51,6 +53,25 @@ def quantiles(t):
     return t.raw("orders").groupBy("o_orderstatus").agg(q.alias("q")).select("o_orderstatus", F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("p95"))
 
 
+@query("A06", "event_type day n:l median_ok:b p95_ok:b", """
+SELECT e.event_type, d.day, count(*) AS n, TRUE AS median_ok, TRUE AS p95_ok FROM (SELECT DISTINCT event_type, CAST(ts AS DATE) AS day FROM events WHERE value IS NOT NULL) d
+JOIN events e ON e.event_type = d.event_type AND CAST(e.ts AS DATE) BETWEEN d.day - 6 AND d.day AND e.value IS NOT NULL GROUP BY ALL""")
+def quantiles_of_stored_sketches(t):
+    """Weekly quantiles from stored daily sketches, each with whether its rank in the window's values is right to within three times the stated error."""
+    day, share = F.col("ts").cast("date"), {"median": 0.5, "p95": 0.95}
+    stored = durable(Q.daily_sketches(t.raw("events"), ["event_type"], day, "value"))
+    week = Q.window_sketches(stored, ["event_type"], 7)
+    week = week.select("event_type", "day", Q.count("sketch").alias("n"), *[Q.quantile("sketch", s).alias(k) for k, s in share.items()])
+    values = t.raw("events").where("value is not null").groupBy("event_type", day.alias("day"), "value").agg(F.count(F.lit(1)).alias("c"))
+    values = values.withColumn("day", F.explode(F.transform(F.sequence(F.lit(0), F.lit(6)), lambda i: F.date_add("day", i))))
+    ranks = [F.sum(F.when(F.col("value") < F.col(k), F.col("c")).otherwise(0)).alias(f"{k}_below") for k in share] + [
+        F.sum(F.when(F.col("value") <= F.col(k), F.col("c")).otherwise(0)).alias(f"{k}_upto") for k in share]
+    seen = values.join(week, ["event_type", "day"]).groupBy("event_type", "day", "n").agg(*ranks)
+    slack = 3 * Q.RANK_ERROR
+    right = [((F.col(f"{k}_below") <= (s + slack) * F.col("n")) & (F.col(f"{k}_upto") >= (s - slack) * F.col("n"))).alias(f"{k}_ok") for k, s in share.items()]
+    return seen.select("event_type", "day", "n", *right)
+
+
 @query("A07", "order_id:l items:l first_sku last_sku", """
 SELECT order_id, count(*) AS items, min(sku) AS first_sku, max(sku) AS last_sku FROM (SELECT DISTINCT order_id, sku FROM v_orders) a GROUP BY 1 HAVING count(*) BETWEEN 2 AND 20""")
 def bounded_arrays(t):

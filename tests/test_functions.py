@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from slotwise.functions import exprs as X
-from slotwise.functions import pairs
+from slotwise.functions import pairs, sketches
 from slotwise.functions.asof import asof_join
 from slotwise.functions.indexing import dense_ids, rank_by_hash, rank_in_order
 from slotwise.functions.ranges import dyadic_cover, interval_join
@@ -230,3 +230,18 @@ def test_a_hundred_thousand_overlapping_intervals_of_one_make(spark):
     assert {r.v: r["count"] for r in hits.collect()} == {n - 1: 2, n: 1, -n: 1}
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_window_quantiles_from_stored_daily_sketches(spark):
+    df = spark.range(60_000).select(F.when(F.col("id") % 3 == 0, "hot").otherwise("b").alias("k"), F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 10).cast("int")).alias("d"),
+                                    F.exp((F.col("id") * 7919 % 60_000) / 6000.0).alias("v"))
+    df = df.union(spark.createDataFrame([("b", dt.date(2024, 1, 1), None)], "k string, d date, v double"))
+    stored = sketches.daily_sketches(df, ["k"], F.col("d"), "v").cache()
+    assert stored.count() == 20 and stored.agg(F.max(F.length("sketch"))).first()[0] < 16_000
+    week = sketches.window_sketches(stored, ["k"], 4)
+    rows = week.select("k", "day", sketches.count("sketch").alias("n"), sketches.quantile("sketch", 0.9).alias("q")).collect()
+    assert len(rows) == 20
+    data = [(r.k, r.d, r.v) for r in df.where("v is not null").collect()]
+    for r in rows:
+        own = sorted(v for k, d, v in data if k == r.k and 0 <= (r.day - d).days < 4)
+        assert r.n == len(own) and abs(sum(v <= r.q for v in own) / len(own) - 0.9) < 3 * sketches.RANK_ERROR
