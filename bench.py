@@ -18,7 +18,7 @@ from slotwise.plans import QUERIES
 from slotwise.plans.registry import forget
 
 HEADLINE = [
-    "d43_wide_output", "d12_segment_popularity", "d14_global_popularity", "d15_popularity_3tier", "d17_generation_popularity",
+    "d43_published", "d43_wide_output", "d12_segment_popularity", "d14_global_popularity", "d15_popularity_3tier", "d17_generation_popularity",
     "d19_copurchase_basket", "d20_copurchase_orders", "d27_purchase_exclusion", "d39_reserved_slots", "d41_tier_priority_ranking",
     "g04_interaction_edges", "g06_copurchase_pmi", "s05_latest_attributes", "s07_stage_events", "c16_uplift_base",
     "c24_revenue_attribution", "c19_paired_comparison", "c01_funnel", "b04_thompson_assign", "b15_posterior_check",

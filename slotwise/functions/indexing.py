@@ -7,7 +7,8 @@ import tempfile
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-BUCKETS = 1024
+#: Rows that share a range of hashes, about.
+ROWS = 1 << 16
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -34,14 +35,15 @@ def durable(df: DataFrame) -> DataFrame:
 def rank_by_hash(df: DataFrame, keys, ids, seed: int, rank: str = "pos") -> DataFrame:
     """Number the rows of each key 0..n-1 in a seeded random order of their ids.
 
-    Equal to row_number over (key, hash), but a key is split into hash buckets: bucket
-    counts (at most BUCKETS rows per key) give each bucket its offset, and rows are only
-    ranked inside their bucket. ``ids`` must be unique within a key. The key's size comes
-    along as ``<rank>_n``.
+    Equal to row_number over (key, hash), but the hashes are cut into as many equal ranges as the table has times ROWS rows: range
+    counts give each range its offset, and rows are only ranked inside their key and range. ``ids`` must be unique within a
+    key. The key's size comes along as ``<rank>_n``. The order doesn't depend on the number of ranges.
     """
     keys, ids = list(keys), list(ids)
     h = F.xxhash64(*[F.col(c) for c in ids], F.lit(seed))
-    rows = df.withColumn("_h", h).withColumn("_b", F.pmod("_h", F.lit(BUCKETS)))
+    buckets = F.greatest(F.ceil(df.agg(F.count(F.lit(1))).scalar() / ROWS), F.lit(1))
+    place = F.floor((F.col("_h").cast("double") / F.lit(2.0**64) + 0.5) * buckets)
+    rows = df.withColumn("_h", h).withColumn("_b", F.least(place, buckets - 1))
     counts = rows.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_c"))
     w = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
     sofar = F.sum("_c").over(w.orderBy("_b")) - F.col("_c")

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .indexing import durable, rank_in_order
-from .keyed import shared
 
 BLOCK = 256
 #: Groups of more items than this are counted by bitmaps.
@@ -79,8 +78,8 @@ def pair_counts(df: DataFrame, group, item: str, min_support: int, within=(), he
     key, group = list(within), list(group)
     rows = df.select(*key, *group, F.col(item).alias("_x")).dropna(subset=[*key, *group, "_x"]).distinct()
     frequent = rows.groupBy(*key, "_x").agg(F.count(F.lit(1)).alias("_f")).where(F.col("_f") >= min_support)
-    rows = shared(rows.join(frequent.drop("_f"), [*key, "_x"], "left_semi") if min_support > 1 else rows)
-    big = shared(rows.groupBy(*key, *group).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > heavy))
+    rows = durable(rows.join(frequent.drop("_f"), [*key, "_x"], "left_semi") if min_support > 1 else rows)
+    big = durable(rows.groupBy(*key, *group).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > heavy))
     pair = [*key, "item_a", "item_b"]
     none_big = big.isEmpty()
     light = rows if none_big else rows.join(big.drop("_n"), [*key, *group], "left_anti")
@@ -89,9 +88,9 @@ def pair_counts(df: DataFrame, group, item: str, min_support: int, within=(), he
         return light.where(F.col("co_count") >= min_support)
     numbers = rank_in_order(big, [], ["_n", *key, *group], "_g").drop("_n")
     members = durable(rows.join(numbers, [*key, *group]).select(*key, "_x", "_g"))
-    words = shared(heavy_words(members, key))
+    words = durable(heavy_words(members, key))
     met = block_pairs(prefix_members(members, key, min_support), [*key, "_g"], "_x").select(*pair).distinct()
-    light = shared(light)
+    light = durable(light)
     both = light.unionByName(met.withColumn("co_count", F.lit(0).cast("long"))).groupBy(*pair).agg(F.sum("co_count").alias("co_count"))
     side = lambda n: words.select(*key, F.col("_x").alias(f"item_{n}"), "_word", F.col("_bits").alias(f"_bits_{n}"))
     common = both.select(*pair).join(side("a"), [*key, "item_a"]).join(side("b"), [*key, "item_b", "_word"])

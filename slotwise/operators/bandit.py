@@ -14,7 +14,8 @@ from ..functions.keyed import global_top, metric_rows, share_of_group
 
 RANDOM_MODEL = 1
 DEFAULT_MEAN, DEFAULT_STDDEV = 0.0, 0.05
-MOST_TREATMENTS = 10_000
+#: Treatments in one array.
+TREATMENT_BLOCK = 4096
 
 
 def _n() -> Column:
@@ -59,21 +60,29 @@ def with_nig(ctr: DataFrame, **prior) -> DataFrame:
 def thompson_assign(users: DataFrame, treatments: DataFrame, posterior: DataFrame, day: int) -> DataFrame:
     """One treatment per user by a posterior draw that depends only on (treatment, user, day).
 
-    The treatment list is a short configuration table, at most MOST_TREATMENTS long (checked); it
-    becomes one array (scalar subquery) and the best draw is taken inside the row, so users are
-    neither shuffled nor multiplied. Unknown treatments draw from the default prior.
+    The treatment list becomes arrays of about TREATMENT_BLOCK entries, and the best draw of an array is taken inside the row. A
+    list of one array rides along as a scalar subquery, so users are neither shuffled nor multiplied. A longer list meets
+    each user once per array by an equi-join on the array's number, and the best of these is kept, combined
+    map-side. Unknown treatments draw from the default prior.
     """
     t = treatments.select("treatment_id").distinct().join(posterior.select("treatment_id", "mean", "stddev"), "treatment_id", "left").select(
         "treatment_id", F.coalesce("mean", F.lit(DEFAULT_MEAN)).alias("mean"), F.coalesce("stddev", F.lit(DEFAULT_STDDEV)).alias("stddev"))
-    few = F.when(F.count(F.lit(1)) > MOST_TREATMENTS, F.raise_error(F.lit("too many treatments")).cast("boolean")).otherwise(F.lit(True))
-    first = t.orderBy("treatment_id").limit(MOST_TREATMENTS + 1)  # one more than allowed, so the check sees it
-    arr = first.agg(F.when(few, F.collect_list(F.struct("treatment_id", "mean", "stddev")))).scalar()
+    number = treatments.agg(F.count_distinct("treatment_id")).first()[0]
+    blocks = max(1, -(-number // TREATMENT_BLOCK))
 
     def draw(e):
         seed = F.concat(e["treatment_id"].cast("string"), F.lit(":"), F.col("user_id").cast("string"), F.lit(f"@{day}"))
         return F.struct((e["mean"] + e["stddev"] * X.hash_normal(seed)).alias("score"), e["treatment_id"].alias("treatment_id"))
 
-    rows = users.select("user_id", arr.alias("_t")).select("user_id", F.array_max(F.transform("_t", draw)).alias("_b"))
+    entry = F.struct("treatment_id", "mean", "stddev")
+    best = F.array_max(F.transform("_t", draw)).alias("_b")
+    if blocks == 1:
+        rows = users.select("user_id", t.agg(F.collect_list(entry)).scalar().alias("_t")).select("user_id", best)
+    else:
+        arrays = t.groupBy(F.pmod(F.xxhash64("treatment_id"), F.lit(blocks)).cast("int").alias("_block")).agg(F.collect_list(entry).alias("_t"))
+        each = users.select("user_id").distinct().withColumn("_block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+        rows = each.join(arrays, "_block").select("user_id", best).groupBy("user_id").agg(F.max("_b").alias("_b"))
+        rows = users.select("user_id").join(rows, "user_id", "left")
     return rows.select("user_id", "_b.treatment_id", "_b.score")
 
 

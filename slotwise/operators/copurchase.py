@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import exprs as X
-from ..functions.keyed import shared, top_n_per_key
+from ..functions.indexing import durable
+from ..functions.keyed import top_n_per_key
 from ..functions.pairs import basket_pairs, pair_counts, sized_groups
 
 
@@ -112,10 +113,10 @@ def user_copurchase_sum(strength: DataFrame, directed: DataFrame) -> DataFrame:
 
 def copurchase_pmi(order_items: DataFrame, products: DataFrame, min_count: int, top_k: int) -> DataFrame:
     """Pairs of one order with positive PMI; kept if among the top k of either end."""
-    rows = shared(order_items.join(products.select("base_sku").distinct(), "base_sku", "left_semi").select(
+    rows = durable(order_items.join(products.select("base_sku").distinct(), "base_sku", "left_semi").select(
         "order_id", "base_sku").distinct())
     pairs = pair_counts(rows, ["order_id"], "base_sku", min_count)
-    freq = shared(rows.groupBy("base_sku").agg(F.count(F.lit(1)).alias("f")))
+    freq = durable(rows.groupBy("base_sku").agg(F.count(F.lit(1)).alias("f")))
     total = rows.agg(F.count_distinct("order_id")).scalar()
     scored = (pairs.join(freq.withColumnsRenamed({"base_sku": "item_a", "f": "fa"}), "item_a")
               .join(freq.withColumnsRenamed({"base_sku": "item_b", "f": "fb"}), "item_b")

@@ -156,6 +156,35 @@ def coverage(wide: DataFrame, base: DataFrame, key) -> DataFrame:
     return row.withColumn("pct", X.pct("covered", "base"))
 
 
+def board_facts(long: DataFrame, exclusion: DataFrame, catalog: DataFrame, key, floor: float, cap: int, least: int) -> DataFrame:
+    """Q22: what the checks of a board ask of the recommendations, as one row from one pass over them.
+
+    Every row is flagged by equi-joins (bought, category) and added up per (user, category), per user and overall, combined
+    map-side each time. A sku has one category, so distinct skus add up over categories.
+    """
+    key = list(key)
+    cat = catalog.groupBy("sku").agg(F.max("category").alias("_category"))
+    bought = exclusion.select("user_id", F.col("sku").alias("_norm")).distinct().withColumn("_bought", F.lit(True))
+    rows = long.withColumn("_norm", X.normalize_variant("sku")).join(bought, ["user_id", "_norm"], "left").join(cat, "sku", "left")
+    per = rows.groupBy(*key, "_category").agg(
+        _n().alias("n"), F.count_distinct("sku").alias("skus"), F.count("_bought").alias("bought"), F.count_if(F.col("price") < floor).alias("below"),
+        F.count("image_url").alias("images"), F.count_if(F.col("image_url").startswith("https://")).alias("https"))
+    users = per.groupBy(*key).agg(*[F.sum(c).alias(c) for c in ("n", "skus", "bought", "below", "images", "https")], F.count_if(F.col("n") > cap).alias("over"))
+    return users.agg(
+        F.count_if(F.col("n") > F.col("skus")).alias("duplicates"), F.sum("bought").alias("bought"), F.sum("below").alias("below"), F.sum("over").alias("over"),
+        F.count_if(F.col("n") == least).alias("with_min"), X.pct(F.sum("https"), F.sum("images")).alias("https_pct"))
+
+
+def check_rows(facts: DataFrame, checks) -> DataFrame:
+    """Board rows from a one-row frame. ``checks``: (column, name, severity, expected, is for information)."""
+    def row(column, name, severity, expected, info):
+        v = F.coalesce(F.col(column).cast("double"), F.lit(0.0))
+        status = F.lit("INFO") if info else F.when(v == expected, "PASS").otherwise("FAIL")
+        return F.struct(F.lit(name).alias("check"), F.lit(severity).alias("severity"), v.alias("value"), F.lit(float(expected)).alias("expected"), status.alias("status"))
+
+    return facts.select(F.inline(F.array(*[row(*c) for c in checks])))
+
+
 def check_row(found: DataFrame, column: str, name: str, severity: str, expected: float = 0.0, info: bool = False) -> DataFrame:
     """One check of a board from a one-row result."""
     v = F.col(column).cast("double")

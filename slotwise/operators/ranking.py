@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import exprs as X
+from ..functions.indexing import durable
 from ..functions.keyed import first_per_key, is_member, shared, top_n_per_key
 from ..params import RecParams
 
@@ -87,11 +88,11 @@ def diversified_for_users(users: DataFrame, scored: DataFrame, profile, cap: int
     """
     profile = list(profile)
     people = users.select("user_id", *profile)
-    scored = shared(scored)
+    scored = durable(scored)
     winners = rank_profiles(scored, profile, order)
     touched = None
     if excluded is not None:
-        excluded = shared(excluded.select("user_id", F.col("sku").alias(exclude_on)).distinct())
+        excluded = durable(excluded.select("user_id", F.col("sku").alias(exclude_on)).distinct())
         hit = excluded.join(people, "user_id").join(scored.select(*profile, exclude_on, "base_sku"), profile + [exclude_on])
         touched = hit.select("user_id", *profile, "base_sku")
     if boosts is not None:
@@ -102,7 +103,7 @@ def diversified_for_users(users: DataFrame, scored: DataFrame, profile, cap: int
         deep = people.withColumn("depth", F.explode(F.sequence(F.lit(1).cast("long"), F.lit(cap).cast("long"))))
         return diversity_cap(deep.join(winners, profile + ["depth"]).drop("depth"), cap, order)
 
-    touched, winners = shared(touched.distinct()), shared(winners)
+    touched, winners = durable(touched.distinct()), durable(winners)
     first = people.withColumn("depth", F.explode(F.sequence(F.lit(1).cast("long"), F.lit(cap).cast("long"))))
     reach = touched.join(winners.select(*profile, "base_sku", "category"), profile + ["base_sku"]).groupBy(
         "user_id", *profile, "category").agg(F.count(F.lit(1)).alias("_t"))

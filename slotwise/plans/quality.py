@@ -186,14 +186,10 @@ def base_coverage(t):
 
 @once
 def board(t):
-    rows = [
-        Q.check_row(Q.duplicate_slots(wide(t)), "violations", "duplicate_slots", "CRITICAL"),
-        Q.check_row(Q.exclusion_audit(long(t), recs.exclusion(t)), "violations", "purchased", "CRITICAL"),
-        Q.check_row(Q.price_floor(long(t), 950.0), "below", "below_950", "HIGH"),
-        Q.check_row(Q.diversity(long(t), t.catalog, KEY, 2), "violations", "diversity", "HIGH"),
-        Q.check_row(Q.https_ratio(long(t)), "pct", "https_pct", "MEDIUM", 100.0),
-        Q.check_row(Q.count_distribution(wide(t)), "with_min", "three_recs", "LOW", info=True)]
-    return Q.check_board(rows)
+    facts = Q.board_facts(long(t), recs.exclusion(t), t.catalog, KEY, 950.0, 2, 3)
+    return Q.check_board([Q.check_rows(facts, [
+        ("duplicates", "duplicate_slots", "CRITICAL", 0, False), ("bought", "purchased", "CRITICAL", 0, False), ("below", "below_950", "HIGH", 0, False),
+        ("over", "diversity", "HIGH", 0, False), ("https_pct", "https_pct", "MEDIUM", 100, False), ("with_min", "three_recs", "LOW", 0, True)])])
 
 
 @query("Q22 K05 T01", "check_name severity value:d2 expected:d2 status severity_rank:l", f"""

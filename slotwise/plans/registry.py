@@ -85,6 +85,10 @@ def tables_for(spark: SparkSession, path: str) -> Tables:
     """One Tables object per application and directory, so frames common to several queries are built once."""
     key = (spark.sparkContext.applicationId, path)
     if key not in _TABLES:
+        for old in _TABLES.values():
+            for frame in old.__dict__.values():
+                if isinstance(frame, DataFrame) and frame.is_cached and frame.sparkSession is spark:
+                    frame.unpersist()
         _TABLES.clear()
         _TABLES[key] = Tables(spark, path)
     return _TABLES[key]

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from slotwise.functions import exprs as X
-from slotwise.functions import pairs, sketches
+from slotwise.functions import indexing, pairs, sketches
 from slotwise.functions.asof import asof_join
 from slotwise.functions.indexing import dense_ids, rank_by_hash, rank_in_order
 from slotwise.functions.ranges import dyadic_cover, interval_join
@@ -185,6 +185,15 @@ def test_rank_by_hash_is_a_permutation_per_key(spark):
     assert {r.id: r.pos for r in out} == again
 
 
+def test_rank_by_hash_does_not_depend_on_its_ranges(spark, monkeypatch):
+    df = spark.range(3000).select("id", (F.col("id") % 2).alias("k"))
+    one = {r.id: (r.pos, r.pos_n) for r in rank_by_hash(df, ["k"], ["id"], 3).collect()}
+    monkeypatch.setattr(indexing, "ROWS", 50)
+    assert {r.id: (r.pos, r.pos_n) for r in rank_by_hash(df, ["k"], ["id"], 3).collect()} == one
+    assert {r.id: r.pos for r in rank_by_hash(df, [], ["id"], 3).collect()} != {r.id: r.id for r in df.collect()}
+    assert rank_by_hash(df.limit(0), ["k"], ["id"], 3).collect() == []
+
+
 def test_dense_ids_sorted(spark):
     words = [f"w{i:04d}" for i in range(700)]
     df = spark.createDataFrame([(w,) for w in words * 2] + [(None,)], "w string").repartition(6)

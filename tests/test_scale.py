@@ -120,3 +120,31 @@ def test_no_local_folder_on_a_cluster(spark, monkeypatch):
     if not spark.conf.get("spark.checkpoint.dir", None):
         with pytest.raises(RuntimeError, match="checkpoint.dir"):
             indexing.shared_folder(Session())
+
+
+def test_treatment_lists_of_any_length(spark, monkeypatch):
+    """Cut into many arrays, the list gives the same draws as in one."""
+    from slotwise.operators import bandit
+
+    users = spark.range(60).withColumnRenamed("id", "user_id")
+    treatments = spark.range(37).withColumnRenamed("id", "treatment_id")
+    posterior = treatments.select("treatment_id", (F.col("treatment_id") / 100).alias("mean"), F.lit(0.1).alias("stddev")).where("treatment_id < 30")
+    one = sorted(map(tuple, bandit.thompson_assign(users, treatments, posterior, 5).collect()))
+    monkeypatch.setattr(bandit, "TREATMENT_BLOCK", 4)
+    assert sorted(map(tuple, bandit.thompson_assign(users, treatments, posterior, 5).collect())) == one
+    assert len({t for _, t, _ in one}) > 5
+
+
+def test_the_board_is_one_pass(spark):
+    from slotwise.operators import quality
+
+    long = spark.createDataFrame([(1, 1, "A", 10.0, "https://x"), (1, 2, "A", 20.0, "http://x"), (1, 3, "B", 5.0, None), (2, 1, "C1B", 30.0, "https://x"), (2, 2, "D", 30.0, "https://x"), (2, 3, "E", 30.0, "https://x"), (2, 4, "F", 1.0, "https://x")],
+                                 "user_id int, slot int, sku string, price double, image_url string")
+    catalog = spark.createDataFrame([("A", "x"), ("B", "x"), ("C1B", "y"), ("D", "y"), ("E", "y")], "sku string, category string")
+    bought = spark.createDataFrame([(2, "C1"), (1, "C1"), (9, "A")], "user_id int, sku string")
+    facts = quality.board_facts(long, bought, catalog, ["user_id"], 6.0, 2, 3)
+    assert tuple(facts.first()) == (1, 1, 2, 2, 1, 83.33)
+    rows = quality.check_rows(facts, [("bought", "purchased", "CRITICAL", 0, False), ("with_min", "n", "LOW", 0, True)]).collect()
+    assert [(r.check, r.value, r.status) for r in rows] == [("purchased", 1.0, "FAIL"), ("n", 1.0, "INFO")]
+    none = quality.check_rows(quality.board_facts(long.limit(0), bought, catalog, ["user_id"], 6.0, 2, 3), [("bought", "purchased", "CRITICAL", 0, False)]).first()
+    assert (none.value, none.status) == (0.0, "PASS")
