@@ -7,6 +7,8 @@ import tempfile
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .keyed import shared
+
 #: Rows that share a range of hashes, about.
 ROWS = 1 << 16
 
@@ -60,12 +62,13 @@ def rank_in_order(df: DataFrame, keys, order, out: str = "rank", **totals: Colum
     (key, order) and sorted, so a hot key lies in several partitions in the right order; a row's number is its
     position among the key's rows of the partition plus the key's rows in the partitions before. These pieces are one row per
     key and partition it touches, combined map-side. ``totals`` are sums (``F.sum`` columns) over the key that ride
-    along. The order must name every tie. The partitioned rows are written once, so positions and pieces agree.
+    along. The order must name every tie. The partitioned rows are kept (memory and disk), so positions and pieces agree; what
+    a lost executor held is made again by the same partitioner, whose borders are fixed by then.
     """
     keys, order = list(keys), [F.col(o) if isinstance(o, str) else o for o in order]
     by = [*[F.col(k) for k in keys], *order]
     spread = df.repartitionByRange(*by).sortWithinPartitions(*by)
-    spread = durable(spread.select("*", F.spark_partition_id().alias("_p"), F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1).alias("_i")))
+    spread = shared(spread.select("*", F.spark_partition_id().alias("_p"), F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1).alias("_i")))
     pieces = spread.groupBy(*keys, "_p").agg(F.min("_i").alias("_first"), F.count(F.lit(1)).alias("_c"), *[t.alias(f"_t_{n}") for n, t in totals.items()])
     whole = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
     before = F.sum("_c").over(whole.orderBy("_p")) - F.col("_c")
