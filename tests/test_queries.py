@@ -18,7 +18,7 @@ d22_copurchase_recommend d23_category_copurchase d25_primary_category d34_final_
 d46_slot_select_single_pool d48_popularity_pools g01_user_nodes g02_product_nodes g04_interaction_edges g06_copurchase_pmi g11_stratified_split g12_dense_sku_ids
 e01_ranking_metrics e09_metrics_by_tier e22_rolling_backtest e29_click_auc e30_signal_rates e32_run_diff c01_funnel c13_time_to_action c16_uplift_base
 c24_revenue_attribution c29_fatigue c33_revenue_24h c35_scorecard b03_nig_posterior b09_click_direction b13_training_audit b14_concentration q01_contract_findings
-q20_source_consistency q22_check_board s05_latest_attributes s07_stage_events s09_import_orders k02_publish_with_copy k04_json_report t04_top_k_by_vector
+q20_source_consistency q22_check_board s05_latest_attributes s07_stage_events s09_import_orders k02_publish_with_copy k06_update_stored_tier a06_quantiles_of_stored_sketches s11_federated_names p05_commodity_exclusion k04_json_report t04_top_k_by_vector
 j11_time_window_join w04_group_totals a06_quantiles d43_published d07_vehicle_parts_list d23_category_copurchase_skus d27_purchase_exclusion
 d29_fitment_candidates d30_universal_candidates d46_slot_select d47_popularity_fallback d53_fallback_provenance b04_thompson_assign b05_selection_share e10_bootstrap_interval
 e22_rolling_versions e26_variant_pure_segment e26_variant_universal e26_variant_lower_price_floor g15_negative_samples g18_propagate_embeddings g19_factorize""".split()
