@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import exprs as X
-from ..functions.indexing import durable
+from ..functions.indexing import durable, rank_in_order
 from ..functions.keyed import first_per_key, is_member, shared, top_n_per_key
 from ..params import RecParams
 
@@ -66,8 +66,7 @@ def top_n_min(rows: DataFrame, n: int, least: int, order=BY_SCORE) -> DataFrame:
 def rank_profiles(scored: DataFrame, profile, cap_order=BY_SCORE) -> DataFrame:
     """Variant winners of each profile, numbered inside their category (``depth``)."""
     win = first_per_key(scored, [*profile, "base_sku"], _order(cap_order))
-    w = Window.partitionBy(*profile, "category").orderBy(*_order(cap_order))
-    return win.withColumn("depth", F.row_number().over(w).cast("long"))
+    return rank_in_order(win, [*profile, "category"], _order(cap_order), "depth")
 
 
 def diversified_for_users(users: DataFrame, scored: DataFrame, profile, cap: int, excluded: DataFrame | None = None,
