@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import exprs as X
-from ..functions.indexing import rank_in_order
+from ..functions.indexing import durable, rank_in_order
 from ..functions.keyed import shared, top_n_per_key
 from ..params import RecParams
 from .popularity import event_orders
@@ -88,6 +88,75 @@ def related_categories(primary: DataFrame, category_pairs: DataFrame) -> DataFra
         "user_id", "primary_category").join(both.distinct(), "primary_category")
 
 
+def first_untaken(taken: DataFrame, keys, pos: str) -> DataFrame:
+    """Per key the first position of a list 1, 2, ... that is not taken. ``taken``: keys and ``pos``, distinct."""
+    w = Window.partitionBy(*keys).orderBy(pos)
+    # the nth taken position is at least n, and equal to n as long as the list has no gap
+    return taken.withColumn("_n", F.row_number().over(w)).groupBy(*keys).agg((F.count_if(F.col(pos) == F.col("_n")) + 1).alias(pos))
+
+
+def best_left(users: DataFrame, rows: DataFrame, gone: DataFrame, profile, on: str, **orders) -> DataFrame:
+    """D31/D33 per user: how many rows of the profile are left without the ``gone`` ones (``n``), and the first of them in each order.
+
+    Profile rows are ranked once per profile. A user only brings the rows that are gone, and the first row left is the first gap
+    in their positions, so the work follows profile rows plus purchases, not users x products. Users without a row left drop out.
+    ``gone``: (user_id, ``on``); each order gives a struct column of its name.
+    """
+    profile = list(profile)
+    payload = F.struct(*[c for c in rows.columns if c not in profile])
+    rows = durable(rows)
+    for name, order in orders.items():
+        rows = durable(rank_in_order(rows, profile, order, f"_{name}"))
+    places = [f"_{name}" for name in orders]
+    hit = gone.select("user_id", on).distinct().join(users.select("user_id", *profile), "user_id").join(
+        rows.select(*profile, on, *places), [*profile, on])
+    hit = durable(hit.select("user_id", *places))
+    out = users.select("user_id", *profile).join(rows.groupBy(*profile).agg(F.count(F.lit(1)).alias("n")), profile)
+    out = out.join(hit.groupBy("user_id").agg(F.count(F.lit(1)).alias("_gone")), "user_id", "left")
+    out = out.withColumn("n", F.col("n") - F.coalesce("_gone", F.lit(0))).where("n > 0").drop("_gone")
+    for name, place in zip(orders, places):
+        out = out.join(first_untaken(hit, ["user_id"], place), "user_id", "left").withColumn(place, F.coalesce(place, F.lit(1)))
+        out = out.join(rows.select(*profile, place, payload.alias(name)), [*profile, place]).drop(place)
+    return out
+
+
+def related_best(users: DataFrame, rows: DataFrame, related: DataFrame, boosts: DataFrame, gone: DataFrame, profile) -> DataFrame:
+    """D32 per user: rows of the profile in related categories that are not ``gone`` (``n``) and the best of their scores.
+
+    ``users``: user_id, profile, primary_category; ``rows``: profile, category, sku, norm_sku, final_score; ``related``: (primary_category,
+    related_category); ``boosts``: (user_id, sku, intent) adds to a score; ``gone``: (user_id, norm_sku). Rows are ranked once per
+    (profile, category), categories once per (profile, primary category) by their first row. A user brings the rows touched by
+    a purchase or a boost. The best is one of these, or the first untouched row of a category they are in, or the
+    first row of the first category without any.
+    """
+    profile = list(profile)
+    group = [*profile, "primary_category"]
+    rows = durable(rows.withColumnRenamed("category", "related_category"))
+    rows = durable(rank_in_order(rows, [*profile, "related_category"], [F.desc("final_score"), F.asc("sku")], "_r"))
+    cats = rows.groupBy(*profile, "related_category").agg(F.count(F.lit(1)).alias("_rows"), F.max("final_score").alias("_top"))
+    users = durable(users.select("user_id", *group))
+    lists = users.select(*group).distinct().join(related, "primary_category").join(cats, [*profile, "related_category"])
+    lists = durable(rank_in_order(lists, group, [F.desc("_top"), F.asc("related_category")], "_c", n=F.sum("_rows")))
+    people = users
+    cols = ["user_id", *group, "related_category", "sku", "final_score", "_r"]
+    out_rows = gone.select("user_id", "norm_sku").distinct().join(people, "user_id").join(rows, [*profile, "norm_sku"]).select(
+        *cols, F.lit(True).alias("_gone"), F.lit(None).cast("double").alias("_plus"))
+    up_rows = boosts.select("user_id", "sku", "intent").join(people, "user_id").join(rows, [*profile, "sku"]).select(
+        *cols, F.lit(False).alias("_gone"), F.col("intent").alias("_plus"))
+    hit = out_rows.unionByName(up_rows).groupBy(*cols).agg(F.max("_gone").alias("_gone"), F.max("_plus").alias("_plus"))
+    hit = durable(hit.join(lists.select(*group, "related_category", "_c"), [*group, "related_category"]))
+    own = hit.groupBy("user_id").agg(F.count_if("_gone").alias("_out"), F.max(F.when(~F.col("_gone"), F.col("final_score") + F.lit(25) + F.col("_plus"))).alias("_own"))
+    gap = first_untaken(hit.select("user_id", *profile, "related_category", "_r"), ["user_id", *profile, "related_category"], "_r")
+    gap = gap.join(rows.select(*profile, "related_category", "_r", "final_score"), [*profile, "related_category", "_r"]).groupBy("user_id").agg(
+        (F.max("final_score") + 25).alias("_gap"))
+    clear = first_untaken(hit.select("user_id", "_c").distinct(), ["user_id"], "_c")
+    out = people.join(lists.groupBy(*group).agg(F.max("n").alias("n")), group).join(own, "user_id", "left").join(gap, "user_id", "left")
+    out = out.join(clear, "user_id", "left").withColumn("_c", F.coalesce("_c", F.lit(1))).join(
+        lists.select(*group, "_c", (F.col("_top") + 25).alias("_first")), [*group, "_c"], "left")
+    out = out.withColumn("n", F.col("n") - F.coalesce("_out", F.lit(0))).where("n > 0")
+    return out.select("user_id", "n", F.round(F.greatest("_own", "_gap", "_first"), 2).alias("best"))
+
+
 def entity_candidates(ownership: DataFrame, fitment: DataFrame, products: DataFrame) -> DataFrame:
     """Products of all owned entities without the excluded ones, as (user, product)."""
     ok = products.where(~F.col("is_excluded")).select("product_id")

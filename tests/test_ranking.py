@@ -44,6 +44,63 @@ def test_pruned_ranking_equals_full_ranking(spark, seed):
         assert sorted(got.get(u, [])) == model_top(cands[p], excluded[u], boosts[u], 2), u
 
 
+@pytest.mark.parametrize("seed", [4, 5])
+def test_first_rows_of_the_pruned_ranking_equal_the_full_ranking(spark, seed):
+    """The first three of a user in each pool; far fewer rows are fetched than categories have winners."""
+    rnd = random.Random(seed)
+    cands = {p: [(f"s{b}-{v}", f"b{b}", f"c{rnd.randint(0, 25)}", float(rnd.randint(0, 12))) for b in range(120) for v in range(rnd.randint(1, 3))] for p in ("p0", "p1")}
+    pool = {c[0]: rnd.choice("xy") for p in cands for c in cands[p]}
+    users = [(u, rnd.choice(["p0", "p1"])) for u in range(30)]
+    skus = sorted(pool)
+    excluded = {u: set(rnd.sample(skus, rnd.choice([0, 0, 1, 4, 40]))) for u, _ in users}
+    boosts = {u: {s: float(rnd.randint(1, 20)) for s in rnd.sample(skus, rnd.choice([0, 0, 2]))} for u, _ in users}
+    udf = spark.createDataFrame(users, "user_id int, prof string")
+    sdf = spark.createDataFrame([(p, *c, c[0], pool[c[0]]) for p in cands for c in cands[p]], "prof string, sku string, base_sku string, category string, final_score double, norm_sku string, pool string")
+    xdf = spark.createDataFrame([(u, s) for u in excluded for s in excluded[u]], "user_id int, sku string")
+    bdf = spark.createDataFrame([(u, s, b) for u in boosts for s, b in boosts[u].items()], "user_id int, sku string, boost double")
+    for name in (None, "pool"):
+        out = R.diversified_for_users(udf, sdf, ["prof"], 2, xdf, bdf, top=3, pool=name).collect()
+        got = {}
+        for r in sorted(out, key=lambda r: (-r.final_score, r.sku)):
+            rows = got.setdefault((r.user_id, r.pool if name else ""), [])
+            if len(rows) < 3:
+                rows.append((r.sku, r.final_score))
+        for u, prof in users:
+            want = sorted(model_top(cands[prof], excluded[u], boosts[u], 2), key=lambda r: (-r[1], r[0]))
+            for x in "xy" if name else ("",):
+                assert got.get((u, x), []) == [r for r in want if not x or pool[r[0]] == x][:3], (u, x)
+        quiet = [u for u, _ in users if not excluded[u] and not boosts[u]]
+        assert all(sum(r.user_id == u for r in out) <= 6 for u in quiet)
+
+
+def test_best_rows_left_equal_all_pairs(spark):
+    from slotwise.operators import candidates as C
+
+    rnd = random.Random(8)
+    rows = [(p, c, f"s{i}", f"n{i // 2}", float(rnd.randint(0, 9))) for p in ("p0", "p1") for c in ("a", "b", "c", "d") for i in (rnd.sample(range(24), 7))]
+    rows = list({(r[0], r[2]): r for r in rows}.values())
+    related = [("a", "b"), ("a", "c"), ("b", "a"), ("c", "d")]
+    users = [(u, rnd.choice(["p0", "p1"]), rnd.choice("abc")) for u in range(40)]
+    gone = {(u, f"n{i}") for u, _, _ in users for i in rnd.sample(range(12), rnd.choice([0, 1, 6, 12]))}
+    boosts = {(u, f"s{i}"): float(rnd.randint(-3, 9)) for u, _, _ in users for i in rnd.sample(range(24), rnd.choice([0, 3]))}
+    udf = spark.createDataFrame(users, "user_id int, prof string, primary_category string")
+    rdf = spark.createDataFrame(rows, "prof string, category string, sku string, norm_sku string, final_score double")
+    gdf = spark.createDataFrame(sorted(gone), "user_id int, norm_sku string")
+    bdf = spark.createDataFrame([(*k, v) for k, v in boosts.items()], "user_id int, sku string, intent double")
+    left = {u: [r for r in rows if r[0] == prof and (u, r[3]) not in gone] for u, prof, _ in users}
+    out = C.best_left(udf, rdf, gdf, ["prof"], "norm_sku", high=[F.desc("final_score"), F.asc("sku")], low=[F.asc("sku")])
+    got = {r.user_id: (r.n, r.high.sku, r.low.sku) for r in out.collect()}
+    assert got == {u: (len(x), min(x, key=lambda r: (-r[4], r[2]))[2], min(r[2] for r in x)) for u, x in left.items() if x}
+    out = C.related_best(udf, rdf, spark.createDataFrame(related, "primary_category string, related_category string"), bdf, gdf, ["prof"])
+    got = {r.user_id: (r.n, r.best) for r in out.collect()}
+    want = {}
+    for u, _, c in users:
+        x = [r[4] + 25 + boosts.get((u, r[2]), 0.0) for r in left[u] if (c, r[1]) in related]
+        if x:
+            want[u] = (len(x), max(x))
+    assert got == want
+
+
 def greedy(rows, fit_slots, special_slots, total, cap):
     out, count = [], {}
 
