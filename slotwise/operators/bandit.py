@@ -93,10 +93,10 @@ def selection_share(assigned: DataFrame, ctr: DataFrame) -> DataFrame:
 
 
 def score_drift(flags: DataFrame) -> DataFrame:
-    """Daily score statistics per arm."""
+    """Daily score statistics per arm. Scores are told apart by their four digits as scaled doubles (x 10,000, half away from zero), as SQL rounds."""
     return flags.groupBy("send_date", "arm").agg(
         _n().alias("sends"), F.avg("score").alias("avg_score"), F.stddev_samp("score").alias("std_score"),
-        F.min("score").alias("min_score"), F.max("score").alias("max_score"), F.count_distinct(F.round("score", 4)).alias("distinct_scores"))
+        F.min("score").alias("min_score"), F.max("score").alias("max_score"), F.count_distinct(F.round(F.col("score") * 10000)).alias("distinct_scores"))
 
 
 def top_treatment_scores(flags: DataFrame, n: int = 5) -> DataFrame:
