@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -81,6 +82,14 @@ def rank_in_order(df: DataFrame, keys, order, out: str = "rank", **totals: Colum
     return ranked.select(*df.columns, out, *totals)
 
 
+def disc_quantile(df: DataFrame, keys, value: str, q: float, out: str) -> DataFrame:
+    """Exact discrete quantile per key, as SQL's PERCENTILE_DISC: the value at position ceil(q x n), read off the distributed rank."""
+    rows = df.where(F.col(value).isNotNull()).select(*keys, value)
+    rows = rank_in_order(rows, keys, [F.asc(value)], "_at", _n=F.sum(F.lit(1)))
+    place = F.greatest(F.ceil(F.col("_n").cast("decimal(18,0)") * F.lit(Decimal(str(q)))).cast("long"), F.lit(1).cast("long"))
+    return rows.where(F.col("_at") == place).select(*keys, F.col(value).alias(out))
+
+
 def dense_ids(df: DataFrame, key: str, out: str = "id") -> DataFrame:
     """0-based ids of the distinct keys in sorted order.
 

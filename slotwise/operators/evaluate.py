@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from ..functions import exprs as X
 from ..functions.asof import asof_join
-from ..functions.indexing import rank_by_hash, rank_in_order
+from ..functions.indexing import disc_quantile, rank_by_hash, rank_in_order
 from ..functions.keyed import global_top, top_n_per_key
 
 DAY = 86_400
@@ -170,8 +170,7 @@ def time_split(df: DataFrame, ts: str, ratio: float = 0.8, cutoff: str | None =
     if cutoff is not None:
         cut = F.lit(cutoff).cast(df.schema[ts].dataType)
     else:
-        micros = F.unix_micros(F.col(ts).cast("timestamp"))
-        cut = F.timestamp_micros(df.agg(F.percentile_approx(micros, ratio, 1_000_000)).scalar()).cast(df.schema[ts].dataType)
+        cut = disc_quantile(df, [], ts, ratio, "_cut").agg(F.max("_cut")).scalar()
     marked = df.withColumn("_cut", cut)
     return marked.where(F.col(ts) < F.col("_cut")).drop("_cut"), marked.where(F.col(ts) >= F.col("_cut")).drop("_cut")
 
