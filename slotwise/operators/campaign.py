@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import exprs as X
+from ..functions.indexing import disc_quantile
 from ..functions.asof import asof_join
 from ..functions.keyed import metric_rows, top_n_per_key
 
@@ -474,9 +475,9 @@ def time_to_action(sends: DataFrame, interactions: DataFrame) -> DataFrame:
     """Minutes from each send to the first interaction of its (user, treatment), mean and median."""
     first = interactions.groupBy("user_id", "treatment_id", "type").agg(F.min("ts").alias("first_ts"))
     rows = sends.select("user_id", "treatment_id", "sent_ts").join(first, ["user_id", "treatment_id"]).where("first_ts > sent_ts")
-    m = X.minutes_between("sent_ts", "first_ts")
-    return rows.groupBy("type").agg(_n().alias("n"), F.round(F.avg(m), 1).alias("avg_minutes"),
-                                    F.percentile_approx(m, 0.5, 10000).alias("median_minutes"))
+    rows = rows.select("type", X.minutes_between("sent_ts", "first_ts").alias("m"))
+    median = disc_quantile(rows, ["type"], "m", 0.5, "median_minutes")
+    return rows.groupBy("type").agg(_n().alias("n"), F.round(F.avg("m"), 1).alias("avg_minutes")).join(median, "type", "left")
 
 
 def click_to_order(interactions: DataFrame, orders: DataFrame) -> DataFrame:

@@ -148,3 +148,31 @@ def test_the_board_is_one_pass(spark):
     assert [(r.check, r.value, r.status) for r in rows] == [("purchased", 1.0, "FAIL"), ("n", 1.0, "INFO")]
     none = quality.check_rows(quality.board_facts(long.limit(0), bought, catalog, ["user_id"], 6.0, 2, 3), [("bought", "purchased", "CRITICAL", 0, False)]).first()
     assert (none.value, none.status) == (0.0, "PASS")
+
+
+def test_quantiles_are_exact_on_many_values(spark):
+    """Places of the discrete quantile, where a sketch of 10,000 samples is off."""
+    from slotwise.operators import campaign as K
+
+    n = 200_001
+    rows = spark.range(n).select((F.col("id") % 2000).alias("user_id"), F.floor(F.col("id") / 2000).alias("treatment_id"), F.pmod(F.xxhash64("id"), F.lit(10**7)).alias("m"))
+    sent = F.timestamp_seconds(F.lit(1_700_000_000))
+    sends = rows.select("user_id", "treatment_id", sent.alias("sent_ts"))
+    acts = rows.select("user_id", "treatment_id", F.lit("VIEWED").alias("type"), F.timestamp_seconds(F.lit(1_700_000_000) + (F.col("m") + 1) * 60).alias("ts"))
+    want = sorted(r.m + 1 for r in rows.select("m").collect())[-(-n // 2) - 1]
+    assert K.time_to_action(sends, acts).first().median_minutes == want
+    times = rows.select(F.timestamp_micros(F.col("m")).alias("ts"))
+    train, test = E.time_split(times, "ts", 0.8)
+    cut = sorted(r.m for r in rows.select("m").collect())[-(-n * 4 // 5) - 1]
+    assert train.count() == rows.where(F.col("m") < cut).count() and test.count() == n - train.count()
+
+
+def test_distinct_scores_are_rounded_as_sql_rounds(spark):
+    import duckdb
+
+    from slotwise.operators import bandit as B
+
+    values = [i / 100000 for i in range(5, 20000, 10)]
+    rows = spark.createDataFrame([("d", "a", v) for v in values], "send_date string, arm string, score double")
+    want = duckdb.sql("SELECT count(DISTINCT round(i / 100000.0::DOUBLE, 4)) FROM range(5, 20000, 10) t(i)").fetchall()[0][0]
+    assert want < len(values) and B.score_drift(rows).first().distinct_scores == want
