@@ -44,7 +44,7 @@ def scored(t):
 
 @once
 def published(t):
-    rows = R.diversified_for_users(people(t), scored(t), VEHICLE, p.max_per_category, recs.exclusion(t))
+    rows = R.diversified_for_users(people(t), scored(t), VEHICLE, p.max_per_category, recs.exclusion(t), top=p.slots)
     top = R.top_n_min(rows, p.slots, p.min_recs).join(people(t).select("user_id", "mail"), "user_id")
     one = R.pick_user_per_key(top, ["mail", *VEHICLE])
     wide = R.wide_output(one, ["mail", *VEHICLE], p, VALUES).withColumnRenamed("rec_count", "fitment_count")
