@@ -163,6 +163,17 @@ def entity_candidates(ownership: DataFrame, fitment: DataFrame, products: DataFr
     return two_hop(ownership, fitment).join(ok, "product_id", "left_semi")
 
 
+def candidate_totals(ownership: DataFrame, fitment: DataFrame, products: DataFrame) -> DataFrame:
+    """Number of ``entity_candidates`` per user (only users with any). Users of one set of entities have the same products,
+    so products are counted once per distinct set and no (user, product) rows are made."""
+    ok = products.where(~F.col("is_excluded")).select("product_id")
+    fit = fitment.select("entity_id", "product_id").distinct().join(ok, "product_id", "left_semi")
+    owned = ownership.groupBy("user_id").agg(F.sort_array(F.collect_set("entity_id")).alias("_set"))
+    per = owned.select("_set").distinct().withColumn("entity_id", F.explode("_set")).join(fit, "entity_id").groupBy("_set").agg(
+        F.count_distinct("product_id").alias("candidates"))
+    return owned.join(per, "_set").select("user_id", "candidates")
+
+
 def unfitted_users(users: DataFrame, candidates: DataFrame) -> DataFrame:
     """Users without entity products; their candidates are all products that are not excluded.
 

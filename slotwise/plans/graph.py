@@ -328,10 +328,10 @@ def two_hop(t):
 SELECT user_id, count(*) AS candidates FROM n_cand GROUP BY 1
 UNION ALL SELECT user_id, (SELECT count(*) FROM n_products WHERE NOT is_excluded) FROM e_users WHERE user_id NOT IN (SELECT user_id FROM n_cand)""")
 def candidate_counts(t):
-    own = C.entity_candidates(engine_ownership(t), engine_fitment(t), engine_products(t))
+    own = C.candidate_totals(engine_ownership(t), engine_fitment(t), engine_products(t))
     rest = C.unfitted_users(t.user_vectors.select("user_id"), own)
     n = engine_products(t).where(~F.col("is_excluded")).agg(F.count(F.lit(1))).scalar()
-    return own.groupBy("user_id").agg(F.count(F.lit(1)).alias("candidates")).unionByName(rest.withColumn("candidates", n))
+    return own.unionByName(rest.withColumn("candidates", n))
 
 
 @once

@@ -176,3 +176,11 @@ def test_distinct_scores_are_rounded_as_sql_rounds(spark):
     rows = spark.createDataFrame([("d", "a", v) for v in values], "send_date string, arm string, score double")
     want = duckdb.sql("SELECT count(DISTINCT round(i / 100000.0::DOUBLE, 4)) FROM range(5, 20000, 10) t(i)").fetchall()[0][0]
     assert want < len(values) and B.score_drift(rows).first().distinct_scores == want
+
+
+def test_candidates_are_counted_without_pairs(spark):
+    own = spark.createDataFrame([(u, e) for u in range(60) for e in {u % 3, u % 2, 9}] + [(1, 1), (77, 8)], "user_id int, entity_id int")
+    fit = spark.createDataFrame([(p % 3, p) for p in range(50)] + [(1, 2), (1, 1), (9, 4)], "entity_id int, product_id int")
+    products = spark.createDataFrame([(p, p % 10 == 7) for p in range(48)], "product_id int, is_excluded boolean")
+    want = {r.user_id: r["count"] for r in C.entity_candidates(own, fit, products).groupBy("user_id").count().collect()}
+    assert {r.user_id: r.candidates for r in C.candidate_totals(own, fit, products).collect()} == want
