@@ -160,17 +160,41 @@ def related_best(users: DataFrame, rows: DataFrame, related: DataFrame, boosts:
 def entity_candidates(ownership: DataFrame, fitment: DataFrame, products: DataFrame) -> DataFrame:
     """Products of all owned entities without the excluded ones, as (user, product)."""
     ok = products.where(~F.col("is_excluded")).select("product_id")
-    return two_hop(ownership, fitment).join(ok, "product_id", "left_semi")
+    return two_hop(ownership, fitment.join(ok, "product_id", "left_semi"))
+
+
+def owned_sets(ownership: DataFrame) -> DataFrame:
+    """user_id, ``_set``: the sorted entities of every user. Users of one set have the same products."""
+    return ownership.groupBy("user_id").agg(F.sort_array(F.collect_set("entity_id")).alias("_set"))
+
+
+def set_products(sets: DataFrame, fitment: DataFrame) -> DataFrame:
+    """Distinct (``_set``, product) of every distinct set of entities."""
+    fit = fitment.select("entity_id", "product_id").distinct()
+    return sets.select("_set").distinct().withColumn("entity_id", F.explode("_set")).join(fit, "entity_id").select("_set", "product_id").distinct()
+
+
+def tiles(users: DataFrame, products: DataFrame, on: str, tile: int) -> tuple[DataFrame, DataFrame]:
+    """Both sides of a many-to-many join on ``on``, cut into blocks ``_i`` of users and ``_j`` of products of about ``tile`` rows.
+
+    Every row goes to each block of the other side, so a key that holds all users becomes many tiles of bounded size, and
+    what is shuffled is rows x blocks, never pairs.
+    """
+    blocks = lambda df, out: df.groupBy(on).agg(F.ceil(F.count(F.lit(1)) / tile).cast("int").alias(out))
+    sizes = blocks(users, "_us").join(blocks(products, "_ps"), on)
+    place = lambda c, n: F.pmod(F.xxhash64(c), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    left = users.join(sizes, on).withColumn("_i", place("user_id", "_us")).withColumn("_j", every("_ps"))
+    right = products.join(sizes, on).withColumn("_j", place("product_id", "_ps")).withColumn("_i", every("_us"))
+    return left.drop("_us", "_ps"), right.drop("_us", "_ps")
 
 
 def candidate_totals(ownership: DataFrame, fitment: DataFrame, products: DataFrame) -> DataFrame:
     """Number of ``entity_candidates`` per user (only users with any). Users of one set of entities have the same products,
     so products are counted once per distinct set and no (user, product) rows are made."""
     ok = products.where(~F.col("is_excluded")).select("product_id")
-    fit = fitment.select("entity_id", "product_id").distinct().join(ok, "product_id", "left_semi")
-    owned = ownership.groupBy("user_id").agg(F.sort_array(F.collect_set("entity_id")).alias("_set"))
-    per = owned.select("_set").distinct().withColumn("entity_id", F.explode("_set")).join(fit, "entity_id").groupBy("_set").agg(
-        F.count_distinct("product_id").alias("candidates"))
+    owned = owned_sets(ownership)
+    per = set_products(owned, fitment.join(ok, "product_id", "left_semi")).groupBy("_set").agg(F.count(F.lit(1)).alias("candidates"))
     return owned.join(per, "_set").select("user_id", "candidates")
 
 
@@ -183,8 +207,13 @@ def unfitted_users(users: DataFrame, candidates: DataFrame) -> DataFrame:
 
 
 def two_hop(ownership: DataFrame, fitment: DataFrame) -> DataFrame:
-    """Distinct (user, product) reached over any owned entity."""
-    return ownership.join(fitment, "entity_id").select("user_id", "product_id").distinct()
+    """Distinct (user, product) reached over any owned entity.
+
+    Products are made distinct once per set of entities, and users meet them tile by tile: a pair is made once and not shuffled.
+    """
+    owned = owned_sets(ownership)
+    left, right = tiles(owned, set_products(owned, fitment), "_set", 4096)
+    return left.join(right, ["_set", "_i", "_j"]).select("user_id", "product_id")
 
 
 def target_users(users: DataFrame, ids: DataFrame | None = None, consent: bool = False) -> DataFrame:
@@ -205,6 +234,107 @@ def embedding_score(candidates: DataFrame, user_vecs: DataFrame, product_vecs: D
     return rows.withColumn("score", X.dot("_u", "_v")).drop("_u", "_v")
 
 
+def _inner_products(left, right):
+    """Slices (first row, matrix) of the inner products of two stacks of vectors, each sum in the order of the components as ``X.dot`` adds up."""
+    import numpy as np
+
+    for low in range(0, len(left), 64):
+        part = left[low:low + 64]
+        s, term = np.zeros((len(part), len(right))), np.empty((len(part), len(right)))
+        for a, b in zip(part.T, right.T, strict=True):
+            s += np.multiply.outer(a, b, out=term)
+        yield low, s
+
+
+def _best_of_rows(s, k: int):
+    """Rows and columns of the k largest of each row, best first; ties go to the smaller column."""
+    import numpy as np
+
+    if s.shape[1] > k:  # the kth best and all that tie with it
+        row, at = np.nonzero(s >= np.partition(s, -k, axis=1)[:, -k:-k + 1 or None])
+    else:
+        row, at = (x.ravel() for x in np.indices(s.shape))
+    order = np.lexsort((at, -s[row, at], row))
+    row, at = row[order], at[order]
+    keep = np.arange(len(row)) - np.searchsorted(row, row) < k
+    return row[keep], at[keep]
+
+
+def _score_tiles(users: DataFrame, products: DataFrame, fields, piece, tile: int, sort: str) -> DataFrame:
+    """Rows of ``piece(user rows, product rows, first user row, matrix of scores)`` from all tiles of users and products of one set."""
+    import numpy as np
+    import pandas as pd
+
+    schema = T.StructType(fields)
+
+    def score(left, right):
+        if not len(left) or not len(right):
+            return pd.DataFrame({f.name: pd.Series([], dtype=object) for f in fields})
+        right = right.sort_values(sort, ignore_index=True)
+        u, v = (np.stack(d["vec"].to_numpy()).astype("float64") for d in (left, right))
+        return pd.concat([piece(left, right, low, s) for low, s in _inner_products(u, v)], ignore_index=True)
+
+    left, right = tiles(users, products, "_set", tile)
+    right = right.withColumnsRenamed({"_set": "_rs", "_i": "_ri", "_j": "_rj"})
+    return left.groupBy("_set", "_i", "_j").cogroup(right.groupBy("_rs", "_ri", "_rj")).applyInPandas(score, schema)
+
+
+def pair_scores(ownership: DataFrame, fitment: DataFrame, products: DataFrame, user_vecs: DataFrame, product_vecs: DataFrame, tile: int = 1024) -> DataFrame:
+    """D50 over D51: inner product of user and product vector for all ``entity_candidates``.
+
+    The pairs are the output. They are made and scored inside tiles of users and products of one set of entities, so that vectors
+    travel once a tile and no pair is shuffled.
+    """
+    import numpy as np
+    import pandas as pd
+
+    users, rows = _candidate_sides(ownership, fitment, products, user_vecs, product_vecs)
+    fields = [T.StructField("user_id", users.schema["user_id"].dataType), T.StructField("product_id", rows.schema["product_id"].dataType), T.StructField("score", T.DoubleType())]
+
+    def piece(left, right, low, s):
+        return pd.DataFrame({"user_id": np.repeat(left["user_id"].to_numpy()[low:low + len(s)], s.shape[1]), "product_id": np.tile(right["product_id"].to_numpy(), len(s)), "score": s.ravel()})
+
+    return _score_tiles(users, rows, fields, piece, tile, "product_id")
+
+
+def _candidate_sides(ownership, fitment, products, user_vecs, product_vecs, *, bag: str | None = None, group: str | None = None):
+    """(user_id, _set, vec [, bag]) and (_set, product_id, vec [, bag, group]) of ``entity_candidates``."""
+    ok = products.where(~F.col("is_excluded")).select("product_id", *([group] if group else []), *([F.col(bag).alias("_bag")] if bag else []))
+    owned = owned_sets(ownership)
+    rows = set_products(owned, fitment).join(ok, "product_id").join(product_vecs.select("product_id", "vec"), "product_id")
+    return owned.join(user_vecs.select("user_id", "vec", *([F.col(bag).alias("_bag")] if bag else [])), "user_id"), rows
+
+
+def best_of_groups(ownership: DataFrame, fitment: DataFrame, products: DataFrame, user_vecs: DataFrame, product_vecs: DataFrame, group: str, k: int,
+                   bag: str | None = None, tile: int = 2048) -> DataFrame:
+    """The k best scored ``entity_candidates`` of every user in each ``group`` of products, ties to the smaller product.
+
+    Scoring every pair is the job; each tile gives back k rows per user and group, so that shuffles hold these and no pairs.
+    With ``bag``, a column of ``products`` and ``user_vecs``, pairs of equal values are left out (what was bought, told per class of users).
+    """
+    import numpy as np
+    import pandas as pd
+
+    users, rows = _candidate_sides(ownership, fitment, products, user_vecs, product_vecs, bag=bag, group=group)
+    fields = [T.StructField("user_id", users.schema["user_id"].dataType), T.StructField(group, rows.schema[group].dataType),
+              T.StructField("product_id", rows.schema["product_id"].dataType), T.StructField("score", T.DoubleType())]
+
+    def piece(left, right, low, s):
+        if bag:
+            own, theirs = left["_bag"].to_numpy()[low:low + len(s)], right["_bag"].to_numpy()
+            s[(own[:, None] == theirs[None, :]) & pd.notna(theirs)] = -np.inf  # a null equals nothing
+        out = []
+        for value, at in right.groupby(group, sort=False, dropna=False).indices.items():
+            row, col = _best_of_rows(s[:, at], k)
+            score = s[row, at[col]]
+            row, col, score = (x[score > -np.inf] for x in (row, col, score))
+            out.append(pd.DataFrame({"user_id": left["user_id"].to_numpy()[low + row], group: pd.Series([value] * len(row), dtype=object), "product_id": right["product_id"].to_numpy()[at[col]], "score": score}))
+        return pd.concat(out, ignore_index=True)
+
+    best = _score_tiles(users, rows, fields, piece, tile, "product_id")
+    return top_n_per_key(best, ["user_id", group], [F.desc("score"), F.asc("product_id")], k).drop("rn")
+
+
 def norm_blocks(product_vecs: DataFrame, block: int) -> tuple[DataFrame, Column]:
     """Products with ``_b``, their block by falling norm, and the largest norm of every block as one array (a scalar)."""
     rows = product_vecs.select("product_id", "vec", F.sqrt(X.dot("vec", "vec")).alias("_norm"))
@@ -228,15 +358,7 @@ def _score_blocks(users: DataFrame, prods: DataFrame, k: int) -> DataFrame:
         right = right.sort_values("product_id")
         ids = right["product_id"].to_numpy()
         s = np.stack(left["vec"].to_numpy()).astype("float64") @ np.stack(right["vec"].to_numpy()).astype("float64").T
-        if s.shape[1] > k:  # the kth best and all that tie with it; ties go to the smaller id
-            row, at = np.nonzero(s >= np.partition(s, -k, axis=1)[:, -k:-k + 1 or None])
-        else:
-            row, at = (x.ravel() for x in np.indices(s.shape))
-        order = np.lexsort((at, -s[row, at], row))
-        row, at = row[order], at[order]
-        first = np.searchsorted(row, row)
-        keep = np.arange(len(row)) - first < k
-        row, at = row[keep], at[keep]
+        row, at = _best_of_rows(s, k)
         return pd.DataFrame({"user_id": left["user_id"].to_numpy()[row], "product_id": ids[at], "score": s[row, at]})
 
     asked = users.select(F.col("_c").alias("_chunk"), F.col("_b").alias("_block")).distinct()

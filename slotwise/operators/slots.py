@@ -77,9 +77,21 @@ def popularity_pools(products: DataFrame, fitment: DataFrame, entities: DataFram
     return rank_in_order(pools, ["level", "pool", "category"], order, "depth")
 
 
+def _cleared_pools(keys: DataFrame, pools: DataFrame, bags: DataFrame, reach: int) -> DataFrame:
+    """Rows that a user can reach in the pools of ``keys`` (_bags, level, pool) after what is in their bags is left out.
+
+    Of a category a user needs ``reach`` rows at most: ``cap`` and one for each own rec. Less than ``reach`` rows of earlier pools can come
+    again in a pool, or the category is full by then, so its first 2 x reach rows are enough.
+    """
+    asked = keys.select("_bags", "level", "pool").distinct()
+    gone = asked.select("_bags").distinct().withColumn("bag", F.explode("_bags")).join(bags, "bag").select("_bags", "product_id").distinct()
+    left = asked.join(pools, ["level", "pool"]).join(gone, ["_bags", "product_id"], "left_anti")
+    return top_n_per_key(left, ["_bags", "level", "pool", "category"], [F.asc("depth")], 2 * reach).drop("rn")
+
+
 def popularity_fallback(recs: DataFrame, users: DataFrame, ownership: DataFrame, entities: DataFrame, pools: DataFrame,
                         excluded: DataFrame, min_recs: int = 4, cap: int = 2, pid: str = "bigint",
-                        sentinel: float = 0.0, position: str = "entity_id") -> DataFrame:
+                        sentinel: float = 0.0, position: str = "entity_id", bags: DataFrame | None = None) -> DataFrame:
     """Fill short users from their entity pools, then group pools, then the global pool.
 
     A user's entities come in the order of ``position``, a column of ``ownership`` (the entity id
@@ -89,13 +101,12 @@ def popularity_fallback(recs: DataFrame, users: DataFrame, ownership: DataFrame,
     a user reaches at most ``cap + t`` rows deep into a pool category, so pool rows come by
     equi-join on (pool, depth). What remains per user is cut to ``cap`` rows per category
     and 3 x min_recs rows in tier order, then folded.
+
+    With ``bags`` (bag, product_id) purchases are told by class: ``excluded`` has (user_id, bag), and a user has bought what is in their
+    bags. Pools are then cleared once per distinct set of bags, and users only skip their own recs (see ``_cleared_pools``).
     """
     have = recs.groupBy("user_id").agg(F.count(F.lit(1)).alias("_n"))
     short = users.select("user_id").distinct().join(have, "user_id", "left").where(F.coalesce("_n", F.lit(0)) < min_recs).select("user_id")
-    skip = recs.select("user_id", "product_id").unionByName(excluded.select("user_id", "product_id")).join(
-        short, "user_id", "left_semi").distinct()
-    reach = short.join(skip.groupBy("user_id").agg(F.count(F.lit(1)).alias("_t")), "user_id", "left").select(
-        "user_id", F.explode(F.sequence(F.lit(1).cast("long"), F.lit(cap) + F.coalesce("_t", F.lit(0)))).alias("depth"))
     own = ownership.join(short, "user_id", "left_semi").groupBy("user_id", "entity_id").agg(F.min(position).alias("_at"))
     own = own.withColumn("turn", F.row_number().over(Window.partitionBy("user_id").orderBy("_at", "entity_id"))).drop("_at")
     grp = own.join(entities.select("entity_id", "group_id"), "entity_id").where("group_id is not null and group_id <> ''").groupBy(
@@ -103,7 +114,17 @@ def popularity_fallback(recs: DataFrame, users: DataFrame, ownership: DataFrame,
     keys = (own.select("user_id", F.lit(0).alias("tier"), "turn", F.lit("entity").alias("level"), F.col("entity_id").cast("string").alias("pool"))
             .unionByName(grp.select("user_id", F.lit(1).alias("tier"), "turn", F.lit("group").alias("level"), "pool"))
             .unionByName(short.select("user_id", F.lit(2).alias("tier"), F.lit(0).alias("turn"), F.lit("global").alias("level"), F.lit("*").alias("pool"))))
-    cand = keys.join(reach, "user_id").join(pools, ["level", "pool", "depth"]).join(skip, ["user_id", "product_id"], "left_anti")
+    skip = recs.select("user_id", "product_id")
+    if bags is None:
+        skip = skip.unionByName(excluded.select("user_id", "product_id")).join(short, "user_id", "left_semi").distinct()
+        reach = short.join(skip.groupBy("user_id").agg(F.count(F.lit(1)).alias("_t")), "user_id", "left").select(
+            "user_id", F.explode(F.sequence(F.lit(1).cast("long"), F.lit(cap) + F.coalesce("_t", F.lit(0)))).alias("depth"))
+        cand = keys.join(reach, "user_id").join(pools, ["level", "pool", "depth"])
+    else:
+        has = short.join(excluded.groupBy("user_id").agg(F.sort_array(F.collect_set("bag")).alias("_bags")), "user_id", "left")
+        keys = keys.join(has.withColumn("_bags", F.coalesce("_bags", F.array().cast(has.schema["_bags"].dataType))), "user_id")
+        cand = keys.join(_cleared_pools(keys, pools, bags, cap + min_recs - 1), ["_bags", "level", "pool"]).drop("_bags")
+    cand = cand.join(skip, ["user_id", "product_id"], "left_anti")
     order = [F.asc("tier"), F.asc("turn"), F.desc("popularity"), F.asc("product_id")]
     cand = top_n_per_key(cand, ["user_id", "product_id"], order, 1).drop("rn")
     cand = top_n_per_key(cand, ["user_id", "category"], order, cap).drop("rn")

@@ -290,10 +290,14 @@ def normalize_ids(t):
 
 
 # ---- engine rules on embeddings ------------------------------------------------------
+def _category(label):
+    return F.concat(F.lit("c"), (F.col(label) % 3).cast("string"))
+
+
 @once
 def engine_products(t):
     """Products are the labelled vectors: category label % 3, popularity label + id / 1000, every label-9 product excluded."""
-    return t.product_vectors.select("product_id", F.concat(F.lit("c"), (F.col("label") % 3).cast("string")).alias("category"),
+    return t.product_vectors.select("product_id", _category("label").alias("category"),
                                     (F.col("label") + F.col("product_id") / 100000.0).alias("popularity"), (F.col("label") == 9).alias("is_excluded"), "label", "vec")
 
 
@@ -336,7 +340,7 @@ def candidate_counts(t):
 
 @once
 def scores(t):
-    return C.embedding_score(C.entity_candidates(engine_ownership(t), engine_fitment(t), engine_products(t)), t.user_vectors, engine_products(t))
+    return C.pair_scores(engine_ownership(t), engine_fitment(t), engine_products(t), t.user_vectors, t.product_vectors)
 
 
 @query("D50", "user_id:l product_id:l score:d6", "SELECT s.user_id, s.product_id, s.score FROM e_scores s JOIN n_cand c ON c.user_id = s.user_id AND c.product_id = s.product_id")
@@ -347,7 +351,7 @@ def embedding_score(t):
 @query("D49", "user_id:l product_id:l score:d6", """
 SELECT user_id, label AS product_id, max(score) AS score FROM (SELECT s.*, s.user_id AS u FROM e_scores s JOIN n_cand c ON c.user_id = s.user_id AND c.product_id = s.product_id) a GROUP BY ALL""")
 def merge_entity_scores(t):
-    rows = scores(t).join(engine_products(t).select("product_id", "label"), "product_id")
+    rows = C.best_of_groups(engine_ownership(t), engine_fitment(t), engine_products(t), t.user_vectors, t.product_vectors, "label", 1)
     return C.merge_entity_scores(rows.select("user_id", F.col("label").alias("product_id"), "score"))
 
 
@@ -358,21 +362,26 @@ def top_k_by_vector(t):
 
 
 @once
-def bought(t):
-    """Every user has bought the products of the label that equals the last digit of the user id (1 if 0)."""
-    lab = F.greatest(F.col("user_id") % 10, F.lit(1)).cast("int")
-    return t.user_vectors.select("user_id", lab.alias("label")).join(engine_products(t).where("vec[0] > 0").select("label", "product_id"), "label").select("user_id", "product_id")
+def bags(t):
+    """Every user has bought the products of the label that equals the last digit of the user id (1 if 0), those with a positive first component."""
+    users = t.user_vectors.withColumn("bag", F.greatest(F.col("user_id") % 10, F.lit(1)).cast("int"))
+    return users, engine_products(t).withColumn("bag", F.when(F.col("vec")[0] > 0, F.col("label")))
+
+
+CAP = 2
 
 
 @once
 def ranked(t):
-    rows = scores(t).join(bought(t), ["user_id", "product_id"], "left_anti").join(engine_products(t).select("product_id", "category", "label"), "product_id")
-    return rows.select("user_id", "product_id", "category", "score", (F.col("label") <= 5).alias("is_fitment"), (F.col("label") > 6).alias("is_special"))
+    """The first rows of each user in every label; a label has one category and one pool, so no other row can be selected."""
+    users, products = bags(t)
+    rows = C.best_of_groups(engine_ownership(t), engine_fitment(t), products, users, t.product_vectors, "label", CAP, "bag")
+    return rows.select("user_id", "product_id", _category("label").alias("category"), "score", (F.col("label") <= 5).alias("is_fitment"), (F.col("label") > 6).alias("is_special"))
 
 
 @once
 def selected(t):
-    return S.slot_select(ranked(t), fitment_slots=2, special_slots=1, total=4, cap=2)
+    return S.slot_select(ranked(t), fitment_slots=2, special_slots=1, total=4, cap=CAP)
 
 
 def _walk(name: str, start: str, items: str, limit: str) -> str:
@@ -428,7 +437,7 @@ SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY score DESC, pro
     WHERE NOT (p.v1 > 0 AND p.label = greatest(s.user_id % 10, 1))) a WHERE rc <= 2) b WHERE rn <= 4""")
 def slot_select_single_pool(t):
     """With one pool the greedy equals cap-then-top-n, which SQL can state."""
-    return S.slot_select(ranked(t).withColumns({"is_fitment": F.lit(True), "is_special": F.lit(False)}), 4, 0, 4, 2)
+    return S.slot_select(ranked(t).withColumns({"is_fitment": F.lit(True), "is_special": F.lit(False)}), 4, 0, 4, CAP)
 
 
 @once
@@ -453,7 +462,9 @@ def popularity_pools(t):
 @once
 def filled(t):
     short = selected(t).where("slot <= user_id % 5")
-    return S.popularity_fallback(short, t.user_vectors.select("user_id"), engine_ownership(t), entities(t), pools(t), bought(t), 4, 2)
+    users, products = bags(t)
+    return S.popularity_fallback(short, t.user_vectors.select("user_id"), engine_ownership(t), entities(t), pools(t), users.select("user_id", "bag"), 4, CAP,
+                                 bags=products.where("bag is not null").select("bag", "product_id"))
 
 
 @query("D47", "user_id:l slot:l product_id:l category is_fallback:b", "SELECT user_id, slot, product_id, category, phase = 9 AS is_fallback FROM fil", FILLED)
@@ -500,4 +511,11 @@ def target_users(t):
 SELECT s.user_id, count(*) AS n FROM e_scores s JOIN n_cand c ON c.user_id = s.user_id AND c.product_id = s.product_id JOIN n_products p ON p.product_id = s.product_id
 WHERE NOT (p.v1 > 0 AND p.label = greatest(s.user_id % 10, 1)) AND p.category <> 'c1' GROUP BY 1""")
 def post_rank_filter(t):
-    return S.post_rank_filter(ranked(t), F.col("category") != "c1").groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
+    """Users of one set of entities and one bag have the same rows, so the filter runs on these rows once and users get its count."""
+    users, products = bags(t)
+    owned = C.owned_sets(engine_ownership(t)).join(users.select("user_id", "bag"), "user_id")
+    kinds = owned.select("_set", "bag").distinct()
+    rows = C.set_products(owned, engine_fitment(t)).join(products.where(~F.col("is_excluded")).select("product_id", "category", F.col("bag").alias("_bag")), "product_id")
+    rows = kinds.join(rows, "_set").where(~F.col("bag").eqNullSafe(F.col("_bag")))
+    n = S.post_rank_filter(rows, F.col("category") != "c1").groupBy("_set", "bag").agg(F.count(F.lit(1)).alias("n"))
+    return owned.join(n, ["_set", "bag"]).select("user_id", "n")

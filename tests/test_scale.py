@@ -184,3 +184,66 @@ def test_candidates_are_counted_without_pairs(spark):
     products = spark.createDataFrame([(p, p % 10 == 7) for p in range(48)], "product_id int, is_excluded boolean")
     want = {r.user_id: r["count"] for r in C.entity_candidates(own, fit, products).groupBy("user_id").count().collect()}
     assert {r.user_id: r.candidates for r in C.candidate_totals(own, fit, products).collect()} == want
+
+
+def _entity_tables(spark, users=30, products=60):
+    """Users of one to three entities (one of none), products of one or two, a tenth excluded, twins with equal vectors, bags of a third."""
+    rnd = random.Random(3)
+    vec = lambda: [float(rnd.randint(-4, 4)) for _ in range(3)]
+    own = [(u, e) for u in range(users - 1) for e in rnd.sample(range(4), 1 + u % 3)]
+    fit = [(e, p) for p in range(products) for e in rnd.sample(range(4), 1 + p % 2)]
+    prods = [(p, f"g{p % 4}", p % 10 == 9, p % 3 if p % 2 else None) for p in range(products)]
+    uv, pv = [(u, vec(), u % 3) for u in range(users)], [(p, vec()) for p in range(products // 2)]
+    pv += [(p + products // 2, v) for p, v in pv]
+    df = lambda rows, kind: spark.createDataFrame(rows, kind)
+    frames = (df(own, "user_id long, entity_id int"), df(fit, "entity_id int, product_id long"), df(prods, "product_id long, grp string, is_excluded boolean, bag int"),
+              df(uv, "user_id long, vec array<double>, bag int"), df(pv, "product_id long, vec array<double>"))
+    of = {p: {e for e, q in fit if q == p} for p in range(products)}
+    pairs = {(u, p) for u in range(users) for p in of if not prods[p][2] and of[p] & {e for v, e in own if v == u}}
+    dot = {(u, p): sum(a * b for a, b in zip(uv[u][1], pv[p][1])) for u, p in pairs}
+    return frames, prods, pairs, dot
+
+
+@pytest.mark.parametrize("tile", [4])
+def test_candidate_scores_in_tiles_equal_all_pairs(spark, tile):
+    """Tiles of bounded size give every pair once with its score, and the first of every group without the bags."""
+    (own, fit, products, uv, pv), prods, pairs, dot = _entity_tables(spark)
+    assert {(r.user_id, r.product_id) for r in C.entity_candidates(own, fit, products).collect()} == pairs
+    got = [tuple(r) for r in C.pair_scores(own, fit, products, uv, pv, tile).collect()]
+    assert sorted(got) == sorted((u, p, s) for (u, p), s in dot.items())
+    want = []
+    for u in range(30):
+        for g in range(4):
+            rows = sorted((-s, p) for (v, p), s in dot.items() if v == u and prods[p][1] == f"g{g}" and prods[p][3] != u % 3)
+            want += [(u, f"g{g}", p, -s) for s, p in rows[:2]]
+    got = C.best_of_groups(own, fit, products, uv, pv, "grp", 2, "bag", tile)
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+
+
+def test_candidate_pairs_are_not_shuffled(spark):
+    """What J16 and D50 shuffle is rows of the two sides; the old distinct and the join of vectors shuffled every pair."""
+    (own, fit, products, uv, pv), *_ = _entity_tables(spark)
+    for frame in (C.two_hop(own, fit), C.pair_scores(own, fit, products, uv, pv)):
+        plan = frame._jdf.queryExecution().optimizedPlan().toString()
+        top = plan[:plan.index("Join") if "Join" in plan and "CoGroup" not in plan else plan.index("CoGroup")]
+        assert "Aggregate" not in top and "Join" not in top
+
+
+def test_fallback_by_bags_equals_fallback_by_pairs(spark):
+    """Purchases told per class of users fill the same slots as the same purchases told pair by pair."""
+    from slotwise.operators import slots as S
+    rnd = random.Random(9)
+    df = lambda rows, kind: spark.createDataFrame(rows, kind)
+    products = df([(p, f"c{p % 3}", float(rnd.randint(0, 9)), p % 11 == 0) for p in range(80)], "product_id long, category string, popularity double, is_excluded boolean")
+    fit = df([(e, p) for p in range(80) for e in rnd.sample(range(4), 1 + p % 2)], "entity_id int, product_id long")
+    entities = df([(0, "A"), (1, "A"), (2, "B"), (3, None)], "entity_id int, group_id string")
+    users = df([(u,) for u in range(40)], "user_id long")
+    owner = df([(u, e) for u in range(36) for e in rnd.sample(range(4), 1 + u % 2)], "user_id long, entity_id int")
+    pools = S.popularity_pools(products, fit, entities)
+    recs = df([(u, s + 1, p, f"c{p % 3}", 1.0) for u in range(40) for s, p in enumerate(rnd.sample(range(80), u % 5))], "user_id long, slot int, product_id long, category string, score double")
+    bags = df([(b, p) for p in range(80) for b in range(5) if rnd.random() < (.95 if b == 4 else .4)], "bag int, product_id long")
+    has = df([(u, b) for u in range(38) for b in rnd.sample(range(5), u % 3)], "user_id long, bag int")
+    by_pairs = S.popularity_fallback(recs, users, owner, entities, pools, has.join(bags, "bag").select("user_id", "product_id").distinct())
+    by_bags = S.popularity_fallback(recs, users, owner, entities, pools, has, bags=bags)
+    rows = lambda f: sorted(tuple(r) for r in f.select("user_id", "slot", "product_id", "category", "is_fallback").collect())
+    assert rows(by_bags) == rows(by_pairs) and sum(r[4] for r in rows(by_bags)) > 40
