@@ -29,8 +29,11 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of texts with a Jaccard similarity of 0.8 over five-word shingles the one with the least id stays; of repeated rows of it, one."""
-    return near_texts.firsts(docs)
+    """Of texts with a Jaccard similarity of 0.8 over five-word shingles the one with the least id stays; of repeated rows of it, one.
+
+    What op2's fingerprints or a MinHash key bring together is compared exactly.
+    """
+    return near_texts.firsts(docs, more=near_texts.fingerprint_keys(docs))
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,7 +1,8 @@
 """Near-dedup of the pipeline: texts whose sets of five-word shingles have a Jaccard similarity of 0.8 or more.
 
-A SimHash radius does not reach such pairs (at 0.8 about ten of 64 bits differ, and a tree that searches so far copies every
-point to every shard), so candidates come from MinHash: ``BANDS`` keys a text, each from ``ROWS`` minima. A pair at 0.8 shares no
+In the pipeline, candidates are the components of operator 2's vantage-point tree (``fingerprint_keys``). A SimHash radius alone does
+not reach all such pairs (at 0.8 about ten of 64 bits differ, and a tree that searches so far copies every
+point to every shard), so further candidates come from MinHash: ``BANDS`` keys a text, each from ``ROWS`` minima. A pair at 0.8 shares no
 key with a chance of (1 - 0.8 ** ROWS) ** BANDS, 7 in 100,000; more similar pairs are missed less often. Each candidate is confirmed by
 the exact similarity of the whole sets, and a component of confirmed links is a class.
 
@@ -21,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import simhash
 from .common import durable, map_batches, pieces
 from .components import connected
 from .simhash import shingle_hashes
@@ -146,9 +148,16 @@ def linked(placed: DataFrame, docs: DataFrame, text: str, size: int = SHINGLE, s
     return durable(found.distinct())
 
 
-def classes(own: DataFrame, docs: DataFrame, text: str = "text", **measure) -> DataFrame:
-    """(u, v): every text hash that is not the least of its class, and the least. ``own`` is what keyed() gives."""
+def fingerprint_keys(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(text_hash, key): one key for each component of operator 2, so that all texts that its fingerprints link share one."""
+    return simhash.near_copies(docs, doc_id, text).select("text_hash", F.xxhash64("root", F.lit("fingerprint")).alias("key")).distinct()
+
+
+def classes(own: DataFrame, docs: DataFrame, text: str = "text", more: DataFrame | None = None, **measure) -> DataFrame:
+    """(u, v): every text hash that is not the least of its class, and the least. ``own`` is what keyed() gives; ``more`` has further keys (text_hash, key)."""
     shared = own.groupBy("text_hash").agg(F.first("keys").alias("keys")).select("text_hash", F.explode("keys").alias("key"))
+    if more is not None:
+        shared = shared.unionByName(more)
     hubs = shared.groupBy("key").agg(F.min(F.struct(F.xxhash64("key", "text_hash").alias("draw"), F.col("text_hash").alias("hub"))).alias("first"), F.count(F.lit(1)).alias("n"))
     met = durable(shared.join(hubs.where("n > 1").select("key", F.col("first.hub").alias("hub")), "key"))
     pair = lambda x, y: (F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))
@@ -161,12 +170,12 @@ def classes(own: DataFrame, docs: DataFrame, text: str = "text", **measure) -> D
     return connected(links.union(linked(placed.join(split, "key"), docs, text, **measure)))
 
 
-def firsts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **measure) -> DataFrame:
+def firsts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", more: DataFrame | None = None, **measure) -> DataFrame:
     """One document of each class: the least id (null last), then the least text hash; of repeated rows one."""
     own = durable(keyed(docs, doc_id, text, measure.get("size", SHINGLE)))
     rank = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("text_hash").alias("hash"))
     least = own.groupBy("text_hash").agg(F.min(rank).alias("f"))
-    rooted = least.join(classes(own, docs, text, **measure).withColumnRenamed("u", "text_hash"), "text_hash", "left")
+    rooted = least.join(classes(own, docs, text, more, **measure).withColumnRenamed("u", "text_hash"), "text_hash", "left")
     first = rooted.groupBy(F.coalesce("v", "text_hash").alias("root")).agg(F.min("f").alias("f"))
     first = first.select(F.coalesce(F.col("f.id").cast("string"), F.lit("")).alias("_id"), F.col("f.hash").alias("_hash"))
     named = docs.select(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).alias("_id"), F.xxhash64(text).alias("_hash"), *[F.col(c).alias(f"c{i}") for i, c in enumerate(docs.columns)])

@@ -186,6 +186,22 @@ def test_near_texts_of_the_pipeline(spark):
     assert 60 < len(want) < 120 and {r.doc_id for r in dict(corpus_pipeline.STAGES)["near_dedup"](spark, docs, SF).collect()} == want
 
 
+def test_near_dedup_of_the_pipeline_compares_what_op2_links(spark, monkeypatch):
+    """Without any MinHash key the fingerprints alone bring near copies up; texts that they link below 0.8 both stay."""
+    rng = random.Random(5)
+    own = [f"w{rng.random()}" for _ in range(300)]
+    near = own[:150] + ["other"] + own[151:]
+    a = " ".join(["one two three four five six seven"] * 12)
+    b = a + " eight one two three four five six seven"
+    docs = spark.createDataFrame(list(enumerate([" ".join(own), " ".join(near), a, b])), "doc_id int, text string").withColumns(
+        {"lang": F.lit("en"), "source": F.lit("x"), "n_chars": F.length("text")})
+    near_copies = {r.doc_id: r.component_id for r in simhash.near_copies(docs).collect()}
+    assert near_copies == {0: 0, 1: 0, 2: 2, 3: 2}
+    keyed = near_texts.keyed
+    monkeypatch.setattr(near_texts, "keyed", lambda *args: keyed(*args).withColumn("keys", F.array().cast("array<bigint>")))
+    assert {r.doc_id for r in dict(corpus_pipeline.STAGES)["near_dedup"](spark, docs, SF).collect()} == {0, 2, 3}
+
+
 def test_components(spark):
     rng = random.Random(2)
     edges = [(i, i + 1) for i in range(200)] + [(1000, 1000 + i) for i in range(300)] + [(5000 + rng.randrange(400), 5000 + rng.randrange(400)) for _ in range(250)]
