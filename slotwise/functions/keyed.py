@@ -11,6 +11,9 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Rows of a list that may still go to every task.
+SMALL = 200_000
+
 
 def shared(df: DataFrame) -> DataFrame:
     """Keep a frame that several branches of one plan read, on executor memory and disk.

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import exprs as X
-from ..functions.keyed import global_top
+from ..functions.indexing import durable
+from ..functions.keyed import SMALL, global_top
 from ..params import RecParams
 
 
@@ -47,6 +48,23 @@ def eligible_parts(fitment: DataFrame, products: DataFrame, vehicle, p: RecParam
     return rows.join(enough.drop("_n"), vehicle, "left_semi")
 
 
+def parts_of_vehicles(fitment: DataFrame, products: DataFrame, vehicle, make: str, driven: DataFrame, p: RecParams) -> DataFrame:
+    """D05 with one row per (make, sku): ``eligible_parts`` of the ``driven`` vehicles, these as an array of structs (``vehicles``).
+
+    A part's vehicles are put together before the shuffle, so what travels follows the parts, not parts x vehicles.
+    """
+    rest = [c for c in vehicle if c != make]
+    fits = fitment.select(*vehicle, "sku").dropna().groupBy(make, "sku").agg(F.collect_set(F.struct(*rest)).alias("vehicles"))
+    rows = durable(fits.join(products, "sku"))
+    single = rows.withColumn("_v", F.explode("vehicles")).drop("vehicles").withColumns({c: F.col(f"_v.{c}") for c in rest})
+    enough = single.groupBy(*vehicle).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= p.min_parts_per_vehicle)
+    kept = durable(enough.select(*vehicle).join(driven.select(*vehicle).distinct(), list(vehicle), "left_semi"))
+    if kept.count() <= SMALL:
+        kept = F.broadcast(kept)
+    single = single.join(kept, list(vehicle), "left_semi").drop(*rest)
+    return single.groupBy(*[c for c in rows.columns if c != "vehicles"]).agg(F.collect_list("_v").alias("vehicles"))
+
+
 def universal_parts(fitment: DataFrame, products: DataFrame, popularity: DataFrame, n: int) -> DataFrame:
     """The n most ordered sellable products that are tied to no vehicle."""
     free = products.join(fitment.select("sku").distinct(), "sku", "left_anti")

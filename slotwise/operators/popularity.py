@@ -95,19 +95,31 @@ def global_popularity_all(imported, staged, p: RecParams) -> DataFrame:
         "global_score", X.log_score("total_orders", p.global_weight))
 
 
-def with_popularity(rows: DataFrame, segments, makes, globals_, p: RecParams, segment=SEGMENT) -> DataFrame:
-    """Three-tier popularity per product row that carries segment columns and ``sku``.
+def lookup_tiers(rows: DataFrame, segments, makes, globals_, p: RecParams, segment=SEGMENT) -> DataFrame:
+    """Scores of all three tiers for rows of (make, sku): those of the make's segments as one array, so rows need no segment yet.
 
-    Segment score if the segment has enough orders and knows the product, else make,
-    else global, else 0. ``p.normalize_both`` looks products up by normalised sku.
+    ``p.normalize_both`` looks products up by normalised sku. ``choose_tier`` reads the result.
     """
-    make = segment[0]
+    make, *rest = segment
     key = X.normalize_variant("sku") if p.normalize_both else F.col("sku")
-    rows = rows.withColumn("_key", key)
-    seg = segments.select(*segment, F.col("sku").alias("_key"), "segment_score", "rank_in_segment", "segment_total")
+    seg = segments.groupBy(make, F.col("sku").alias("_key")).agg(
+        F.collect_list(F.struct(*rest, "segment_score", "rank_in_segment", "segment_total")).alias("_segs"))
     mk = makes.select(make, F.col("sku").alias("_key"), "make_score", "rank_in_make", "make_total")
     gl = globals_.select(F.col("sku").alias("_key"), "global_score")
-    rows = rows.join(seg, [*segment, "_key"], "left").join(mk, [make, "_key"], "left").join(gl, "_key", "left")
+    known = seg.join(mk, [make, "_key"], "full")
+    return rows.withColumn("_key", key).join(known, [make, "_key"], "left").join(gl, "_key", "left").drop("_key")
+
+
+def choose_tier(rows: DataFrame, p: RecParams, segment=SEGMENT) -> DataFrame:
+    """The tier of rows from ``lookup_tiers`` that carry all segment columns; no join."""
+    def same(e):
+        out = F.lit(True)
+        for c in segment[1:]:
+            out = out & (e[c] == F.col(c))
+        return out
+
+    rows = rows.withColumn("_seg", F.get(F.filter("_segs", same), F.lit(0)))
+    rows = rows.withColumns({c: F.col(f"_seg.{c}") for c in ("segment_score", "rank_in_segment", "segment_total")})
     # a tier only counts for products it knows, so its total can ride on the product's row
     use_seg = F.coalesce("segment_total", F.lit(0)) >= p.min_segment_for_use
     use_make = F.coalesce("make_total", F.lit(0)) >= p.min_make_for_use
@@ -119,7 +131,16 @@ def with_popularity(rows: DataFrame, segments, makes, globals_, p: RecParams, se
         "has_signal": (F.coalesce("segment_score", F.lit(0.0)) > 0) | (F.coalesce("make_score", F.lit(0.0)) > 0)
         | (F.coalesce("global_score", F.lit(0.0)) > 0),
     })
-    return rows.drop("_key", "segment_total", "make_total", "make_score", "segment_score", "global_score")
+    return rows.drop("_seg", "_segs", "segment_total", "make_total", "make_score", "segment_score", "global_score")
+
+
+def with_popularity(rows: DataFrame, segments, makes, globals_, p: RecParams, segment=SEGMENT) -> DataFrame:
+    """Three-tier popularity per product row that carries segment columns and ``sku``.
+
+    Segment score if the segment has enough orders and knows the product, else make,
+    else global, else 0. ``p.normalize_both`` looks products up by normalised sku.
+    """
+    return choose_tier(lookup_tiers(rows, segments, makes, globals_, p, segment), p, segment)
 
 
 def with_popularity_by_segment(rows, segments, makes, globals_, p: RecParams, segment=SEGMENT) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.indexing import durable
 from ..functions.keyed import is_member
 from ..operators import eligibility as E
 from ..operators import popularity as P
@@ -35,16 +36,21 @@ def fitment(t):
 
 
 @once
-def scored(t):
-    """Parts of each vehicle that some user drives, scored once per vehicle."""
-    parts = people(t).select(*VEHICLE).distinct().join(E.eligible_parts(fitment(t), recs.products(t), VEHICLE, p), list(VEHICLE))
-    rows = R.require_signal(P.with_popularity(parts, *recs.tiers(t), p), p)
-    return R.base_columns(rows.withColumn("final_score", R.score_popularity())).withColumn("product_type", F.lit("fitment"))
+def parts(t):
+    """Parts of each make with their scores and the vehicles they fit, as one array: vehicles that some user drives and that pass the gate."""
+    rows = E.parts_of_vehicles(fitment(t), recs.products(t), VEHICLE, "seg_make", people(t), p)
+    return durable(R.base_columns(P.lookup_tiers(rows, *recs.tiers(t), p)))
+
+
+def finish(rows):
+    rows = R.require_signal(P.choose_tier(rows, p), p)
+    return rows.withColumns({"final_score": R.score_popularity(), "product_type": F.lit("fitment")})
 
 
 @once
 def published(t):
-    rows = R.diversified_for_users(people(t), scored(t), VEHICLE, p.max_per_category, recs.exclusion(t), top=p.slots)
+    spread = R.Spread("vehicles", ("seg_year", "seg_model"), finish)
+    rows = R.diversified_for_users(people(t), parts(t), VEHICLE, p.max_per_category, recs.exclusion(t), top=p.slots, spread=spread)
     top = R.top_n_min(rows, p.slots, p.min_recs).join(people(t).select("user_id", "mail"), "user_id")
     one = R.pick_user_per_key(top, ["mail", *VEHICLE])
     wide = R.wide_output(one, ["mail", *VEHICLE], p, VALUES).withColumnRenamed("rec_count", "fitment_count")

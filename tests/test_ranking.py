@@ -215,3 +215,55 @@ def test_pick_user_per_key(spark):
     rows = [("k", 1, 5.0), ("k", 1, 4.0), ("k", 2, 9.0), ("k", 3, 5.0), ("k", 3, 4.0)]
     df = spark.createDataFrame(rows, "email string, user_id int, final_score double")
     assert {r.user_id for r in R.pick_user_per_key(df, ["email"]).collect()} == {1}
+
+
+def test_winners_are_exact_to_the_asked_depth(spark):
+    """Nearly all first rows of category a lose to a variant in b, so the first cut leaves too few winners and is deepened."""
+    rows = [("p", f"a{i}", f"b{i}", "a", 100.0 - i) for i in range(60)] + [("p", f"z{i}", f"b{i}", "b", 200.0 - i) for i in range(55)] + [("p", "solo", "solo", None, 1.0)]
+    df = spark.createDataFrame(rows, "prof string, sku string, base_sku string, category string, final_score double")
+    out = R.winners_to_depth(df, ["prof"], 3, start=4).collect()
+    got = {c: [r.sku for r in sorted(out, key=lambda r: r.depth) if r.category == c and r.depth <= 3] for c in ("a", "b", None)}
+    assert got == {"a": ["a55", "a56", "a57"], "b": ["z0", "z1", "z2"], None: ["solo"]}
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_slots_by_primary_category_equal_the_full_ranking(spark, seed):
+    """D40 from rows that are stored once per make, against every user x product row."""
+    rnd = random.Random(seed)
+    cats, models = "abcd", ("x", "y")
+    base = [("m", f"s{b}-{v}", f"b{b}", rnd.choice(cats), float(rnd.randint(0, 12)), list(models)) for b in range(40) for v in range(rnd.randint(1, 3))]
+    related = [("a", "b"), ("a", "c"), ("b", "a"), ("c", "d")]
+    users = [(u, "m", rnd.choice(models), *rnd.choice([("a", True), ("b", True), ("c", True), ("d", True), ("COLD_START", False)])) for u in range(30)]
+    skus = sorted(r[1] for r in base)
+    gone = {(u[0], s) for u in users for s in rnd.sample(skus, rnd.choice([0, 1, 5, 30]))}
+    boosts = {(u[0], s): float(rnd.randint(1, 9)) for u in users if u[4] for s in rnd.sample(skus, rnd.choice([0, 3]))}
+
+    def kind(primary, active, cat):
+        if not active:
+            return "cold_start", 0, 0
+        return ("primary", 0, 50) if cat == primary else ("related", 1, 25) if (primary, cat) in related else None
+
+    score = lambda model, s: s + (1.0 if model == "y" else 0.0)
+    want = set()
+    for u, _, model, primary, active in users:
+        rows = [(k[1], -(score(model, s) + k[2] + boosts.get((u, sku), 0.0)), sku, b, cat, k[0]) for _, sku, b, cat, s, _ in base
+                if (u, sku) not in gone and (k := kind(primary, active, cat))]
+        seen, count, taken = set(), {}, {}
+        for r in sorted(rows):
+            if r[3] not in seen:
+                seen.add(r[3])
+                count[r[4]] = count.get(r[4], 0) + 1
+                if count[r[4]] <= 2:
+                    taken.setdefault(r[5], []).append(r)
+        for name, rs in taken.items():
+            want |= {(u, i + (3 if name == "related" else 1), r[2]) for i, r in enumerate(sorted(rs, key=lambda r: (r[1], r[2]))[:4 if name == "cold_start" else 2])}
+    scored = spark.createDataFrame(base, "make string, sku string, base_sku string, category string, s double, _m array<string>").withColumns(
+        {"norm_sku": F.col("sku"), "models": F.transform("_m", lambda m: F.struct(m.alias("model")))}).drop("_m")
+    finish = lambda df: df.withColumn("final_score", F.col("s") + (F.col("model") == "y").cast("double")).drop("s")
+    kinds = [("m", model, pc, active, c, *k) for model in models for pc, active in (("a", True), ("b", True), ("c", True), ("d", True), ("COLD_START", False)) for c in cats if (k := kind(pc, active, c))]
+    out = R.slotted_for_users(
+        spark.createDataFrame(users, "user_id int, make string, model string, primary_category string, active boolean"), scored, ["make", "model"],
+        spark.createDataFrame(kinds, "make string, model string, primary_category string, active boolean, category string, slot_type string, slot_priority int, _plus int"), 2,
+        spark.createDataFrame(sorted(gone), "user_id int, sku string"), spark.createDataFrame([(*k, v) for k, v in boosts.items()], "user_id int, sku string, boost double"),
+        (("slot_priority", True), *R.BY_SCORE), 4, R.Spread("models", ("model",), finish))
+    assert {(r.user_id, r.slot, r.sku) for r in R.slot_allocation(out).collect()} == want
