@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from .common import durable
 
+#: Edges up to this number (a megabyte) are joined in one partition, without shuffles.
+FEW = 1 << 16
+
 
 def _star(edges: DataFrame, least: DataFrame) -> DataFrame:
     return edges.join(least, "u")
@@ -31,7 +34,8 @@ def connected(edges: DataFrame) -> DataFrame:
 
     ``edges`` has two columns of one orderable type. Every round is written to the checkpoint
     folder; the number of rounds grows with the logarithm of a component's diameter. Hub
-    nodes meet only map-side combined minima, and joins that AQE may split.
+    nodes meet only map-side combined minima, and joins that AQE may split. Once ``FEW`` edges or less are left, a round is one
+    task: shuffles of that little would mostly write empty files, as many as there are partitions.
     """
     a, b = edges.columns
     now = durable(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u != v").distinct())
@@ -40,4 +44,6 @@ def connected(edges: DataFrame) -> DataFrame:
         mark = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if mark == before or not mark[0]:
             return now
+        if mark[0] <= FEW:
+            now = now.coalesce(1)
         before, now = mark, durable(_small(_large(now)))

@@ -105,3 +105,13 @@ def test_pipeline_takes_odd_rows(spark, docs, labels, tmp_path):
         assert bool(pieces) == (part == "full")
         end = zlib.crc32(struct.pack("<I", 1))
         assert all(r.offset == 0 and (r.length > 1 or r.ids_crc32 == end or r.doc_tokens > 1) for r in pieces)
+
+
+def test_few_edges_are_connected_without_shuffles(spark):
+    """A round over few edges writes one checkpoint partition, however many shuffle partitions the session has."""
+    from slotwise.llm.components import connected
+
+    edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101)], "a bigint, b bigint").repartition(8)
+    out = connected(edges)
+    assert {(r.u, r.v) for r in out.collect()} == {(i, 0) for i in range(1, 41)} | {(101, 100)}
+    assert out.rdd.getNumPartitions() == 1
