@@ -1,6 +1,7 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables and clashing column names, for every operator."""
 
 import struct
+import time
 import zlib
 
 import pytest
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from slotwise.llm import cover_search, licenses, line_dedup, packing, perplexity, piece_scan, secrets_forest, simhash, toxicity, url_globs
+from slotwise.llm.common import CLEANUP, durable
 
 LONG = "the one and the other of them went on and on " * 3000
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
@@ -115,3 +117,21 @@ def test_few_edges_are_connected_without_shuffles(spark):
     out = connected(edges)
     assert {(r.u, r.v) for r in out.collect()} == {(i, 0) for i in range(1, 41)} | {(101, 100)}
     assert out.rdd.getNumPartitions() == 1
+
+
+def test_a_durable_frame_leaves_no_shuffle_files(spark):
+    def files():
+        found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks()
+        return sum(found.apply(i).isShuffle() for i in range(found.size()))
+
+    spark.sparkContext._jvm.System.gc()
+    df = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()
+    before = files()
+    out = durable(df)
+    for _ in range(20):  # files are removed in the background
+        if files() <= before:
+            break
+        time.sleep(0.5)
+    assert files() <= before
+    assert out.count() == 7 and df.collect() and sorted(durable(df).collect()) == sorted(out.collect())
+    assert spark.conf.get(CLEANUP) == "false"
