@@ -12,25 +12,32 @@ BLOCK = 256
 HEAVY = 512
 
 
-def sized_groups(df: DataFrame, group, item: str, low: int, high: int) -> DataFrame:
-    """Distinct (group, item) rows of the groups with low..high distinct items.
+def sized_baskets(df: DataFrame, group, item: str, low: int, high: int) -> DataFrame:
+    """(group columns, _items): the sorted distinct items of the groups with low..high distinct items.
 
-    Sizes come from a combined count, so an oversized group is dropped without ever
-    being collected.
+    One sort serves both windows and can spill: a repeated item goes, then all beyond a group's (high + 1)th item, by which an
+    oversized group is known without ever being collected. The rows are read once and no task holds a table of its rows.
     """
-    rows = df.select(*group, item).distinct()
-    sizes = rows.groupBy(*group).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n").between(low, high))
-    return rows.join(sizes.drop("_n"), list(group), "left_semi")
+    group = list(group)
+    rows = df.select(*group, item).dropna(subset=group)
+    rows = rows.withColumn("_r", F.row_number().over(Window.partitionBy(*group, item).orderBy(item))).where("_r = 1")
+    rows = rows.withColumn("_r", F.row_number().over(Window.partitionBy(*group).orderBy(item))).where(F.col("_r") <= high + 1)
+    arr = rows.groupBy(*group).agg(F.max("_r").alias("_n"), F.sort_array(F.collect_list(item)).alias("_items"))
+    return arr.where(F.col("_n").between(low, high)).drop("_n")
 
 
-def basket_pairs(baskets: DataFrame, group, item: str) -> DataFrame:
-    """Pairs a < b of groups whose size is bounded by the caller (see ``sized_groups``)."""
-    arr = baskets.groupBy(*group).agg(F.sort_array(F.collect_list(item)).alias("_items"))
+def array_pairs(arr: DataFrame, group) -> DataFrame:
+    """Pairs a < b of sorted arrays of bounded size (column _items)."""
     left = arr.select(*group, "_items", F.posexplode("_items").alias("_i", "item_a"))
     rest = F.expr("slice(_items, _i + 2, size(_items))")
     return left.select(*group, "item_a", F.explode(rest).alias("item_b"))
 
 
+def basket_pairs(baskets: DataFrame, group, item: str) -> DataFrame:
+    """Pairs a < b of groups whose size is bounded by the caller."""
+    return array_pairs(baskets.groupBy(*group).agg(F.sort_array(F.collect_list(item)).alias("_items")), group)
+
+
 def block_pairs(rows: DataFrame, group, item: str, block: int | None = None) -> DataFrame:
     """Pairs a < b of every group, for groups of any size: (group columns, item_a, item_b).
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import exprs as X
 from ..functions.indexing import durable
 from ..functions.keyed import top_n_per_key
-from ..functions.pairs import basket_pairs, pair_counts, sized_groups
+from ..functions.pairs import array_pairs, pair_counts, sized_baskets
 
 
 def copurchase_basket(purchases: DataFrame, low: int, high: int, group=("user_id", "order_date"),
@@ -17,7 +17,7 @@ def copurchase_basket(purchases: DataFrame, low: int, high: int, group=("user_id
 
     The range defines a basket; ``pairs.pair_counts`` counts the pairs of groups of any size.
     """
-    pairs = basket_pairs(sized_groups(purchases, group, "sku", low, high), group, "sku")
+    pairs = array_pairs(sized_baskets(purchases, group, "sku", low, high), group)
     return pairs.groupBy("item_a", "item_b").agg(F.count(F.lit(1)).alias("pair_count")).where(
         F.col("pair_count") >= min_count).withColumn("boost", X.log_score("pair_count", weight))
 
@@ -77,7 +77,7 @@ def category_copurchase(purchases: DataFrame, catalog: DataFrame, low: int, high
     known = catalog.groupBy("sku").agg(F.max("category").alias("category"))
     category = F.coalesce(F.nullif(F.trim("category"), F.lit("")), F.lit("UNIVERSAL"))
     rows = purchases.join(known, "sku", "left").select(*group, category.alias("category"))
-    pairs = basket_pairs(sized_groups(rows, group, "category", low, high), group, "category")
+    pairs = array_pairs(sized_baskets(rows, group, "category", low, high), group)
     return pairs.groupBy("item_a", "item_b").agg(F.count(F.lit(1)).alias("pair_count")).where(F.col("pair_count") >= min_count)
 
 
@@ -88,7 +88,7 @@ def category_copurchase_skus(purchases: DataFrame, catalog: DataFrame, low: int,
     The pair keeps the order of its skus; products without a category and pairs of one
     category do not count. Sku pairs are counted before the categories are looked up.
     """
-    counts = basket_pairs(sized_groups(purchases, group, "sku", low, high), group, "sku").groupBy("item_a", "item_b").agg(F.count(F.lit(1)).alias("n"))
+    counts = array_pairs(sized_baskets(purchases, group, "sku", low, high), group).groupBy("item_a", "item_b").agg(F.count(F.lit(1)).alias("n"))
     known = catalog.where("category is not null").groupBy("sku").agg(F.max("category").alias("category"))
     for side in ("a", "b"):
         counts = counts.join(known.select(F.col("sku").alias(f"item_{side}"), F.col("category").alias(f"category_{side}")), f"item_{side}")

@@ -10,7 +10,7 @@ from ..functions import keyed as K
 from ..functions import sketches as Q
 from ..functions.asof import asof_join
 from ..functions.indexing import durable
-from ..functions.pairs import basket_pairs, sized_groups
+from ..functions.pairs import array_pairs, sized_baskets
 from ..functions.ranges import interval_join
 from .registry import query
 
@@ -75,7 +75,7 @@ def quantiles_of_stored_sketches(t):
 @query("A07", "order_id:l items:l first_sku last_sku", """
 SELECT order_id, count(*) AS items, min(sku) AS first_sku, max(sku) AS last_sku FROM (SELECT DISTINCT order_id, sku FROM v_orders) a GROUP BY 1 HAVING count(*) BETWEEN 2 AND 20""")
 def bounded_arrays(t):
-    arr = sized_groups(t.orders, ["order_id"], "sku", 2, 20).groupBy("order_id").agg(F.sort_array(F.collect_list("sku")).alias("a"))
+    arr = sized_baskets(t.orders, ["order_id"], "sku", 2, 20).withColumnRenamed("_items", "a")
     return arr.select("order_id", F.size("a").alias("items"), F.element_at("a", 1).alias("first_sku"), F.element_at("a", -1).alias("last_sku"))
 
 
@@ -162,8 +162,8 @@ def semi_join(t):
 SELECT a.s AS a, b.s AS b, count(*) AS n FROM (SELECT DISTINCT l_orderkey AS o, l_suppkey AS s FROM lineitem) a JOIN (SELECT DISTINCT l_orderkey AS o, l_suppkey AS s FROM lineitem) b
 ON a.o = b.o AND a.s < b.s WHERE a.o IN (SELECT l_orderkey FROM lineitem GROUP BY 1 HAVING count(DISTINCT l_suppkey) BETWEEN 2 AND 20) GROUP BY ALL""")
 def pairs_in_group(t):
-    rows = sized_groups(t.raw("lineitem"), ["l_orderkey"], "l_suppkey", 2, 20)
-    return basket_pairs(rows, ["l_orderkey"], "l_suppkey").groupBy(F.col("item_a").alias("a"), F.col("item_b").alias("b")).agg(F.count(F.lit(1)).alias("n"))
+    arr = sized_baskets(t.raw("lineitem"), ["l_orderkey"], "l_suppkey", 2, 20)
+    return array_pairs(arr, ["l_orderkey"]).groupBy(F.col("item_a").alias("a"), F.col("item_b").alias("b")).agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("J09", "user_id:l seg_make seg_year:l generation", """
