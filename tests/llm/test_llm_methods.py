@@ -109,6 +109,50 @@ def test_kneser_ney(spark):
         assert abs(cost[at] / perplexity.UNIT + math.log(p(g))) < 1e-5
 
 
+def test_bytes_of_every_script_are_told_apart(spark):
+    """Shuffled Cyrillic letters have the classes of prose."""
+    rng = random.Random(5)
+    words = ["".join(rng.choice(("ка", "то", "ре", "ни", "ва", "ст", "ов")) for _ in range(rng.randint(1, 4))) for _ in range(200)]
+    prose = [" ".join(rng.choice(words) for _ in range(80)) for _ in range(120)]
+    noise = ["".join(rng.choice("абвгдежзиклмнопрстуф") if c != " " else c for c in t) for t in prose[:6]]
+    df = spark.createDataFrame([(i, t, "ru") for i, t in enumerate(prose + noise)], "doc_id long, text string, lang string")
+    kept = {r.doc_id: r.kept for r in perplexity.judge(df).collect()}
+    assert sum(kept[i] for i in range(120)) > 110 and not any(kept[i] for i in range(120, 126))
+
+
+def test_model_of_bytes(spark):
+    """Kneser-Ney over dictionaries for the n-grams that end in a non-ASCII byte; each fold by the counts of the other."""
+    rng = random.Random(3)
+    some = ["".join(rng.choice("éèüßжш a") for _ in range(rng.randint(0, 40))) for _ in range(40)]
+    df = spark.createDataFrame([(0, t) for t in some * 2], "_lang int, _text string")
+    totals = perplexity.total(perplexity.count_ngrams(df, 3, 5)).persist()
+    fold = {r._text: r._hash & 1 for r in df.select("_text", perplexity.text_key()).collect()}
+    counts, every = {6: [Counter(), Counter()]}, Counter()
+    for t in set(some):
+        x = b"\xff" * 5 + t.encode() + b"\xff"
+        counts[6][fold[t]].update(x[i - 5:i + 1] for i in range(5, len(x)) if 128 <= x[i] < 255)
+        every.update(b for b in x[5:] if 128 <= b < 255)
+    for k in range(5, 1, -1):
+        counts[k] = [Counter(g[1:] for g in c) for c in counts[k + 1]]
+
+    def p(g, f):
+        if len(g) == 1:
+            return (every[g[0]] + 1) / (sum(every.values()) + 127)
+        c = counts[len(g)][1 - f]
+        n = Counter(c.values())
+        d = perplexity.discounts_of([0.0, *(float(n[j]) for j in (1, 2, 3, 4))])
+        after = [v for x, v in c.items() if x[:-1] == g[:-1]]
+        if not after:
+            return p(g[1:], f)
+        return (c[g] - d[min(c[g], 3)] + sum(d[min(v, 3)] for v in after) * p(g[1:], f)) / sum(after)
+
+    rows = perplexity.wide_model(totals, perplexity.byte_shares(totals)).collect()
+    assert {r.code.to_bytes(6) for r in rows} == set(counts[6][0]) | set(counts[6][1])
+    for r in rows:
+        g = r.code.to_bytes(6)
+        assert abs(r.p0 - p(g, 0)) < 1e-9 and abs(r.p1 - p(g, 1)) < 1e-9
+
+
 def test_noise_is_rejected_and_prose_kept(spark):
     own = queries.QUERIES["op1_perplexity"](spark, SF).join(spark.read.parquet(f"{SF}/labels.parquet"), "doc_id")
     share = {r.quality: r.k for r in own.groupBy("quality").agg(F.avg(F.col("kept").cast("int")).alias("k")).collect()}
